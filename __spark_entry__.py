@@ -33,7 +33,7 @@ from hourtally.streaming.file_ingest import FileIngest
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 PROJECT = "view"
-ARTICLE = "user_42"
+ARTICLE = "user_7"
 # Dashboard range: 2024-01-05 00:00 to 2024-01-25 23:00 UTC.
 LO = 1704412800
 HI = LO + 21 * DAY - HOUR
@@ -89,7 +89,8 @@ def relative_window_views(spark: SparkSession, folder: str) -> DataFrame:
 
 def _raw_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Requests with quote characters in the titles, and the file hour they belong to."""
-    requests = standins.page_requests(standins.events(spark, folder), SLOT)
+    events = standins.events(spark, folder)
+    requests = standins.page_requests(events, SLOT, F.floor("value").cast("int"))
     return requests.withColumn(
         "article_name", F.concat(F.lit('"'), "article_name", F.lit('"'))
     ).withColumn("load_hour", standins.hour_stamp(F.col("interval_start_unixtime")))
@@ -398,10 +399,10 @@ def oracle_sql() -> dict[str, str]:
                  CASE WHEN kind < 4 THEN '0' END AS _deprecated, count(*) AS n_lines
           FROM lines GROUP BY ALL""",
         "normalize_pagecounts": f"""
-          SELECT DISTINCT event_type AS project_name, '"user_' || user_id || '"' AS article_name,
-                 {_SLOT_EPOCH} AS interval_start_unixtime, 1 AS count,
+          SELECT event_type AS project_name, '"user_' || user_id || '"' AS article_name,
+                 {_SLOT_EPOCH} AS interval_start_unixtime, max(floor(value)::int) AS count,
                  strftime(ts, '%Y-%m-%d') AS date
-          FROM events""",
+          FROM events GROUP BY ALL""",
         "normalize_mediacounts": f"""
           WITH requests AS ({_media_requests(_MONTH)}),
                ranked AS (SELECT *, row_number() OVER (

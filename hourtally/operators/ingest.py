@@ -92,12 +92,14 @@ def first_write_wins(
 def _earlier_rows(
     spark: SparkSession, table: ServingTable, target: str, rows: DataFrame, batch_id: int
 ) -> DataFrame:
-    """What earlier batches stored for the intervals of this one.
+    """What earlier batches stored for the intervals of this one; ids count from 0.
 
     Only the days of the batch are listed, and the interval predicate lets the scan skip row
     groups of other hours, so an hourly load does not re-read its day. Rows of this batch and
     of later ones are left out: a replay sees what the first attempt saw.
     """
+    if batch_id == 0:
+        return spark.createDataFrame([], table.stored)
     interval = F.col(table.interval)
     spans = (
         rows.where(interval.isNotNull())
@@ -135,7 +137,7 @@ def ingest_batch(source: DataFrame, batch_id: int, table: ServingTable, target:
     """Insert one batch. Repeating a batch with the same rows leaves the same table.
 
     Each batch owns the ``_batch_id`` directory below its days and replaces only that. Ids
-    must grow, and a target has one writer.
+    count up from 0, and a target has one writer.
     """
     rows = rows_to_insert(source.sparkSession, source, batch_id, table, target)
     write_replacing(

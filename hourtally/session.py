@@ -21,15 +21,16 @@ BASE_CONF = {
 
 
 def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Shuffle and file sizes for a job over ``input_bytes`` of parquet on ``cores``.
+    """Shuffle and file sizes for one load over ``input_bytes`` of input on ``cores``.
 
-    AQE merges small shuffle partitions but never adds any, so the initial number comes
-    from the data: one per ``partition_bytes`` (doubled, since shuffle rows are wider than
-    parquet), and at least two waves over the cores.
+    AQE merges small shuffle partitions but never adds any, so a load, whose shuffle is about
+    as large as its input, starts from its size. Reports shuffle a few rows per task and do
+    well with the default. Every key holds its hour, so a long backfill is best run as loads
+    of a month or so each; none needs rows of another.
     """
-    wanted = max(2 * cores, math.ceil(2 * input_bytes / partition_bytes))
+    partitions = max(2 * cores, math.ceil(input_bytes / partition_bytes))
     return {
-        "spark.sql.shuffle.partitions": str(wanted),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
     }

@@ -40,8 +40,8 @@ def events_of_article(df: DataFrame, article: str) -> DataFrame:
     return df.where(F.col("user_id") == int(article.removeprefix(ARTICLE_PREFIX)))
 
 
-def page_requests(df: DataFrame, slot_hours: int = 1) -> DataFrame:
-    """One row per event, each counting one view.
+def page_requests(df: DataFrame, slot_hours: int = 1, count: Column | None = None) -> DataFrame:
+    """One row per event, each counting one view unless ``count`` says otherwise.
 
     ``slot_hours`` widens the interval. It is for stand-ins that are written to disk: the
     sample has a few rows an hour where a real hour has millions.
@@ -51,7 +51,7 @@ def page_requests(df: DataFrame, slot_hours: int = 1) -> DataFrame:
         F.col("event_type").alias("project_name"),
         F.concat(F.lit(ARTICLE_PREFIX), F.col("user_id").cast("string")).alias("article_name"),
         epoch.alias("interval_start_unixtime"),
-        F.lit(1).alias("count"),
+        (F.lit(1) if count is None else count).alias("count"),
     )
 
 

@@ -1,0 +1,46 @@
+import pytest
+
+from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts, keep_greatest
+from hourtally.schemas import MEDIA_MEASURES
+
+PAGES = "project_name string, article_name string, interval_start_unixtime bigint, count int"
+
+
+def test_page_keys_keep_the_greatest_count(spark):
+    rows = [
+        ("en", "A", 0, 3), ("en", "A", 0, 9), ("en", "A", 3600, 1),
+        ("en", None, 0, 2), ("en", None, 0, 5), ("en", "N", 0, None), ("en", "N", 0, 1),
+        ("en", "M", 0, None),
+    ]
+    got = {tuple(r) for r in dedup_pagecounts(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {
+        ("en", "A", 0, 9), ("en", "A", 3600, 1), ("en", None, 0, 5), ("en", "N", 0, 1),
+        ("en", "M", 0, None),
+    }
+
+
+def test_media_keys_keep_one_whole_row(spark):
+    schema = "date string, filename string, " + ", ".join(
+        f"{m} {'bigint' if m == 'total_response_bytes' else 'int'}" for m in MEDIA_MEASURES
+    )
+    rows = [
+        ("d", "f", 5, 1, 1, 1, 1, 1, 1, 1, 1),
+        ("d", "f", 5, 2, 0, 0, 0, 0, 0, 0, 0),
+        ("d", "f", None, 9, 9, 9, 9, 9, 9, 9, 9),
+        ("d", "g", None, 1, 1, 1, 1, 1, 1, 1, 1),
+        ("d", "g", None, None, 7, 1, 1, 1, 1, 1, 1),
+        ("d", None, 1, 1, 1, 1, 1, 1, 1, 1, 1),
+        ("d", None, 1, 1, 1, 1, 1, 1, 1, 1, 2),
+    ]
+    for order in (rows, rows[::-1]):
+        got = dedup_mediacounts(spark.createDataFrame(order, schema).repartition(3))
+        assert {tuple(r) for r in got.collect()} == {rows[1], rows[3], rows[6]}
+
+
+@pytest.mark.parametrize("measures", [["count"], []])
+def test_dedup_is_idempotent(spark, measures):
+    rows = [(k % 7, k % 3) for k in range(50)]
+    once = keep_greatest(spark.createDataFrame(rows, "k int, count int"), ["k"], measures)
+    twice = keep_greatest(once, ["k"], measures)
+    assert sorted(once.collect()) == sorted(twice.collect())
+    assert once.count() == 7

@@ -1,0 +1,154 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourtally import schemas
+from hourtally.operators.ingest import (
+    MEDIACOUNTS,
+    PAGECOUNTS,
+    first_write_wins,
+    ingest_batch,
+    keyed,
+)
+from hourtally.operators.mapping import project_mapping
+from hourtally.sources.tables import read_dates
+
+ROWS = "project_name string, article_name string, interval_start_unixtime bigint, count int"
+BATCHES = [
+    [("en", "A", 82800, 9), ("en", "A", 82800, 3), ("en", None, 82800, 1), ("de", "A", 86400, 5)],
+    [("en", "A", 82800, 100), ("en", "B", 82800, 4), ("en", None, 82800, 2)],
+]
+
+
+@pytest.fixture
+def target(tmp_path):
+    return str(tmp_path / "target")
+
+
+def stored(spark, table, path):
+    return read_dates(spark, path, table.stored, None).select(*table.columns.names)
+
+
+def put(spark, target, number, rows=None):
+    ingest_batch(spark.createDataFrame(rows or BATCHES[number], ROWS), number, PAGECOUNTS, target)
+    return {tuple(r) for r in stored(spark, PAGECOUNTS, target).collect()}
+
+
+def test_first_write_wins_and_replays_change_nothing(spark, target):
+    first = {("en", "A", 82800, 9), ("en", None, 82800, 1), ("de", "A", 86400, 5)}
+    both = first | {("en", "B", 82800, 4), ("en", None, 82800, 2)}
+    assert put(spark, target, 0) == first
+    assert put(spark, target, 0) == first
+    assert put(spark, target, 1) == both
+    assert put(spark, target, 1) == both
+    # The first batch once more, now that a later one is there.
+    assert put(spark, target, 0) == both
+
+
+def test_equal_rows_with_a_null_key_are_all_kept(spark, target):
+    rows = [("en", None, 0, 1)] * 3 + [(None, "A", 0, 1), ("en", "A", None, 1), ("en", "A", None, 1)]
+    put(spark, target, 0, rows)
+    assert stored(spark, PAGECOUNTS, target).count() == 6
+    put(spark, target, 1, rows)
+    assert stored(spark, PAGECOUNTS, target).count() == 12
+
+
+def test_a_late_hour_lands_in_its_own_day(spark, target):
+    put(spark, target, 0, [("en", "A", 1662004800, 1)])
+    put(spark, target, 1, [("en", "A", 1642004800, 2), ("en", "A", 1662004800, 3)])
+    got = put(spark, target, 2, [("en", "A", 1642004800, 4)])
+    assert got == {("en", "A", 1662004800, 1), ("en", "A", 1642004800, 2)}
+    days = {r.date for r in read_dates(spark, target, PAGECOUNTS.stored, None).select("date").collect()}
+    assert days == {"2022-09-01", "2022-01-12"}
+
+
+def test_matches_a_loop_over_rows(spark, target):
+    """Random batches with many collisions and one hot key, against a plain dictionary."""
+    rnd = random.Random(3)
+    table, loose = {}, []
+    for number in range(4):
+        batch = []
+        for _ in range(300):
+            hot = rnd.random() < 0.35
+            article = "hot" if hot else rnd.choice(["a", "b", "c", None])
+            hour = 0 if hot else rnd.randrange(60) * 3600
+            batch.append(("en", article, hour, rnd.randrange(1000)))
+        best = {}
+        for row in batch:
+            if row[1] is None:
+                loose.append(row)
+            else:
+                best[row[:3]] = max(best.get(row[:3], -1), row[3])
+        table = {**best, **table}
+        got = put(spark, target, number, batch)
+    assert got == {(*k, v) for k, v in table.items()} | set(loose)
+    assert stored(spark, PAGECOUNTS, target).count() == len(table) + len(loose)
+
+
+def test_more_days_than_can_be_listed(spark, target, monkeypatch):
+    monkeypatch.setattr("hourtally.operators.ingest.MAX_LISTED_DAYS", 2)
+    rows = [("en", "A", d * 86400, d) for d in range(5)]
+    put(spark, target, 0, rows)
+    got = put(spark, target, 1, [(p, a, h, 77) for p, a, h, _ in rows] + [("en", "B", 0, 1)])
+    assert got == {*rows, ("en", "B", 0, 1)}
+
+
+def test_order_of_arrival_does_not_change_the_keys(spark, tmp_path):
+    keys = []
+    for name, order in (("x", (0, 1)), ("y", (1, 0))):
+        for number, source in enumerate(order):
+            got = put(spark, str(tmp_path / name), number, BATCHES[source])
+        keys.append({r[:3] for r in got})
+    assert keys[0] == keys[1]
+
+
+def media_frame(spark):
+    rows = [("/f", "2022-08-31", *range(1, 10), "2022-08-31")] * 2
+    return spark.createDataFrame(rows, schemas.MEDIACOUNTS_NORMAL)
+
+
+def test_media_rows_are_appended_with_four_columns(spark, target):
+    for number in (0, 0, 1):
+        ingest_batch(media_frame(spark), number, MEDIACOUNTS, target)
+    rows = stored(spark, MEDIACOUNTS, target).collect()
+    assert len(rows) == 4
+    assert {tuple(r) for r in rows} == {("/f", "2022-08-31", 1, 2, *[None] * 7)}
+
+
+def test_media_key_and_full_mapping_are_options(spark, target):
+    from dataclasses import replace
+
+    table = replace(keyed(MEDIACOUNTS, "date", "filename"), mapping=schemas.MEDIACOUNTS_FULL_MAPPING)
+    for number in (0, 1):
+        ingest_batch(media_frame(spark), number, table, target)
+    assert [tuple(r) for r in stored(spark, table, target).collect()] == [
+        ("/f", "2022-08-31", *range(1, 10))
+    ]
+
+
+def test_mapping_renames_and_refuses_unknown_targets(spark):
+    df = project_mapping(media_frame(spark), schemas.MEDIACOUNTS_SERVING, {"date": "_date"})
+    assert df.schema.names == schemas.MEDIACOUNTS_SERVING.names
+    assert df.first().date == "2022-08-31"
+    with pytest.raises(ValueError):
+        project_mapping(df, schemas.MEDIACOUNTS_SERVING, {"day": "date"})
+
+
+def test_key_check_at_scale_shuffles_each_side_once(spark, tmp_path, plan):
+    """Without a broadcast: the batch is combined before its shuffle and the join reuses it."""
+    path = str(tmp_path / "batch")
+    spark.createDataFrame(BATCHES[0], ROWS).write.parquet(path)
+    batch = spark.read.schema(schemas.PAGECOUNTS_SERVING).parquet(path)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        df = first_write_wins(batch, batch, PAGECOUNTS.unique_key, ["count"])
+        text = plan(df)
+    finally:
+        spark.conf.set(key, before)
+    assert text.count("Exchange hashpartitioning") == 2
+    assert text.index("LeftAnti") < text.index("HashAggregate") < text.index("partial_max")
+    assert "PushedFilters: [Or(Or(IsNull(interval_start_unixtime)" in text
+    assert "CartesianProduct" not in text and "NestedLoop" not in text

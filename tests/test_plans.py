@@ -1,0 +1,157 @@
+"""What Spark makes of the reports over a stored table."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourtally import standins
+from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts
+from hourtally.operators.filters import relative_window
+from hourtally.plans import jobs, reports, sql
+from hourtally.session import scratch_path, sizing_conf
+from hourtally.sources.tables import create_tables, read_mediacounts, read_pagecounts
+
+FOLDER = "/root/testdata/sf0.001"
+FIRST, LAST = "1990-01-01", "2030-01-01"
+LO, HI = 1704412800, 1704499200  # 2024-01-05 and the first hour of the day after
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    path = scratch_path(spark, "pages")
+    jobs.store_pagecounts(standins.pagecounts(standins.events(spark, FOLDER), 12), path)
+    return path
+
+
+@pytest.fixture(scope="module")
+def media(spark):
+    path = scratch_path(spark, "media")
+    jobs.store_mediacounts(standins.mediacounts(standins.lineitem(spark, FOLDER), True), path)
+    return path
+
+
+def test_epoch_range_prunes_days_and_pushes_the_hours(spark, pages, plan):
+    text = plan(reports.hourly_rows_and_views(read_pagecounts(spark, pages), LO, HI, "view"))
+    assert "date#" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert ">= 2024-01-05" in text and "<= 2024-01-06" in text
+    assert "EqualTo(project_name,view)" in text
+    assert "GreaterThanOrEqual(interval_start_unixtime,1704412800)" in text
+    assert "ReadSchema: struct<project_name:string,interval_start_unixtime:bigint,count:bigint>" in text
+
+
+def test_only_days_in_range_are_opened(spark, pages):
+    df = read_pagecounts(spark, pages, "2024-01-05", "2024-01-06")
+    assert {f.split("/date=")[1][:10] for f in df.inputFiles()} == {"2024-01-05", "2024-01-06"}
+
+
+def test_sums_are_hash_aggregates_in_one_shuffle(spark, pages, media, plan):
+    counts = read_pagecounts(spark, pages)
+    for df in (
+        reports.hourly_total_views(counts),
+        reports.hourly_views_by_project(counts, "view"),
+        reports.hourly_views_by_article(counts, "user_7"),
+        reports.hourly_rows_and_views(counts, LO, HI),
+        reports.daily_media_totals(read_mediacounts(spark, media, FIRST, LAST)),
+    ):
+        text = plan(df)
+        assert "SortAggregate" not in text and "Window" not in text and "Python" not in text
+        assert text.count("HashAggregate") == 2
+        assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_dedup_combines_before_one_shuffle(spark, plan):
+    events, lines = standins.events(spark, FOLDER), standins.lineitem(spark, FOLDER)
+    text = plan(dedup_pagecounts(standins.page_requests(events)))
+    assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
+    text = plan(dedup_mediacounts(standins.media_requests(lines)))
+    assert "Window" not in text and text.count("Exchange") == 1 and "partial_max" in text
+
+
+def test_row_ids_need_no_python(spark, plan):
+    raw = standins.page_requests(standins.events(spark, FOLDER))
+    text = plan(jobs.normalize_pagecounts(raw, F.col("interval_start_unixtime"), row_ids=True))
+    assert "Python" not in text and text.count("Exchange") == 1
+
+
+def test_invariants(spark, pages):
+    counts = read_pagecounts(spark, pages)
+    total = counts.agg(F.sum("count")).first()[0]
+    hours = {r.hour: r.pageviews for r in reports.hourly_total_views(counts).collect()}
+    assert sum(hours.values()) == total == 1000
+    per_project = {}
+    for project in ("view", "click", "signup", "error", "purchase"):
+        for r in reports.hourly_views_by_project(counts, project).collect():
+            per_project[r.hour] = per_project.get(r.hour, 0) + r.pageviews
+    assert per_project == hours
+    assert list(hours) == sorted(hours)
+
+
+def test_filter_values_are_never_query_text(spark, pages):
+    counts = read_pagecounts(spark, pages)
+    assert reports.hourly_views_by_project(counts, "view' OR '1'='1").count() == 0
+
+
+def test_relative_window_reads_the_clock_once(spark, pages):
+    counts = read_pagecounts(spark, pages, FIRST, LAST)
+    fixed = relative_window(counts, "now-4d", "now-2d", "2024-01-10T00:00:00Z", "1d")
+    hours = sorted(r[0] for r in fixed.select("interval_start_unixtime").distinct().collect())
+    assert hours[0] >= LO and hours[-1] <= LO + 2 * 86400
+    assert relative_window(counts).count() == 0
+
+
+def test_sql_texts_equal_the_frames(spark):
+    location = scratch_path(spark, "serving")
+    for _ in range(2):
+        create_tables(spark, "texts", location)
+    counts = standins.pagecounts(standins.events(spark, FOLDER), 12)
+    from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch
+
+    ingest_batch(counts, 0, PAGECOUNTS, f"{location}/pagecounts")
+    media = standins.mediacounts(standins.lineitem(spark, FOLDER), True)
+    ingest_batch(media, 0, MEDIACOUNTS, f"{location}/mediacounts")
+    pages_read = read_pagecounts(spark, f"{location}/pagecounts", FIRST, LAST)
+    media_read = read_mediacounts(spark, f"{location}/mediacounts", FIRST, LAST)
+    cases = [
+        ("hourly_total_views", "pagecounts", {}, reports.hourly_total_views(pages_read)),
+        ("hourly_views_by_project", "pagecounts", {"project": "view"},
+         reports.hourly_views_by_project(pages_read, "view")),
+        ("hourly_views_by_article", "pagecounts", {"article": "user_7"},
+         reports.hourly_views_by_article(pages_read, "user_7")),
+        ("hourly_rows_and_views", "pagecounts", {"lo": LO, "hi": HI},
+         reports.hourly_rows_and_views(pages_read, LO, HI)),
+        ("daily_media_totals", "mediacounts", {}, reports.daily_media_totals(media_read)),
+    ]
+    for name, table, values, expected in cases:
+        got = sql.run_report(spark, name, f"texts.{table}", FIRST, LAST, **values)
+        assert got.columns == expected.columns
+        assert sorted(got.collect()) == sorted(expected.collect()) != []
+    # Days written after the table was declared are seen without any repair.
+    later = counts.withColumn("interval_start_unixtime", F.col("interval_start_unixtime") + 86400 * 365)
+    ingest_batch(later, 1, PAGECOUNTS, f"{location}/pagecounts")
+    spark.catalog.refreshTable("texts.pagecounts")
+    assert spark.table("texts.pagecounts").count() == 2 * counts.count()
+
+
+def test_sql_prunes_days_of_an_epoch_range(spark, plan):
+    location = scratch_path(spark, "pruned")
+    create_tables(spark, "pruned", location)
+    jobs.store_pagecounts(
+        standins.pagecounts(standins.events(spark, FOLDER), 12), f"{location}/pagecounts"
+    )
+    df = sql.run_report(
+        spark, "hourly_rows_and_views", "pruned.pagecounts", lo=LO, hi=HI, project="view"
+    )
+    text = plan(df)
+    assert ">= 2024-01-05" in text.split("PartitionFilters: [")[1]
+    assert "EqualTo(project_name,view)" in text
+
+
+def test_scratch_is_the_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    one, two = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert one.startswith(base) and one != two
+
+
+def test_sizing_grows_with_the_data():
+    small, large = sizing_conf(1 << 30, 8), sizing_conf(2 << 40, 4000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    assert int(large["spark.sql.shuffle.partitions"]) == 8192

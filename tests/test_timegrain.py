@@ -1,0 +1,74 @@
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from hourtally.functions import timegrain as tg
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "2022-09-02T05:00:00+00:00",
+        "2022-09-02T05:00:00.000000+00:00",
+        "2022-09-02T05:00:00Z",
+        "2022-09-02T05:00:00",
+        "2022-09-02T01:00:00-04:00",
+    ],
+)
+def test_any_iso_form_is_taken(text):
+    assert tg.parse_run_time(text) == datetime(2022, 9, 2, 5, tzinfo=timezone.utc)
+
+
+def test_lags_floor_to_the_hour_and_the_day():
+    run = "2022-09-02T05:47:31.5Z"
+    assert tg.lagged_hour(run) == datetime(2022, 9, 1, 5, tzinfo=timezone.utc)
+    assert tg.lagged_day(run) == datetime(2022, 8, 31, tzinfo=timezone.utc)
+    assert tg.lagged_hour(run, 0) == datetime(2022, 9, 2, 5, tzinfo=timezone.utc)
+
+
+def test_run_time_defaults_to_now():
+    now = tg.parse_run_time(None)
+    assert 0 <= (datetime.now(timezone.utc) - now).total_seconds() < 60
+
+
+@pytest.mark.parametrize(
+    "expression, delay, seconds_before",
+    [("now", "", 0), ("now-90s", "", 90), ("now-5m", "", 300), ("now-2h", "", 7200),
+     ("now-3d", "1d", 4 * 86400), ("now-1w", "", 7 * 86400)],
+)
+def test_relative_epochs(expression, delay, seconds_before):
+    as_of = datetime(2024, 1, 20, tzinfo=timezone.utc)
+    assert tg.relative_epoch(expression, as_of, delay) == tg.epoch_seconds(as_of) - seconds_before
+
+
+@pytest.mark.parametrize("expression", ["3d", "now+1d", "now-3y", "now-3d; drop"])
+def test_other_expressions_are_refused(expression):
+    with pytest.raises(ValueError):
+        tg.relative_epoch(expression)
+
+
+@pytest.mark.parametrize("name", ["UTC", "America/New_York", "Asia/Kolkata", "America/Sao_Paulo"])
+def test_columns_do_not_depend_on_session_zone(spark, zone, name):
+    zone(name)
+    # 2024-03-10 02:30 does not exist in New York, 2018-11-04 00:15 not in Sao Paulo.
+    texts = ["1969-12-31 23:30:00", "2018-11-04 00:15:00", "2024-03-10 02:30:00", "2024-11-03 01:59:59.9"]
+    ts = F.to_timestamp_ntz(F.col("text"))
+    epoch = tg.hour_epoch(ts)
+    got = (
+        spark.createDataFrame([(t,) for t in texts], "text string")
+        .select(epoch.alias("e"), tg.epoch_to_day(epoch).alias("d"), tg.epoch_to_ntz(epoch).alias("h"))
+        .collect()
+    )
+    for text, row in zip(texts, got):
+        hour = datetime.fromisoformat(text).replace(minute=0, second=0, microsecond=0)
+        assert row["h"] == hour
+        assert row["e"] == int(hour.replace(tzinfo=timezone.utc).timestamp())
+        assert row["d"] == text[:10]
+        assert tg.day_string(row["e"]) == text[:10]
+
+
+def test_wider_slots(spark):
+    ts = F.expr("TIMESTAMP_NTZ'2024-01-05 17:20:00'")
+    row = spark.range(1).select(tg.epoch_to_ntz(tg.hour_epoch(ts, 12)).alias("h")).first()
+    assert row["h"] == datetime(2024, 1, 5, 12)
