@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally import standins
-from hourtally.functions.timegrain import DAY, HOUR, epoch_to_day, epoch_to_ntz, hour_epoch
+from hourtally.functions.timegrain import (
+    DAY,
+    HOUR,
+    epoch_to_day,
+    epoch_to_ntz,
+    hour_epoch,
+    relative_epoch,
+)
 from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch
 from hourtally.plans import jobs, reports, sql
@@ -27,6 +34,7 @@ from hourtally.sources.tables import (
     read_dates,
     read_mediacounts,
     read_pagecounts,
+    register_external,
 )
 from hourtally.streaming.file_ingest import FileIngest
 
@@ -80,7 +88,8 @@ def hourly_rows_and_views_project(spark: SparkSession, folder: str) -> DataFrame
 
 
 def relative_window_views(spark: SparkSession, folder: str) -> DataFrame:
-    counts = standins.pagecounts(standins.events(spark, folder)).drop("date")
+    lo, hi = (relative_epoch(e, AS_OF, "1d") for e in ("now-3d", "now-1d"))
+    counts = _pagecounts_in(spark, folder, lo, hi)
     return reports.relative_rows_and_views(counts, as_of=AS_OF, now_delay="1d")
 
 
@@ -267,6 +276,18 @@ def serving_tables_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def external_tables_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored media counts asked in SQL through the external views."""
+    pages, media = scratch_path(spark, "pagecounts"), scratch_path(spark, "mediacounts")
+    counts = standins.mediacounts(standins.lineitem(spark, folder), monthly=True)
+    jobs.store_mediacounts(counts, media)
+    prefix = media.split("/")[-2].replace("-", "_") + "_"
+    register_external(spark, pages, media, prefix, MEDIA_FIRST, MEDIA_LAST)
+    return sql.run_report(
+        spark, "daily_media_totals", f"{prefix}mediacounts", MEDIA_FIRST, MEDIA_LAST
+    )
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return hourly_total_views(spark, SMOKE_FOLDER)
 
@@ -294,6 +315,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "media_ingest_mapping": media_ingest_mapping,
         "stream_ingest_pagecounts": stream_ingest_pagecounts,
         "serving_tables_report": serving_tables_report,
+        "external_tables_report": external_tables_report,
     }
 
 
@@ -452,4 +474,10 @@ def oracle_sql() -> dict[str, str]:
           FROM mediacounts""",
         "stream_ingest_pagecounts": _INGESTED,
         "serving_tables_report": _panel(LO, HI, f" AND project_name = '{PROJECT}'"),
+        "external_tables_report": f"""
+          WITH mediacounts AS ({_mediacounts(_MONTH)})
+          SELECT date AS d, sum(total_response_bytes)::bigint / power(10, 12) AS tb_served,
+                 sum(total_transfers_all)::bigint AS n_imgs_served
+          FROM mediacounts WHERE date BETWEEN '{MEDIA_FIRST}' AND '{MEDIA_LAST}'
+          GROUP BY date ORDER BY date""",
     }

@@ -99,6 +99,8 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
+    if getattr(args, "name", None) == "hourly_views_by_article" and not args.article:
+        parser().error("hourly_views_by_article needs --article")
     spark = build_session(f"hourtally {args.command}")
     if args.command.startswith("load"):
         load(spark, args)

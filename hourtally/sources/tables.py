@@ -72,6 +72,23 @@ def read_mediacounts(
     return _read_visible(spark, path, MEDIACOUNTS_EXTERNAL, first, last)
 
 
+def register_external(
+    spark: SparkSession,
+    pagecounts: str,
+    mediacounts: str,
+    prefix: str = "",
+    first: str = FIRST_VISIBLE_DATE,
+    last: str | None = None,
+) -> None:
+    """Views ``pagecounts`` and ``mediacounts`` over the files of the load jobs, for SQL.
+
+    Only the visible date range is in them; days loaded later need a new call, which replaces
+    the views.
+    """
+    read_pagecounts(spark, pagecounts, first, last).createOrReplaceTempView(f"{prefix}pagecounts")
+    read_mediacounts(spark, mediacounts, first, last).createOrReplaceTempView(f"{prefix}mediacounts")
+
+
 @contextmanager
 def _partitions_from_storage(spark: SparkSession):
     """Tables made inside list their directories at query time, so none is ever added by hand."""
