@@ -136,7 +136,7 @@ def normalize_pagecounts(spark: SparkSession, folder: str) -> DataFrame:
 
 def normalize_mediacounts(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "mediacounts-raw")
-    rows = standins.media_requests(standins.lineitem(spark, folder), monthly=True)
+    rows = standins.media_requests(standins.lineitem(spark, folder), "year")
     standins.write_raw_mediacounts(rows, path)
     raw = read_mediacounts_raw(spark, path, folders="load_day string")
     return jobs.normalize_mediacounts(raw, F.col("load_day"))
@@ -195,7 +195,7 @@ def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 def media_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "mediacounts")
-    counts = standins.mediacounts(standins.lineitem(spark, folder), monthly=True)
+    counts = standins.mediacounts(standins.lineitem(spark, folder), "month")
     jobs.store_mediacounts(counts, path)
     return read_mediacounts(spark, path, MEDIA_FIRST, MEDIA_LAST)
 
@@ -244,7 +244,7 @@ def keyed_ingest_first_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 def media_ingest_mapping(spark: SparkSession, folder: str) -> DataFrame:
     target, arrivals = scratch_path(spark, "mediacounts"), scratch_path(spark, "arrivals")
-    rows = standins.mediacounts(standins.lineitem(spark, folder), monthly=True)
+    rows = standins.mediacounts(standins.lineitem(spark, folder), "month")
     rows.write.parquet(arrivals)
     counts = spark.read.schema(MEDIACOUNTS.source).parquet(arrivals)
     ingest_batch(counts, 0, MEDIACOUNTS, target)
@@ -279,7 +279,7 @@ def serving_tables_report(spark: SparkSession, folder: str) -> DataFrame:
 def external_tables_report(spark: SparkSession, folder: str) -> DataFrame:
     """Stored media counts asked in SQL through the external views."""
     pages, media = scratch_path(spark, "pagecounts"), scratch_path(spark, "mediacounts")
-    counts = standins.mediacounts(standins.lineitem(spark, folder), monthly=True)
+    counts = standins.mediacounts(standins.lineitem(spark, folder), "month")
     jobs.store_mediacounts(counts, media)
     prefix = media.split("/")[-2].replace("-", "_") + "_"
     register_external(spark, pages, media, prefix, MEDIA_FIRST, MEDIA_LAST)
@@ -346,6 +346,7 @@ _MEDIA_EXPRESSIONS = {
     "transfers_from_non_wmf_domain": "CASE WHEN l_linestatus = 'F' THEN l_quantity::int ELSE 0 END",
     "transfers_from_invalid_domain": "CASE WHEN l_linenumber = 7 THEN l_quantity::int ELSE 0 END",
 }
+_YEAR = "strftime(date_trunc('year', l_shipdate), '%Y-%m-%d')"
 _MONTH = "strftime(date_trunc('month', l_shipdate), '%Y-%m-%d')"
 _MEDIA_DAY = "strftime(l_shipdate, '%Y-%m-%d')"
 
@@ -426,7 +427,7 @@ def oracle_sql() -> dict[str, str]:
                  strftime(ts, '%Y-%m-%d') AS date
           FROM events GROUP BY ALL""",
         "normalize_mediacounts": f"""
-          WITH requests AS ({_media_requests(_MONTH)}),
+          WITH requests AS ({_media_requests(_YEAR)}),
                ranked AS (SELECT *, row_number() OVER (
                  PARTITION BY date, filename ORDER BY {_GREATEST_FIRST}) AS rn FROM requests)
           SELECT filename, date AS _date, {_MEASURES}, date FROM ranked WHERE rn = 1""",

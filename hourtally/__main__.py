@@ -44,7 +44,7 @@ def parser() -> argparse.ArgumentParser:
         ingest.add_argument("--source", required=True)
         ingest.add_argument("--root", required=True)
         ingest.add_argument("--every", help="look again this often; default: once")
-        ingest.add_argument("--max-files", type=int)
+        ingest.add_argument("--max-files", type=int, default=10_000)
         ingest.add_argument("--generation", type=int, default=0)
     report = commands.add_parser("report")
     report.add_argument("name", choices=REPORTS)

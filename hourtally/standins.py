@@ -73,9 +73,9 @@ def pagecounts(df: DataFrame, slot_hours: int = 1) -> DataFrame:
     ).select(*PAGECOUNTS_NORMAL.names)
 
 
-def _media_day(monthly: bool) -> Column:
+def _media_day(grain: str) -> Column:
     day = F.col("l_shipdate").cast("date")
-    return (F.trunc(day, "month") if monthly else day).cast("string")
+    return (day if grain == "day" else F.trunc(day, grain)).cast("string")
 
 
 def _media_measures() -> dict[str, Column]:
@@ -98,22 +98,22 @@ def _media_measures() -> dict[str, Column]:
     }
 
 
-def media_requests(df: DataFrame, monthly: bool = False) -> DataFrame:
+def media_requests(df: DataFrame, grain: str = "day") -> DataFrame:
     """One row per order line.
 
-    ``monthly`` dates each row on the first of its month, for stand-ins that are written to
-    disk: the sample has a few rows a day where a real day has millions.
+    A ``grain`` of month or year dates each row on the first of it, for stand-ins that are
+    written to disk: the sample has a few rows a day where a real day has millions.
     """
     return df.select(
         F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("filename"),
-        _media_day(monthly).alias("date"),
+        _media_day(grain).alias("date"),
         *(c.alias(name) for name, c in _media_measures().items()),
     )
 
 
-def mediacounts(df: DataFrame, monthly: bool = False) -> DataFrame:
+def mediacounts(df: DataFrame, grain: str = "day") -> DataFrame:
     """Counters per file and day."""
-    day = _media_day(monthly).alias("date")
+    day = _media_day(grain).alias("date")
     measures = _media_measures()
     summed = [
         F.sum(c).cast("bigint" if name == "total_response_bytes" else "int").alias(name)

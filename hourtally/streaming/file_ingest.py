@@ -27,7 +27,7 @@ class FileIngest:
     source: str
     root: str
     generation: int = 0
-    max_files: int | None = None
+    max_files: int = 10_000
     source_schema: StructType | None = None
 
     @property
@@ -61,15 +61,16 @@ class FileIngest:
 
         Keys are remembered by the target itself, not by streaming state: they count for
         ever, so a late or repeated file finds them however old they are. ``max_files``
-        bounds a micro-batch when there is a backlog.
+        cuts a backlog into batches; all of it is loaded.
         """
-        reader = spark.readStream.schema(self.source_schema or self.table.source)
         # By default Spark passes over files a week older than the newest it has seen; a dump
         # that comes late counts like any other.
-        reader = reader.option("maxFileAge", "36500d")
-        if self.max_files:
-            reader = reader.option("maxFilesPerTrigger", self.max_files)
-        files = reader.parquet(self.source)
+        files = (
+            spark.readStream.schema(self.source_schema or self.table.source)
+            .option("maxFileAge", "36500d")
+            .option("maxFilesPerTrigger", self.max_files)
+            .parquet(self.source)
+        )
 
         def load(batch, batch_id):
             ingest_batch(batch, batch_id, self.table, self.target)

@@ -25,7 +25,7 @@ def pages(spark):
 @pytest.fixture(scope="module")
 def media(spark):
     path = scratch_path(spark, "media")
-    jobs.store_mediacounts(standins.mediacounts(standins.lineitem(spark, FOLDER), True), path)
+    jobs.store_mediacounts(standins.mediacounts(standins.lineitem(spark, FOLDER), "month"), path)
     return path
 
 
@@ -106,7 +106,7 @@ def test_sql_texts_equal_the_frames(spark):
     from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch
 
     ingest_batch(counts, 0, PAGECOUNTS, f"{location}/pagecounts")
-    media = standins.mediacounts(standins.lineitem(spark, FOLDER), True)
+    media = standins.mediacounts(standins.lineitem(spark, FOLDER), "month")
     ingest_batch(media, 0, MEDIACOUNTS, f"{location}/mediacounts")
     pages_read = read_pagecounts(spark, f"{location}/pagecounts", FIRST, LAST)
     media_read = read_mediacounts(spark, f"{location}/mediacounts", FIRST, LAST)

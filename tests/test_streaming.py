@@ -2,6 +2,7 @@ import time
 from dataclasses import replace
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from hourtally import schemas
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, keyed
@@ -62,6 +63,31 @@ def test_runs_until_stopped(spark, ingest):
     assert stored(spark, ingest) == {("en", "A", 0, 1), ("en", "B", 0, 2)}
 
 
+def test_a_batch_cut_off_after_its_write_is_repeated(spark, ingest, monkeypatch):
+    """The write is done but the checkpoint does not know: the restart runs the batch again."""
+    from hourtally.streaming import file_ingest
+
+    arrive(spark, ingest, ("en", "A", 0, 1), ("en", None, 0, 5))
+    ingest.run_available(spark)
+    arrive(spark, ingest, ("en", "A", 0, 2), ("en", None, 0, 6), ("en", "B", 0, 7))
+    real = file_ingest.ingest_batch
+
+    def cut_off(*args):
+        real(*args)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(file_ingest, "ingest_batch", cut_off)
+    with pytest.raises(StreamingQueryException):
+        ingest.run_available(spark)
+    monkeypatch.setattr(file_ingest, "ingest_batch", real)
+    ingest.run_available(spark)
+    assert stored(spark, ingest) == {
+        ("en", "A", 0, 1), ("en", None, 0, 5), ("en", None, 0, 6), ("en", "B", 0, 7)
+    }
+    rows = read_dates(spark, ingest.target, PAGECOUNTS.stored, None)
+    assert rows.count() == 4
+
+
 def test_a_changed_definition_starts_over_elsewhere(ingest):
     again = FileIngest(PAGECOUNTS, ingest.source, ingest.root)
     assert again.checkpoint == ingest.checkpoint
