@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit -m hourtally`` or ``python -m hourtally``.
+"""Command line: ``python -m hourtally``, or this file with ``spark-submit --py-files``.
 
     load-pagecounts   --source DIR --target DIR [--run-time ISO ...]
     load-mediacounts  --source DIR --target DIR [--run-time ISO ...]

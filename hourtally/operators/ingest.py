@@ -17,6 +17,7 @@ from hourtally.operators.mapping import project_mapping
 from hourtally.sources.sinks import BATCH, write_replacing
 from hourtally.sources.tables import MAX_LISTED_DAYS, read_dates
 
+
 @dataclass(frozen=True)
 class ServingTable:
     """Columns, key and layout of a table, and how source columns map onto it.

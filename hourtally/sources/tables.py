@@ -34,8 +34,11 @@ def read_dates(
     """
     reader = spark.read.schema(schema)
     if days is not None:
+        names = ",".join(sorted(days))
+        if not names:
+            return spark.createDataFrame([], schema)
         reader = reader.option("basePath", path)
-        path = f"{path.rstrip('/')}/date={{{','.join(sorted(days))}}}"
+        path = f"{path.rstrip('/')}/date={{{names}}}"
     try:
         return reader.parquet(path).select(*schema.names)
     except AnalysisException as error:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts, keep_greatest
@@ -37,6 +39,25 @@ def test_media_keys_keep_one_whole_row(spark):
         assert {tuple(r) for r in got.collect()} == {rows[1], rows[3], rows[6]}
 
 
+def test_media_dedup_matches_a_loop_over_rows(spark):
+    """Random rows with NULLs everywhere and one key on a third of them."""
+    rnd = random.Random(5)
+    schema = "date string, filename string, " + ", ".join(
+        f"{m} {'bigint' if m == 'total_response_bytes' else 'int'}" for m in MEDIA_MEASURES
+    )
+    rows, best = [], {}
+    for _ in range(3000):
+        hot = rnd.random() < 0.34
+        key = ("d1", "hot") if hot else (rnd.choice(["d1", "d2", None]), rnd.choice(["f", "g", None]))
+        measures = tuple(rnd.choice([None, 0, 1, 2]) for _ in MEDIA_MEASURES)
+        rows.append(key + measures)
+        order = [(m is not None, m or 0) for m in measures]
+        if key not in best or order > best[key][0]:
+            best[key] = (order, measures)
+    got = dedup_mediacounts(spark.createDataFrame(rows, schema).repartition(4))
+    assert {tuple(r) for r in got.collect()} == {k + m for k, (_, m) in best.items()}
+
+
 @pytest.mark.parametrize("measures", [["count"], []])
 def test_dedup_is_idempotent(spark, measures):
     rows = [(k % 7, k % 3) for k in range(50)]

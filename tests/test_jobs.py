@@ -111,6 +111,7 @@ def test_visible_range_and_text_dates(spark, hourly, tmp_path):
     assert read_pagecounts(spark, table, last=LAST).count() == 4
     assert read_pagecounts(spark, table, "2022-09-02", LAST).count() == 0
     assert read_pagecounts(spark, table, "2022-01-01", "2022-08-31").count() == 0
+    assert read_pagecounts(spark, table, "2022-09-02", "2022-09-01").count() == 0
     assert read_pagecounts(spark, table, "1900-01-01", "2500-01-01").count() == 4
     assert read_pagecounts(spark, str(tmp_path / "absent"), last=LAST).count() == 0
 
