@@ -263,6 +263,19 @@ def stream_ingest_pagecounts(spark: SparkSession, folder: str) -> DataFrame:
     return _stored_pagecounts(spark, ingest.target)
 
 
+def stream_ingest_mediacounts(spark: SparkSession, folder: str) -> DataFrame:
+    """No key: a second copy of every file is appended, and an idle run adds nothing."""
+    source, root = scratch_path(spark, "arrivals"), scratch_path(spark, "serving")
+    counts = standins.mediacounts(standins.lineitem(spark, folder), "year")
+    ingest = FileIngest(MEDIACOUNTS, source, root)
+    for _ in range(2):
+        write_partitioned(counts, source)
+        ingest.run_available(spark)
+    ingest.run_available(spark)
+    stored = read_dates(spark, ingest.target, MEDIACOUNTS.stored, None)
+    return stored.select(*MEDIACOUNTS.columns.names)
+
+
 def serving_tables_report(spark: SparkSession, folder: str) -> DataFrame:
     """Catalog tables created if absent, filled, and asked in SQL with bound parameters."""
     location = scratch_path(spark, "serving")
@@ -314,6 +327,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "keyed_ingest_first_wins": keyed_ingest_first_wins,
         "media_ingest_mapping": media_ingest_mapping,
         "stream_ingest_pagecounts": stream_ingest_pagecounts,
+        "stream_ingest_mediacounts": stream_ingest_mediacounts,
         "serving_tables_report": serving_tables_report,
         "external_tables_report": external_tables_report,
     }
@@ -380,6 +394,18 @@ def _panel(lo: int, hi: int, more: str = "", epoch: str = _EPOCH) -> str:
 # as_of 2024-01-20 less the 1-day delay gives a "now" of 2024-01-19.
 _NOW = 1705622400
 
+
+
+def _media_ingested(day: str, source: str = "mediacounts") -> str:
+    return f"""
+      WITH mediacounts AS ({_mediacounts(day)})
+      SELECT filename, date, total_response_bytes, total_transfers_all,
+             {", ".join(f"NULL::int AS {m}" for m in MEDIA_MEASURES[2:])}
+      FROM {source}"""
+
+
+_TWICE = "(SELECT * FROM mediacounts UNION ALL SELECT * FROM mediacounts)"
+
 _INGESTED = f"""
   WITH pagecounts AS ({_counts()})
   SELECT project_name, article_name, interval_start_unixtime, count FROM pagecounts
@@ -468,12 +494,9 @@ def oracle_sql() -> dict[str, str]:
           WHERE date BETWEEN '{MEDIA_FIRST}' AND '{MEDIA_LAST}'""",
         "stored_epoch_range": _panel(LO, HI, epoch=_SLOT_EPOCH),
         "keyed_ingest_first_wins": _INGESTED,
-        "media_ingest_mapping": f"""
-          WITH mediacounts AS ({_mediacounts(_MONTH)})
-          SELECT filename, date, total_response_bytes, total_transfers_all,
-                 {", ".join(f"NULL::int AS {m}" for m in MEDIA_MEASURES[2:])}
-          FROM mediacounts""",
+        "media_ingest_mapping": _media_ingested(_MONTH),
         "stream_ingest_pagecounts": _INGESTED,
+        "stream_ingest_mediacounts": _media_ingested(_YEAR, _TWICE),
         "serving_tables_report": _panel(LO, HI, f" AND project_name = '{PROJECT}'"),
         "external_tables_report": f"""
           WITH mediacounts AS ({_mediacounts(_MONTH)})
