@@ -395,7 +395,6 @@ def _panel(lo: int, hi: int, more: str = "", epoch: str = _EPOCH) -> str:
 _NOW = 1705622400
 
 
-
 def _media_ingested(day: str, source: str = "mediacounts") -> str:
     return f"""
       WITH mediacounts AS ({_mediacounts(day)})

@@ -1,7 +1,7 @@
 """Command line: ``python -m hourtally``, or this file with ``spark-submit --py-files``.
 
-    load-pagecounts   --source DIR --target DIR [--run-time ISO ...]
-    load-mediacounts  --source DIR --target DIR [--run-time ISO ...]
+    load-pagecounts   --source DIR --target DIR [--run-time ISO [--until ISO]]
+    load-mediacounts  --source DIR --target DIR [--run-time ISO [--until ISO]]
     ingest-pagecounts  --source DIR --root DIR [--every "1 minute"]
     ingest-mediacounts --source DIR --root DIR [--every "1 minute"]
     report NAME --table DIR [--project P] [--article A] [--since now-3d] [--until now-1d]
@@ -13,6 +13,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hourtally.functions.timegrain import run_times
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS
 from hourtally.plans import jobs, reports
 from hourtally.session import build_session
@@ -36,7 +37,8 @@ def parser() -> argparse.ArgumentParser:
         load = commands.add_parser(f"load-{kind}")
         load.add_argument("--source", required=True)
         load.add_argument("--target", required=True)
-        load.add_argument("--run-time", action="append", help="ISO-8601; default: now")
+        load.add_argument("--run-time", help="ISO-8601; default: now")
+        load.add_argument("--until", help="last run time of a backfill")
         load.add_argument("--lag-days", type=int, default=lag)
         load.add_argument("--archive-names", action="store_true", help="published file names")
         load.add_argument("--row-ids", action="store_true")
@@ -61,14 +63,17 @@ def parser() -> argparse.ArgumentParser:
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    runs = args.run_time or [None]
-    if args.command == "load-pagecounts":
+    pages = args.command == "load-pagecounts"
+    runs = [args.run_time]
+    if args.until:
+        runs = run_times(args.run_time, args.until, 1 if pages else 24)
+    if pages:
         layout = paths.HOURLY_ARCHIVE if args.archive_names else paths.HOURLY_STAGED
         job, store = jobs.load_pagecounts, jobs.store_pagecounts
     else:
         layout = paths.DAILY_ARCHIVE if args.archive_names else paths.DAILY_STAGED
         job, store = jobs.load_mediacounts, jobs.store_mediacounts
-    store(job(spark, runs, args.source, args.lag_days, layout, args.row_ids), args.target)
+    store(job(spark, runs, args.source, args.lag_days, layout), args.target, args.row_ids)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -48,6 +48,15 @@ def lagged_day(run_time: str | datetime | None, lag_days: int = 2) -> datetime:
     return lagged_hour(run_time, lag_days).replace(hour=0)
 
 
+def run_times(
+    first: str | datetime | None, last: str | datetime | None, step_hours: int = 1
+) -> list[datetime]:
+    """Run times from ``first`` to ``last``, both included, for a backfill."""
+    start, stop = parse_run_time(first), parse_run_time(last)
+    steps = int((stop - start).total_seconds()) // (step_hours * HOUR)
+    return [start + timedelta(hours=n * step_hours) for n in range(steps + 1)]
+
+
 def epoch_seconds(t: datetime) -> int:
     return int(parse_run_time(t).timestamp())
 

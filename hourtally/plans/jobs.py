@@ -19,16 +19,11 @@ from hourtally.sources.paths import (
     hourly_paths,
 )
 from hourtally.sources.raw import read_mediacounts_raw, read_pagecounts_raw, source_file_name
-from hourtally.sources.sinks import by_hour_loaded, write_replacing
+from hourtally.sources.sinks import by_hour_loaded, with_row_ids, write_replacing
 
 Run = str | datetime | None
 
 
-def with_row_ids(df: DataFrame) -> DataFrame:
-    """A random UUID per row. Added last, so no shuffle depends on it or carries it."""
-    return df.select(F.expr("uuid()").alias("id"), "*")
-
-
 def normalize_pagecounts(raw: DataFrame, interval_start: Column, row_ids: bool = False) -> DataFrame:
     """Raw hourly rows to ``[id,] project, article, hour, count, date``, one per key.
 
@@ -61,7 +56,6 @@ def load_pagecounts(
     source: str,
     lag_days: int = 1,
     layout: FileLayout = HOURLY_STAGED,
-    row_ids: bool = False,
 ) -> DataFrame:
     """Normalised page counts of the hours the run times cover.
 
@@ -69,7 +63,7 @@ def load_pagecounts(
     files. The hour is taken from the file name.
     """
     raw = read_pagecounts_raw(spark, hourly_paths(source, run_times, lag_days, layout))
-    return normalize_pagecounts(raw, layout.epoch(source_file_name()), row_ids)
+    return normalize_pagecounts(raw, layout.epoch(source_file_name()))
 
 
 def load_mediacounts(
@@ -78,14 +72,13 @@ def load_mediacounts(
     source: str,
     lag_days: int = 2,
     layout: FileLayout = DAILY_STAGED,
-    row_ids: bool = False,
 ) -> DataFrame:
     """Normalised media counts of the days the run times cover."""
     raw = read_mediacounts_raw(spark, daily_paths(source, run_times, lag_days, layout))
-    return normalize_mediacounts(raw, epoch_to_day(layout.epoch(source_file_name())), row_ids)
+    return normalize_mediacounts(raw, epoch_to_day(layout.epoch(source_file_name())))
 
 
-def store_pagecounts(df: DataFrame, path: str) -> None:
+def store_pagecounts(df: DataFrame, path: str, row_ids: bool = False) -> None:
     """Write normalised page counts; a re-run of an hour replaces that hour alone."""
     write_replacing(
         by_hour_loaded(df),
@@ -93,9 +86,10 @@ def store_pagecounts(df: DataFrame, path: str) -> None:
         shard_by=("project_name",),
         sort_by=("interval_start_unixtime", "project_name", "article_name"),
         lookup=("article_name",),
+        row_ids=row_ids,
     )
 
 
-def store_mediacounts(df: DataFrame, path: str) -> None:
+def store_mediacounts(df: DataFrame, path: str, row_ids: bool = False) -> None:
     """Write normalised media counts; a re-run of a day replaces that day."""
-    write_replacing(df, path, partitions=("date",), sort_by=("filename",))
+    write_replacing(df, path, partitions=("date",), sort_by=("filename",), row_ids=row_ids)

@@ -29,6 +29,11 @@ def lay_out(
     return gathered.sortWithinPartitions(*partitions, *rest)
 
 
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """A random UUID per row. Added last, so that no shuffle depends on it or carries it."""
+    return df.select(F.expr("uuid()").alias("id"), "*")
+
+
 def _writer(df: DataFrame, partitions: Sequence[str], lookup: Sequence[str]) -> DataFrameWriter:
     writer = df.write.partitionBy(*partitions).option("compression", "snappy")
     for column in lookup:
@@ -59,6 +64,7 @@ def write_replacing(
     shard_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     lookup: Sequence[str] = (),
+    row_ids: bool = False,
 ) -> None:
     """Write the directories ``df`` has rows for, replacing what they held.
 
@@ -67,6 +73,7 @@ def write_replacing(
     23 hours.
     """
     rows = lay_out(df, partitions, shard_by, sort_by)
+    rows = with_row_ids(rows) if row_ids else rows
     writer = _writer(rows, partitions, lookup).mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 

@@ -70,11 +70,16 @@ def test_media_job_yields_both_day_columns(spark, daily):
     }
 
 
-def test_row_ids_are_distinct(spark, hourly):
-    df = jobs.load_pagecounts(spark, RUNS, hourly.folder, row_ids=True)
-    assert df.columns[0] == "id"
-    ids = [r.id for r in df.collect()]
-    assert len(set(ids)) == 4 and all(len(i) == 36 for i in ids)
+def test_row_ids_are_distinct(spark, hourly, daily, tmp_path):
+    pages, media = str(tmp_path / "p"), str(tmp_path / "m")
+    jobs.store_pagecounts(jobs.load_pagecounts(spark, RUNS, hourly.folder), pages, row_ids=True)
+    runs = ["2022-09-01T00:00:00Z"]
+    jobs.store_mediacounts(jobs.load_mediacounts(spark, runs, daily.folder), media, row_ids=True)
+    for path, n in ((pages, 4), (media, 2)):
+        ids = [r.id for r in spark.read.parquet(path).collect()]
+        assert len(set(ids)) == n and all(len(i) == 36 for i in ids)
+    # Readers do not see the column.
+    assert "id" not in read_pagecounts(spark, pages).columns
 
 
 def test_rerun_of_an_hour_replaces_only_that_hour(spark, hourly, tmp_path):
@@ -167,7 +172,7 @@ def test_a_hot_project_is_written_by_several_tasks(spark, tmp_path):
 def test_command_line(spark, hourly, daily, tmp_path, capsys):
     pages, media, root = (str(tmp_path / n) for n in ("p", "m", "serving"))
     cli.main(["load-pagecounts", "--source", hourly.folder, "--target", pages,
-              "--run-time", RUNS[0], "--run-time", RUNS[1]])
+              "--run-time", RUNS[0], "--until", RUNS[0].replace("T04", "T05")])
     cli.main(["load-mediacounts", "--source", daily.folder, "--target", media,
               "--run-time", "2022-09-01T00:00:00Z", "--row-ids"])
     out = str(tmp_path / "out")

@@ -27,6 +27,13 @@ def test_lags_floor_to_the_hour_and_the_day():
     assert tg.lagged_hour(run, 0) == datetime(2022, 9, 2, 5, tzinfo=timezone.utc)
 
 
+def test_backfill_run_times():
+    hours = tg.run_times("2022-09-01T22:30:00Z", "2022-09-02T01:00:00Z")
+    assert [t.hour for t in hours] == [22, 23, 0]
+    days = tg.run_times("2022-09-01", "2022-09-04", 24)
+    assert [t.day for t in days] == [1, 2, 3, 4]
+
+
 def test_run_time_defaults_to_now():
     now = tg.parse_run_time(None)
     assert 0 <= (datetime.now(timezone.utc) - now).total_seconds() < 60
