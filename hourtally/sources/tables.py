@@ -104,14 +104,24 @@ def _partitions_from_storage(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+def declare_table(
+    spark: SparkSession, database: str, name: str, columns: StructType, path: str
+) -> None:
+    """Declare the serving table stored at ``path``, if the name is not taken.
+
+    Its directories are found by listing; within a session ``refreshTable`` shows new ones.
+    """
+    declared = [f"{f.name} {f.dataType.simpleString()}" for f in columns if f.name != "date"]
+    with _partitions_from_storage(spark):
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS `{database}`.{name} "
+            f"({', '.join(declared)}, date string, {BATCH} bigint) USING parquet "
+            f"PARTITIONED BY (date, {BATCH}) LOCATION '{path}'"
+        )
+
+
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """Create the database and both serving tables below ``location`` where absent."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
-    with _partitions_from_storage(spark):
-        for name, schema in (("pagecounts", PAGECOUNTS_SERVING), ("mediacounts", MEDIACOUNTS_SERVING)):
-            columns = [f"{f.name} {f.dataType.simpleString()}" for f in schema if f.name != "date"]
-            spark.sql(
-                f"CREATE TABLE IF NOT EXISTS `{database}`.{name} "
-                f"({', '.join(columns)}, date string, {BATCH} bigint) USING parquet "
-                f"PARTITIONED BY (date, {BATCH}) LOCATION '{location}/{name}'"
-            )
+    declare_table(spark, database, "pagecounts", PAGECOUNTS_SERVING, f"{location}/pagecounts")
+    declare_table(spark, database, "mediacounts", MEDIACOUNTS_SERVING, f"{location}/mediacounts")

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from hourtally.operators.ingest import ServingTable, ingest_batch
+from hourtally.sources.tables import declare_table
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,11 @@ class FileIngest:
     def checkpoint(self) -> str:
         return f"{self.folder}/checkpoint"
 
+    def declare(self, spark: SparkSession, database: str) -> None:
+        """Point the catalog table at this target; the files of an earlier one stay."""
+        spark.sql(f"DROP TABLE IF EXISTS `{database}`.{self.table.name}")
+        declare_table(spark, database, self.table.name, self.table.columns, self.target)
+
     def start(self, spark: SparkSession, every: str | None = None) -> StreamingQuery:
         """Load what has arrived and stop, or look again ``every`` interval until stopped.
 

@@ -6,6 +6,7 @@ from pyspark.errors import StreamingQueryException
 
 from hourtally import schemas
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, keyed
+from hourtally.plans import sql
 from hourtally.sources.sinks import write_partitioned
 from hourtally.sources.tables import read_dates
 from hourtally.streaming.file_ingest import FileIngest
@@ -88,6 +89,28 @@ def test_a_batch_cut_off_after_its_write_is_repeated(spark, ingest, monkeypatch)
     assert rows.count() == 4
 
 
+def test_a_replaced_definition_serves_under_the_same_name(spark, ingest):
+    spark.sql("CREATE DATABASE IF NOT EXISTS served")
+    arrive(spark, ingest, ("en", "A", 0, 1))
+
+    def served():
+        rows = sql.run_report(spark, "hourly_total_views", "served.pagecounts", "1970-01-01")
+        return [r.pageviews for r in rows.collect()]
+
+    ingest.run_available(spark)
+    ingest.declare(spark, "served")
+    assert served() == [1]
+    arrive(spark, ingest, ("en", "A", 0, 5), ("en", "B", 0, 2))
+    ingest.run_available(spark)
+    spark.catalog.refreshTable("served.pagecounts")
+    assert served() == [3]
+    again = replace(ingest, generation=1)
+    again.run_available(spark)  # both files in one batch, so the greater count is kept
+    again.declare(spark, "served")
+    assert served() == [7]
+    assert stored(spark, ingest) == {("en", "A", 0, 1), ("en", "B", 0, 2)}
+
+
 def test_a_changed_definition_starts_over_elsewhere(ingest):
     again = FileIngest(PAGECOUNTS, ingest.source, ingest.root)
     assert again.checkpoint == ingest.checkpoint
