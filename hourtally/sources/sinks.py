@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 BATCH = "_batch_id"
 
+# Files a directory is spread over while it is small enough not to be cut by size. An hour of
+# a 100 TB table is about 1 GB, so eight are of the usual 128 MB.
+SHARDS = 8
+
 
 def lay_out(
     df: DataFrame,
@@ -19,14 +23,19 @@ def lay_out(
     """Gather rows by directory and shard, and sort them inside each task.
 
     REBALANCE rather than ``repartition``: AQE merges small shards and cuts a hot one (one
-    project or one day with a third of the rows) into several tasks of the advisory size,
-    so there are few files per directory and none is written by an overloaded task. The sort
-    starts with the directory columns, as the writer would otherwise sort again, and leaves
-    row groups with narrow key ranges for the scan to skip.
+    project or one day with a third of the rows) into several tasks of the advisory size. The
+    shard key is hashed to ``SHARDS`` values, not used itself: with thousands of projects
+    every task would hold some of every directory and write a small file into each.
+
+    The sort starts with the directory columns, as the writer would otherwise sort again, and
+    leaves row groups with narrow key ranges for the scan to skip.
     """
-    gathered = df.hint("rebalance", *partitions, *(c for c in shard_by if c not in partitions))
+    gather = list(partitions)
+    if shard_by:
+        df = df.withColumn("_shard", F.pmod(F.xxhash64(*shard_by), F.lit(SHARDS)))
+        gather.append("_shard")
     rest = [c for c in sort_by if c not in partitions]
-    return gathered.sortWithinPartitions(*partitions, *rest)
+    return df.hint("rebalance", *gather).sortWithinPartitions(*partitions, *rest).drop("_shard")
 
 
 def with_row_ids(df: DataFrame) -> DataFrame:

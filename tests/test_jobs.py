@@ -169,6 +169,38 @@ def test_a_hot_project_is_written_by_several_tasks(spark, tmp_path):
     assert stored.count() == 400_000
 
 
+def test_many_projects_do_not_scatter_a_backfill(spark, tmp_path):
+    """Files per hour are bounded by the shards, however many projects and tasks there are."""
+    rows = spark.range(60_000).select(
+        F.concat(F.lit("p"), F.col("id") % 997).alias("project_name"),
+        F.col("id").cast("string").alias("article_name"),
+        (F.lit(1662004800) + F.col("id") % 6 * 3600).alias("interval_start_unixtime"),
+        F.lit(1).alias("count"),
+        F.lit("2022-09-01").alias("date"),
+    )
+    settings = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        jobs.store_pagecounts(rows, str(tmp_path / "pq"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    stored = spark.read.parquet(str(tmp_path / "pq"))
+    files = stored.groupBy("_batch_id").agg(F.countDistinct("_metadata.file_path").alias("n"))
+    # Two shards may hash to the same task, which then writes them as one file.
+    assert [1 < r.n <= 8 for r in files.collect()] == [True] * 6
+    spread = stored.groupBy("_batch_id", "project_name").agg(
+        F.countDistinct("_metadata.file_path").alias("n")
+    )
+    assert spread.agg(F.max("n")).first()[0] == 1
+    assert stored.count() == 60_000
+
+
 def test_command_line(spark, hourly, daily, tmp_path, capsys):
     pages, media, root = (str(tmp_path / n) for n in ("p", "m", "serving"))
     cli.main(["load-pagecounts", "--source", hourly.folder, "--target", pages,
