@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourtally import __main__ as cli
+from hourtally import schemas
 from hourtally.operators.ingest import PAGECOUNTS
 from hourtally.plans import jobs, reports, sql
 from hourtally.sources.sinks import write_partitioned
@@ -128,6 +129,15 @@ def scanned_rows(df):
     return leaf.metrics().get("numOutputRows").get().value()
 
 
+def test_days_after_today_are_not_visible(spark, tmp_path):
+    rows = [("en", "A", 1662004800, 1, "2022-09-01"), ("en", "A", 32472144000, 1, "2999-01-01"),
+            ("en", "A", 1609459200, 1, "2021-01-01")]
+    table = str(tmp_path / "pq")
+    jobs.store_pagecounts(spark.createDataFrame(rows, schemas.PAGECOUNTS_NORMAL), table)
+    assert [r.date for r in read_pagecounts(spark, table).collect()] == ["2022-09-01"]
+    assert read_pagecounts(spark, table, "2021-01-01", "2999-12-31").count() == 3
+
+
 def test_layout_lets_the_scan_skip(spark, tmp_path):
     """Sorted by key for project filters, with a bloom filter for article filters."""
     rows = spark.range(200_000).select(
