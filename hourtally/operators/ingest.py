@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hourtally import schemas
-from hourtally.functions.timegrain import epoch_to_day
+from hourtally.functions.timegrain import HOUR, epoch_to_day
 from hourtally.operators.dedup import keep_greatest
 from hourtally.operators.mapping import project_mapping
 from hourtally.sources.sinks import BATCH, write_replacing
 from hourtally.sources.tables import MAX_LISTED_DAYS, read_dates
 
+# Separate time ranges a target read is filtered by before they are taken as one.
+MAX_RANGES = 64
+
 
 @dataclass(frozen=True)
 class ServingTable:
@@ -90,14 +93,32 @@ def first_write_wins(
     return fresh.select(*batch.columns).unionByName(batch.where(~complete))
 
 
+def _within(interval: Column, spans: list[tuple]) -> Column:
+    """Predicate for the intervals of some days, as ``(first, last)`` per day.
+
+    Days that follow on without a gap become one range. With very many ranges left, the one
+    from the first to the last stands for all; it selects more, never less.
+    """
+    ranges: list[tuple] = []
+    for first, last in sorted(spans):
+        if ranges and isinstance(first, int) and first <= ranges[-1][1] + HOUR:
+            ranges[-1] = (ranges[-1][0], last)
+        else:
+            ranges.append((first, last))
+    if len(ranges) > MAX_RANGES:
+        ranges = [(ranges[0][0], ranges[-1][1])]
+    return reduce(lambda a, b: a | b, (interval.between(*r) for r in ranges))
+
+
 def _earlier_rows(
     spark: SparkSession, table: ServingTable, target: str, rows: DataFrame, batch_id: int
 ) -> DataFrame:
     """What earlier batches stored for the intervals of this one; ids count from 0.
 
     Only the days of the batch are listed, and the interval predicate lets the scan skip row
-    groups of other hours, so an hourly load does not re-read its day. Rows of this batch and
-    of later ones are left out: a replay sees what the first attempt saw.
+    groups of other hours, so an hourly load does not re-read its day, nor a late hour another
+    one. Rows of this batch and of later ones are left out: a replay sees what the first
+    attempt saw.
     """
     if batch_id == 0:
         return spark.createDataFrame([], table.stored)
@@ -118,8 +139,8 @@ def _earlier_rows(
     else:
         days = [r["day"] for r in found]
     stored = read_dates(spark, target, table.stored, days)
-    lo, hi = min(r["lo"] for r in found), max(r["hi"] for r in found)
-    return stored.where(interval.between(lo, hi) & (F.col(BATCH) < batch_id))
+    wanted = _within(interval, [(r["lo"], r["hi"]) for r in found])
+    return stored.where(wanted & (F.col(BATCH) < batch_id))
 
 
 def rows_to_insert(

@@ -1,9 +1,9 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from hourtally import schemas
+from hourtally.operators import ingest
 from hourtally.operators.ingest import (
     MEDIACOUNTS,
     PAGECOUNTS,
@@ -63,6 +63,25 @@ def test_a_late_hour_lands_in_its_own_day(spark, target):
     assert days == {"2022-09-01", "2022-01-12"}
 
 
+@pytest.mark.parametrize("most", [64, 1])
+def test_target_read_is_limited_to_the_hours_of_a_batch(spark, target, monkeypatch, most, plan):
+    monkeypatch.setattr(ingest, "MAX_RANGES", most)
+    start = 1662004800 - 4 * 3600  # midnight of 2022-09-01
+    full = [("en", "A", start + h * 3600, h) for h in range(5 * 24)]
+    put(spark, target, 0, full)
+    # Hour 5 of the first day, and from hour 20 of the fourth to hour 2 of the fifth.
+    hours = [5, *range(3 * 24 + 20, 4 * 24 + 3)]
+    batch = spark.createDataFrame([full[h] for h in hours], ROWS)
+    found = ingest._earlier_rows(spark, PAGECOUNTS, target, batch, 1)
+    got = sorted((r.interval_start_unixtime - start) // 3600 for r in found.collect())
+    if most == 64:
+        assert got == hours
+        assert plan(found).split("PushedFilters: ")[1].startswith("[Or(And(GreaterThanOrEqual(")
+    else:
+        assert set(hours) <= set(got)
+    assert put(spark, target, 1, [(p, a, t, 99) for p, a, t, _ in full]) == set(full)
+
+
 def test_matches_a_loop_over_rows(spark, target):
     """Random batches with many collisions and one hot key, against a plain dictionary."""
     rnd = random.Random(3)

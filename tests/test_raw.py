@@ -62,7 +62,8 @@ def test_scan_reads_only_the_columns_asked_for(spark, edge_file, plan):
 
 
 def test_over_limit_text_is_kept_and_reported(spark):
-    df = spark.createDataFrame([("p" * 64, "a"), ("p", "a" * 255)], "project_name string, article_name string")
+    rows = [("p" * 64, "a"), ("p", "a" * 255)]
+    df = spark.createDataFrame(rows, "project_name string, article_name string")
     assert [r.article_name for r in over_limit_rows(df).collect()] == ["a"]
 
 
