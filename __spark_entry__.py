@@ -38,6 +38,15 @@ from hourtally.sources.tables import (
 )
 from hourtally.streaming.file_ingest import FileIngest
 
+try:
+    import corpus_pipeline
+    from hourtally.llm import registry as llm
+except ModuleNotFoundError as missing:
+    # The subpackage and its pipeline may be absent; nothing else depends on them.
+    if missing.name not in ("corpus_pipeline", "hourtally.llm"):
+        raise
+    llm = corpus_pipeline = None
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 PROJECT = "view"
@@ -306,6 +315,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _own_queries() | ({**llm.QUERIES, "pipeline": corpus_pipeline.run} if llm else {})
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "hourly_total_views": hourly_total_views,
         "hourly_views_by_project": hourly_views_by_project,
@@ -415,6 +428,10 @@ _INGESTED = f"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_oracle_sql() | (llm.ORACLE_SQL if llm else {})
+
+
+def _own_oracle_sql() -> dict[str, str]:
     return {
         "hourly_total_views": f"""
           WITH pagecounts AS ({_counts()})

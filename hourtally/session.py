@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,13 +47,11 @@ def build_session(app: str = "hourtally", master: str | None = None, **conf: str
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used, for data written once and read back.
 
-    It lies in the folder ``spark.checkpoint.dir`` names, which every executor sees. Only a
-    local-mode session without that setting falls back to the machine's temporary folder.
-    What is left there is for the cluster's retention rule to clear.
+    It lies in the folder ``spark.checkpoint.dir`` names, which every executor sees. A session
+    without that setting, as in a quick trial, gets a folder in the warehouse, which is shared as
+    well. What is left there is for the cluster's retention rule to clear.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="hourtally-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.scratch"
     return f"{base.rstrip('/')}/hourtally-{uuid.uuid4().hex}/{name}"
