@@ -3,9 +3,11 @@
 A window is ``WINDOW`` consecutive words. A word goes if a window over it also starts in a
 document with a smaller id.
 
+0. Copies. A text that an earlier document has as a whole has nothing of its own. It is settled by
+   digest and takes no part in what follows.
 1. Anchors. The ``ANCHOR``-word phrase with the least hash within a window belongs to the window
    wherever it occurs, so a window can only recur if its anchor does. Documents give their
-   distinct anchors, about a quarter of their windows; those with two different ids recur.
+   distinct anchors, about a quarter of their windows; those that come twice recur.
 2. Confirmation. Only windows with a recurring anchor are counted themselves. A window that has
    two different ids recurs, and its first document owns it.
 3. Passages. Each window that must go names the block of ``BLOCK`` windows around it in its first
@@ -37,6 +39,7 @@ from pyspark.sql import types as T
 
 from hourtally.llm.tables import materialised, table
 from hourtally.llm.text import (
+    U64,
     Words,
     encoded,
     per_piece,
@@ -64,15 +67,27 @@ def anchors(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return at, least[at]
 
 
+def _short(anchor: np.ndarray) -> np.ndarray:
+    """The 48 bits of an anchor that are shuffled: enough to select windows."""
+    return (anchor >> U64(16)).view(np.int64)
+
+
 def _anchor_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The distinct anchors of each text that is no copy."""
     words = split_words(encoded(batch.column("text")))
     at, anchor = anchors(words)
-    ids = np.repeat(batch.column("doc_id").to_numpy(zero_copy_only=False), words.counts())[at]
-    # A run of windows has one anchor: one row is enough.
-    new = np.ones(len(at), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (ids[1:] != ids[:-1])
+    anchor = _short(anchor)
+    bounds = np.searchsorted(at, words.first)
+    found, ids = [np.empty(0, np.int64)], []
+    for i, (doc_id, copy) in enumerate(
+        zip(batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist(), strict=True)
+    ):
+        if not copy:
+            own = np.unique(anchor[bounds[i] : bounds[i + 1]])
+            found.append(own)
+            ids.append(np.full(len(own), doc_id, np.int64))
     return pa.RecordBatch.from_arrays(
-        [pa.array(anchor[new].view(np.int64)), pa.array(ids[new], pa.int64())],
+        [pa.array(np.concatenate(found)), pa.array(np.concatenate([found[0], *ids]))],
         names=["anchor", "doc_id"],
     )
 
@@ -88,7 +103,7 @@ def _window_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     ):
         words = split_words([text])
         at, anchor = anchors(words)
-        wanted = at[np.isin(anchor, recurring.values.to_numpy().view(np.uint64))]
+        wanted = at[np.isin(_short(anchor), recurring.values.to_numpy())]
         windows, first = np.unique(
             window_hashes(word_hashes(words), WINDOW)[wanted], return_index=True
         )
@@ -177,6 +192,7 @@ def _cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
     ids = batch.column("doc_id").to_pylist()
     texts = encoded(batch.column("text"))
     needed = batch.column("passages").to_pylist()
+    copies = batch.column("copy").to_pylist()
     index: dict[tuple[int, int], int] = {}
     blocks: list[list[str]] = []
     owners: list[int] = []
@@ -193,7 +209,9 @@ def _cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = text.split()
         counts.append(len(words))
         gone = np.zeros(len(words), bool)
-        if automaton is not None and doc_id is not None and len(words) >= WINDOW:
+        if copies[i]:
+            gone[:] = len(words) >= WINDOW
+        elif automaton is not None and doc_id is not None and len(words) >= WINDOW:
             for block, lo, hi in occurrences([w.decode() for w in words], automaton, blocks):
                 if owners[block] < doc_id:
                     gone[lo:hi] = True
@@ -218,13 +236,18 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"))
     named = docs.where("doc_id is not null")
 
-    anchor = named.select("doc_id", "text").mapInArrow(
-        per_piece(_anchor_rows), "anchor bigint, doc_id bigint"
+    digests = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    copies = materialised(
+        digests.join(first, "digest").where("first < doc_id").select("doc_id").distinct(), "copies"
     )
-    ids = (F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    recurring = anchor.groupBy("anchor").agg(*ids).where("first < last").select("anchor")
+    # All that follows reads the texts from one and the same exchange by id.
+    named = named.join(copies.withColumn("copy", F.lit(True)), "doc_id", "left")
+
+    anchor = named.mapInArrow(per_piece(_anchor_rows), "anchor bigint, doc_id bigint")
+    often = anchor.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     by_doc = materialised(
-        anchor.join(recurring, "anchor")
+        anchor.join(often.select("anchor"), "anchor")
         .groupBy("doc_id")
         .agg(F.collect_set("anchor").alias("anchors")),
         "anchors",
@@ -235,7 +258,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
     owned = (
         windows.groupBy("window")
-        .agg(*ids, F.min_by("at", "doc_id").alias("at"))
+        .agg(
+            F.min("doc_id").alias("first"),
+            F.max("doc_id").alias("last"),
+            F.min_by("at", "doc_id").alias("at"),
+        )
         .where("first < last")
         .select("window", F.col("first").alias("owner"), F.floor(F.col("at") / BLOCK).alias("block"))
     )
@@ -270,8 +297,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
             ),
         ]
     )
-    unnamed = docs.where("doc_id is null").withColumn(
-        "passages", F.lit(None).cast(passages.schema["passages"].dataType)
+    unnamed = docs.where("doc_id is null").withColumns(
+        {
+            "copy": F.lit(None).cast("boolean"),
+            "passages": F.lit(None).cast(passages.schema["passages"].dataType),
+        }
     )
     both = named.join(passages, "doc_id", "left").unionByName(unnamed)
     return both.mapInArrow(per_piece(_cleaned), schema)
