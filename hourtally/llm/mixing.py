@@ -18,7 +18,8 @@ documents ranked. No task holds a whole source.
 
 Defined results: a null source is a source of its own, a source without a given weight has weight 1,
 one with weight 0 or less is left out of the mixture. Rows without id are placed by their text.
-Rows that are equal in id and text have adjacent places in any order. Empty tables give no row.
+Rows that are equal in id and text have adjacent places in any order. Columns named ``mix_slot`` and ``mix_place`` are replaced. Empty tables
+give no row.
 """
 
 from __future__ import annotations
@@ -88,6 +89,7 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, int], block: int = BLOCK)
     """``docs`` with ``mix_slot`` and ``mix_place``: ordered by both, the rows are the mixture; a
     slot is one block. Documents need ``doc_id``, ``text`` and ``source``."""
     spark = docs.sparkSession
+    docs = docs.drop("mix_slot", "mix_place")
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     scatter, tie = _order()
     rows = docs.select(

@@ -107,11 +107,14 @@ def _window_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         windows, first = np.unique(
             window_hashes(word_hashes(words), WINDOW)[wanted], return_index=True
         )
-        columns.append((windows, wanted[first], np.full(len(first), doc_id, np.int64)))
-    windows, at, ids = (np.concatenate(c) for c in zip(*columns, strict=True))
+        # In the order of the text, where neighbours have the same block: that packs well.
+        order = np.argsort(first)
+        block = wanted[first[order]] // BLOCK
+        columns.append((windows[order], block, np.full(len(first), doc_id, np.int64)))
+    windows, block, ids = (np.concatenate(c) for c in zip(*columns, strict=True))
     return pa.RecordBatch.from_arrays(
-        [pa.array(windows.view(np.int64)), pa.array(ids), pa.array(at.astype(np.int64))],
-        names=["window", "doc_id", "at"],
+        [pa.array(windows.view(np.int64)), pa.array(ids), pa.array(block.astype(np.int32))],
+        names=["window", "doc_id", "block"],
     )
 
 
@@ -130,7 +133,7 @@ def _block_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
             numbers.append(number)
             phrases.append(b" ".join(words[lo : lo + BLOCK + WINDOW - 1]).decode())
     return pa.RecordBatch.from_arrays(
-        [pa.array(owners, pa.int64()), pa.array(numbers, pa.int64()), pa.array(phrases, pa.string())],
+        [pa.array(owners, pa.int64()), pa.array(numbers, pa.int32()), pa.array(phrases, pa.string())],
         names=["owner", "block", "words"],
     )
 
@@ -254,20 +257,20 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
 
     windows = named.join(by_doc, "doc_id").mapInArrow(
-        per_piece(_window_rows), "window bigint, doc_id bigint, at bigint"
+        per_piece(_window_rows), "window bigint, doc_id bigint, block int"
     )
     owned = (
         windows.groupBy("window")
         .agg(
             F.min("doc_id").alias("first"),
             F.max("doc_id").alias("last"),
-            F.min_by("at", "doc_id").alias("at"),
+            F.min_by("block", "doc_id").alias("block"),
         )
         .where("first < last")
-        .select("window", F.col("first").alias("owner"), F.floor(F.col("at") / BLOCK).alias("block"))
+        .select("window", F.col("first").alias("owner"), "block")
     )
     needs = (
-        windows.drop("at")
+        windows.drop("block")
         .join(owned, "window")
         .where("owner < doc_id")
         .select("doc_id", "owner", "block")
@@ -275,7 +278,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
     wanted = needs.groupBy(F.col("owner").alias("doc_id")).agg(F.collect_set("block").alias("blocks"))
     blocks = named.join(wanted, "doc_id").mapInArrow(
-        per_piece(_block_rows), "owner bigint, block bigint, words string"
+        per_piece(_block_rows), "owner bigint, block int, words string"
     )
     passages = (
         needs.join(blocks, ["owner", "block"])

@@ -1,0 +1,173 @@
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from hourtally.llm import language_id as li
+from hourtally.llm import quality_classifier as qc
+from hourtally.llm import quality_rules as qr
+from hourtally.llm import toxicity as tx
+from hourtally.llm.features import isotonic
+from hourtally.llm.registry import QUERIES
+from hourtally.llm.text import per_piece, split_words, word_hashes
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def labels(spark):
+    return spark.read.parquet(f"{FOLDER}/labels.parquet")
+
+
+def accuracy(spark, name, column, kind, divisor, remainder):
+    truth = {r.doc_id: r[kind] for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    rows = QUERIES[name](spark, FOLDER).collect()
+    assert len(rows) == 1000
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % divisor == remainder]
+    if "held_out" in rows[0]:
+        assert {r.doc_id for r in rows if r.held_out} == {r.doc_id for r in held}
+    judged = [(truth[r.doc_id], int(r[column])) for r in held if r.doc_id in truth]
+    return judged, rows
+
+
+def test_quality_classifier_on_held_out_rows(spark):
+    judged, rows = accuracy(spark, "op4_quality_classifier", "predicted", "quality", 5, 0)
+    assert np.mean([a == b for a, b in judged]) > 0.93
+    # Clean documents stay.
+    assert np.mean([b for a, b in judged if a]) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+
+
+def test_quality_rules_on_held_out_rows(spark):
+    _, rows = accuracy(spark, "op2_quality_rules", "kept", "quality", 5, 0)
+    truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{FOLDER}/labels.parquet").collect()}
+    held = [r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 5 == 0 and r.doc_id in truth]
+    assert np.mean([(r.probability >= 0.5) == truth[r.doc_id] for r in held]) > 0.95
+
+
+def test_toxicity_on_held_out_rows(spark):
+    # 45 toxic documents to learn from: few, so the bar is that clean ones are left alone.
+    judged, rows = accuracy(spark, "op10_toxicity", "predicted", "toxic", 4, 2)
+    assert np.mean([b for a, b in judged if not a]) < 0.05
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_planted_toxic_words_are_learnt(spark, corpus):
+    rng = random.Random(1)
+    rows, labelled = [], []
+    for i in range(600):
+        words = [rng.choice("abcdefghijklm") * rng.randrange(2, 6) for _ in range(60)]
+        if bad := i % 8 == 0:
+            words[rng.randrange(60)] = rng.choice(("Nastyword!", "VILEWORD,"))
+        rows.append((i, " ".join(words)))
+        labelled.append((i, int(bad)))
+    docs = corpus(rows)
+    model = tx.fit_toxicity(docs, spark.createDataFrame(labelled, "doc_id bigint, toxic int"))
+    got = {r.doc_id: r.predicted for r in tx.toxicity(docs, model).collect()}
+    held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert len(held) > 100 and all(got[i] == (i % 8 == 0) for i in held)
+    assert len(model.slots) < 2_000
+
+
+def test_language_on_held_out_rows(spark):
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()}
+    rows = QUERIES["op6_language_id"](spark, FOLDER).collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == 1000 and np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.97
+
+
+def test_bloom_filters_return_all_languages_of_an_n_gram():
+    rng = np.random.default_rng(0)
+    found = rng.integers(0, 2**63, 3000).astype(np.uint64)
+    which = rng.integers(0, 70, 3000)  # more languages than bits in a word
+    filters = li.LanguageFilters([f"l{i:02}" for i in range(70)], 0, found, which)
+    sets = None
+    for place in li._places(found, len(filters.rows)):
+        sets = filters.rows[place] if sets is None else sets & filters.rows[place]
+    bits = np.array([li.LanguageFilters._bit(sets, i) for i in range(70)])
+    assert bits[which, np.arange(3000)].all()  # none is missed
+    assert bits.sum() < 3000 * 1.05  # few are made up
+
+
+def test_language_defined_results(spark, corpus, awkward):
+    docs = corpus([*awkward, *((100 + i, "der hund und die katze " * 3) for i in range(20))], lang="de")
+    filters = li.fit_languages(docs, li.crc_remainder("doc_id", 5) != 0)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in li.language_id(docs, filters).collect()}
+    assert all(got[i] == ("und", 0.0) for i in (1, 2, 3, 8))
+    assert got[100][0] == "de" and got[100][1] == 1.0
+    none = li.fit_languages(docs.where("false"), li.F.lit(True))
+    assert {r.lang_pred for r in li.language_id(docs, none).collect()} == {"und"}
+
+
+def counts(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (
+        len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)),
+        sum(x in lines[:i] for i, x in enumerate(lines)), len(covered),
+    )
+
+
+def test_rule_counts_like_plain_python(spark, corpus):
+    texts = ["", " \n ", "a b c a b c a b c", "x\nx\n x\n\n\nx", "é漢 # | <b> a b\n", "la " * 30]
+    texts += [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).collect() if len(r.text) < 3000]
+    got = qr.rule_counts([t.encode() for t in texts])
+    assert list(zip(*(got[k].tolist() for k in got), strict=True)) == [counts(t) for t in texts]
+
+
+def test_base_rule_and_defined_results(spark, corpus, awkward):
+    docs = corpus([*awkward, (20, " ".join(f"w{i}" for i in range(50))), (21, "la la la " * 30)])
+    none = spark.createDataFrame([], "doc_id bigint, quality int")
+    rows = qr.quality_rules(docs, qr.fit_quality(docs, none)).collect()
+    assert len(rows) == len(awkward) + 2
+    got = {r.doc_id: (r.n_words, r.base_failed, r.kept) for r in rows}
+    assert got[1] == (0, True, False) and got[20] == (50, False, True) and got[21] == (90, True, False)
+    assert got[6] == (120_000, False, True)
+
+
+def test_a_text_scores_alike_in_any_batch(spark, labels):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    texts = [r.text.encode() for r in docs.collect()]
+    weights = np.random.default_rng(1).normal(size=1 << qr.BITS).astype(np.float32)
+    together = qr.logits(texts, weights, 0.1)
+    alone = [qr.logits([t], weights, 0.1)[0] for t in texts]
+    assert np.allclose(together, alone)
+    model = tx.ToxicityModel(np.arange(1 << tx.BITS), np.random.default_rng(2).normal(size=1 << tx.BITS), 0.0)
+    lowered = [t.lower() for t in texts]
+    assert np.allclose(model.probabilities(lowered), [model.probabilities([t])[0] for t in lowered])
+    assert np.allclose(qc.statistics(texts), [qc.statistics([t])[0] for t in texts])
+
+
+def test_scores_without_labels_and_of_awkward_rows(spark, corpus, awkward):
+    docs = corpus(awkward)
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert {r.score for r in qc.quality_scores(docs, none).collect()} == {0.5}
+    assert {r.score for r in tx.toxicity(docs, tx.fit_toxicity(docs, none)).collect()} == {0.5}
+    assert qc.drop_low_quality(docs, none).count() == len(awkward)
+    odd = [(None, 1, 1), (1, None, None), (4, 1, 0), (4, 0, 1), (5, 0, 0), (77, 1, 1)]
+    some = spark.createDataFrame(odd, "doc_id bigint, quality int, toxic int")
+    for got in (qc.quality_scores(docs, some), tx.toxicity(docs, tx.fit_toxicity(docs, some))):
+        assert len(got.collect()) == len(awkward)
+    empty = corpus([])
+    assert qc.quality_scores(empty, none).collect() == []
+    assert qr.quality_rules(empty, qr.fit_quality(empty, none)).collect() == []
+
+
+def test_isotonic_is_the_nearest_non_decreasing_fit():
+    x, y = isotonic(np.array([0.0, 1, 2, 3]), np.array([0.0, 1, 0, 1]), np.array([1.0, 1, 3, 1]))
+    assert np.interp([0, 1, 2, 3], x, y).tolist() == [0, 0.25, 0.25, 1]
+
+
+def test_word_hashes_are_equal_for_equal_words_only():
+    texts = [b"a b a\tab", b"", b"ab\nb " + b"z" * 600_000 + b" a"]
+    words = split_words(texts)
+    own = [words.data[s:e].tobytes() for s, e in zip(words.start, words.end, strict=True)]
+    hashes = word_hashes(words).tolist()
+    assert len(dict(zip(own, hashes, strict=True))) == len(set(own)) == len(set(hashes))
+    assert len(set(zip(own, hashes, strict=True))) == len(set(own))
+    assert words.counts().tolist() == [4, 0, 4]
+    assert callable(per_piece(lambda b: b))
