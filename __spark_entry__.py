@@ -19,10 +19,10 @@ from hourtally.functions.timegrain import (
     epoch_to_day,
     epoch_to_ntz,
     hour_epoch,
-    relative_epoch,
+    day_string,
 )
 from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts
-from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch
+from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch, keyed
 from hourtally.plans import jobs, reports, sql
 from hourtally.schemas import MEDIA_MEASURES
 from hourtally.session import scratch_path
@@ -51,14 +51,12 @@ SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 PROJECT = "view"
 ARTICLE = "user_7"
-# Dashboard range: 2024-01-05 00:00 to 2024-01-25 23:00 UTC.
-LO = 1704412800
-HI = LO + 21 * DAY - HOUR
+# Dashboard range: 2024-01-05 05:00 to 2024-01-25 05:00 UTC, not whole days.
+LO = 1704412800 + 5 * HOUR
+HI = LO + 20 * DAY
 AS_OF = "2024-01-20T00:00:00Z"
 # Visible media dates; the sample ships from 1995 to 2001.
 MEDIA_FIRST, MEDIA_LAST = "1996-01-01", "2000-12-31"
-# Interval of the page counts that are written to disk, see standins.page_requests.
-SLOT = 12
 
 
 # --- reports -------------------------------------------------------------------
@@ -74,32 +72,29 @@ def hourly_views_by_project(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hourly_views_by_article(spark: SparkSession, folder: str) -> DataFrame:
-    events = standins.events_of_article(standins.events(spark, folder), ARTICLE)
-    return reports.hourly_views_by_article(standins.page_requests(events), ARTICLE)
+    requests = standins.page_requests(standins.events(spark, folder))
+    return reports.hourly_views_by_article(requests, ARTICLE)
 
 
 def daily_media_totals(spark: SparkSession, folder: str) -> DataFrame:
     return reports.daily_media_totals(standins.media_requests(standins.lineitem(spark, folder)))
 
 
-def _pagecounts_in(spark: SparkSession, folder: str, lo: int, hi: int) -> DataFrame:
-    events = standins.events_in_hours(standins.events(spark, folder), lo, hi)
+def _pagecounts(spark: SparkSession, folder: str) -> DataFrame:
     # Without `date`: it is no directory here, so a bound on it would only cost time.
-    return standins.pagecounts(events).drop("date")
+    return standins.pagecounts(standins.events(spark, folder)).drop("date")
 
 
 def hourly_rows_and_views(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.hourly_rows_and_views(_pagecounts_in(spark, folder, LO, HI), LO, HI)
+    return reports.hourly_rows_and_views(_pagecounts(spark, folder), LO, HI)
 
 
 def hourly_rows_and_views_project(spark: SparkSession, folder: str) -> DataFrame:
-    return reports.hourly_rows_and_views(_pagecounts_in(spark, folder, LO, HI), LO, HI, PROJECT)
+    return reports.hourly_rows_and_views(_pagecounts(spark, folder), LO, HI, PROJECT)
 
 
 def relative_window_views(spark: SparkSession, folder: str) -> DataFrame:
-    lo, hi = (relative_epoch(e, AS_OF, "1d") for e in ("now-3d", "now-1d"))
-    counts = _pagecounts_in(spark, folder, lo, hi)
-    return reports.relative_rows_and_views(counts, as_of=AS_OF, now_delay="1d")
+    return reports.relative_rows_and_views(_pagecounts(spark, folder), as_of=AS_OF)
 
 
 # --- raw files and load jobs -----------------------------------------------------
@@ -108,7 +103,7 @@ def relative_window_views(spark: SparkSession, folder: str) -> DataFrame:
 def _raw_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Requests with quote characters in the titles, and the file hour they belong to."""
     events = standins.events(spark, folder)
-    requests = standins.page_requests(events, SLOT, F.floor("value").cast("int"))
+    requests = standins.page_requests(events, F.floor("value").cast("int"))
     return requests.withColumn(
         "article_name", F.concat(F.lit('"'), "article_name", F.lit('"'))
     ).withColumn("load_hour", standins.hour_stamp(F.col("interval_start_unixtime")))
@@ -145,7 +140,7 @@ def normalize_pagecounts(spark: SparkSession, folder: str) -> DataFrame:
 
 def normalize_mediacounts(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "mediacounts-raw")
-    rows = standins.media_requests(standins.lineitem(spark, folder), "year")
+    rows = standins.media_requests(standins.lineitem(spark, folder))
     standins.write_raw_mediacounts(rows, path)
     raw = read_mediacounts_raw(spark, path, folders="load_day string")
     return jobs.normalize_mediacounts(raw, F.col("load_day"))
@@ -197,14 +192,14 @@ def dedup_mediacounts_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "pagecounts")
-    counts = standins.pagecounts(standins.events(spark, folder), SLOT)
+    counts = standins.pagecounts(standins.events(spark, folder))
     jobs.store_pagecounts(counts, path)
     return read_pagecounts(spark, path)
 
 
 def media_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "mediacounts")
-    counts = standins.mediacounts(standins.lineitem(spark, folder), "month")
+    counts = standins.mediacounts(standins.lineitem(spark, folder))
     jobs.store_mediacounts(counts, path)
     return read_mediacounts(spark, path, MEDIA_FIRST, MEDIA_LAST)
 
@@ -212,8 +207,16 @@ def media_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 def stored_epoch_range(spark: SparkSession, folder: str) -> DataFrame:
     """The dashboard range over a stored table: only its days are listed and read."""
     path = scratch_path(spark, "pagecounts")
-    jobs.store_pagecounts(standins.pagecounts(standins.events(spark, folder), SLOT), path)
-    return reports.hourly_rows_and_views(read_pagecounts(spark, path), LO, HI)
+    jobs.store_pagecounts(standins.pagecounts(standins.events(spark, folder)), path)
+    days = day_string(LO), day_string(HI)
+    return reports.hourly_rows_and_views(read_pagecounts(spark, path, *days), LO, HI)
+
+
+def stored_views_by_article(spark: SparkSession, folder: str) -> DataFrame:
+    """One article over a stored table, where bloom filters and row group ranges can help."""
+    path = scratch_path(spark, "pagecounts")
+    jobs.store_pagecounts(standins.pagecounts(standins.events(spark, folder)), path)
+    return reports.hourly_views_by_article(read_pagecounts(spark, path), ARTICLE)
 
 
 # --- ingest ----------------------------------------------------------------------
@@ -253,7 +256,7 @@ def keyed_ingest_first_wins(spark: SparkSession, folder: str) -> DataFrame:
 
 def media_ingest_mapping(spark: SparkSession, folder: str) -> DataFrame:
     target, arrivals = scratch_path(spark, "mediacounts"), scratch_path(spark, "arrivals")
-    rows = standins.mediacounts(standins.lineitem(spark, folder), "month")
+    rows = standins.mediacounts(standins.lineitem(spark, folder))
     rows.write.parquet(arrivals)
     counts = spark.read.schema(MEDIACOUNTS.source).parquet(arrivals)
     ingest_batch(counts, 0, MEDIACOUNTS, target)
@@ -275,7 +278,7 @@ def stream_ingest_pagecounts(spark: SparkSession, folder: str) -> DataFrame:
 def stream_ingest_mediacounts(spark: SparkSession, folder: str) -> DataFrame:
     """No key: a second copy of every file is appended, and an idle run adds nothing."""
     source, root = scratch_path(spark, "arrivals"), scratch_path(spark, "serving")
-    counts = standins.mediacounts(standins.lineitem(spark, folder), "year")
+    counts = standins.mediacounts(standins.lineitem(spark, folder))
     ingest = FileIngest(MEDIACOUNTS, source, root)
     for _ in range(2):
         write_partitioned(counts, source)
@@ -298,10 +301,49 @@ def serving_tables_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def serving_tables_all_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """A serving table has no date range of its own: hours of 2020 and rows without an hour are
+    reported like all others."""
+    location = scratch_path(spark, "serving")
+    database = location.split("/")[-2].replace("-", "_")
+    create_tables(spark, database, location)
+    counts = standins.pagecounts(standins.events(spark, folder))
+    hour = F.col("interval_start_unixtime")
+    old = counts.withColumn("interval_start_unixtime", hour - 4 * 365 * DAY)
+    lost = counts.withColumn("interval_start_unixtime", F.lit(None).cast("bigint"))
+    ingest_batch(counts.unionByName(old).unionByName(lost), 0, PAGECOUNTS, f"{location}/pagecounts")
+    return sql.run_report(spark, "hourly_total_views", f"{database}.pagecounts")
+
+
+def keyed_media_first_wins(spark: SparkSession, folder: str) -> DataFrame:
+    """A key without the day: a file that is stored on one day is skipped on all others."""
+    target, arrivals = scratch_path(spark, "mediacounts"), scratch_path(spark, "arrivals")
+    standins.mediacounts(standins.lineitem(spark, folder)).write.parquet(arrivals)
+    counts = spark.read.schema(MEDIACOUNTS.source).parquet(arrivals)
+    table = keyed(MEDIACOUNTS, "filename")
+    parts = counts.where("_date < '1997-01-01'"), counts.where("_date >= '1997-01-01'"), counts
+    for batch_id, batch in enumerate(parts):
+        ingest_batch(batch, batch_id, table, target)
+    stored = read_dates(spark, target, MEDIACOUNTS.stored, None)
+    return stored.select("filename", (F.col("date") < "1997-01-01").alias("early"))
+
+
+def replaced_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """A replaced definition reads all files again and leaves what is served as it was."""
+    source, root = scratch_path(spark, "arrivals"), scratch_path(spark, "serving")
+    counts = standins.pagecounts(standins.events(spark, folder))
+    ingest = FileIngest(PAGECOUNTS, source, root)
+    for arrival in (counts, _second_arrival(counts).where("article_name IS NOT NULL")):
+        write_partitioned(arrival, source, shard_by=("project_name",))
+        ingest.run_available(spark)
+    FileIngest(PAGECOUNTS, source, root, generation=1).run_available(spark)
+    return _stored_pagecounts(spark, ingest.target)
+
+
 def external_tables_report(spark: SparkSession, folder: str) -> DataFrame:
     """Stored media counts asked in SQL through the external views."""
     pages, media = scratch_path(spark, "pagecounts"), scratch_path(spark, "mediacounts")
-    counts = standins.mediacounts(standins.lineitem(spark, folder), "month")
+    counts = standins.mediacounts(standins.lineitem(spark, folder))
     jobs.store_mediacounts(counts, media)
     prefix = media.split("/")[-2].replace("-", "_") + "_"
     register_external(spark, pages, media, prefix, MEDIA_FIRST, MEDIA_LAST)
@@ -337,11 +379,15 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "partitioned_roundtrip": partitioned_roundtrip,
         "media_roundtrip": media_roundtrip,
         "stored_epoch_range": stored_epoch_range,
+        "stored_views_by_article": stored_views_by_article,
         "keyed_ingest_first_wins": keyed_ingest_first_wins,
         "media_ingest_mapping": media_ingest_mapping,
         "stream_ingest_pagecounts": stream_ingest_pagecounts,
         "stream_ingest_mediacounts": stream_ingest_mediacounts,
         "serving_tables_report": serving_tables_report,
+        "serving_tables_all_hours": serving_tables_all_hours,
+        "keyed_media_first_wins": keyed_media_first_wins,
+        "replaced_pipeline": replaced_pipeline,
         "external_tables_report": external_tables_report,
     }
 
@@ -349,7 +395,6 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- the same in SQL ---------------------------------------------------------------
 
 _EPOCH = "(epoch(date_trunc('hour', ts))::bigint)"
-_SLOT_EPOCH = f"((epoch(ts)::bigint // {SLOT * HOUR}) * {SLOT * HOUR})"
 
 
 def _counts(epoch: str = _EPOCH) -> str:
@@ -373,8 +418,6 @@ _MEDIA_EXPRESSIONS = {
     "transfers_from_non_wmf_domain": "CASE WHEN l_linestatus = 'F' THEN l_quantity::int ELSE 0 END",
     "transfers_from_invalid_domain": "CASE WHEN l_linenumber = 7 THEN l_quantity::int ELSE 0 END",
 }
-_YEAR = "strftime(date_trunc('year', l_shipdate), '%Y-%m-%d')"
-_MONTH = "strftime(date_trunc('month', l_shipdate), '%Y-%m-%d')"
 _MEDIA_DAY = "strftime(l_shipdate, '%Y-%m-%d')"
 
 
@@ -465,11 +508,11 @@ def _own_oracle_sql() -> dict[str, str]:
           FROM lines GROUP BY ALL""",
         "normalize_pagecounts": f"""
           SELECT event_type AS project_name, '"user_' || user_id || '"' AS article_name,
-                 {_SLOT_EPOCH} AS interval_start_unixtime, max(floor(value)::int) AS count,
+                 {_EPOCH} AS interval_start_unixtime, max(floor(value)::int) AS count,
                  strftime(ts, '%Y-%m-%d') AS date
           FROM events GROUP BY ALL""",
         "normalize_mediacounts": f"""
-          WITH requests AS ({_media_requests(_YEAR)}),
+          WITH requests AS ({_media_requests(_MEDIA_DAY)}),
                ranked AS (SELECT *, row_number() OVER (
                  PARTITION BY date, filename ORDER BY {_GREATEST_FIRST}) AS rn FROM requests)
           SELECT filename, date AS _date, {_MEASURES}, date FROM ranked WHERE rn = 1""",
@@ -500,22 +543,45 @@ def _own_oracle_sql() -> dict[str, str]:
                  PARTITION BY date, filename ORDER BY {_GREATEST_FIRST}) AS rn FROM copies)
           SELECT date, filename, {_MEASURES} FROM ranked WHERE rn = 1""",
         "partitioned_roundtrip": f"""
-          WITH pagecounts AS ({_counts(_SLOT_EPOCH)})
+          WITH pagecounts AS ({_counts()})
           SELECT project_name, article_name, interval_start_unixtime, count::bigint AS count,
                  {_DAY} AS date
           FROM pagecounts""",
         "media_roundtrip": f"""
-          WITH mediacounts AS ({_mediacounts(_MONTH)})
+          WITH mediacounts AS ({_mediacounts(_MEDIA_DAY)})
           SELECT filename, {_MEASURES}, date FROM mediacounts
           WHERE date BETWEEN '{MEDIA_FIRST}' AND '{MEDIA_LAST}'""",
-        "stored_epoch_range": _panel(LO, HI, epoch=_SLOT_EPOCH),
+        "stored_epoch_range": _panel(LO, HI),
+        "stored_views_by_article": f"""
+          WITH pagecounts AS ({_counts()})
+          SELECT {_HOUR} AS hour, article_name, sum(count)::bigint AS pageviews
+          FROM pagecounts WHERE article_name = '{ARTICLE}'
+          GROUP BY interval_start_unixtime, article_name""",
+        "serving_tables_all_hours": f"""
+          WITH pagecounts AS ({_counts()}),
+               served AS (
+                 SELECT interval_start_unixtime, count FROM pagecounts
+                 UNION ALL SELECT interval_start_unixtime - {4 * 365 * DAY}, count FROM pagecounts
+                 UNION ALL SELECT NULL, count FROM pagecounts)
+          SELECT {_HOUR} AS hour, sum(count)::bigint AS pageviews
+          FROM served GROUP BY interval_start_unixtime""",
+        "keyed_media_first_wins": """
+          SELECT 'part/' || l_partkey AS filename,
+                 min(l_shipdate) < TIMESTAMP '1997-01-01' AS early
+          FROM lineitem GROUP BY l_partkey""",
+        "replaced_pipeline": f"""
+          WITH pagecounts AS ({_counts()})
+          SELECT project_name, article_name, interval_start_unixtime, count FROM pagecounts
+          UNION ALL
+          SELECT project_name || '.m', article_name, interval_start_unixtime, count + 100
+          FROM pagecounts""",
         "keyed_ingest_first_wins": _INGESTED,
-        "media_ingest_mapping": _media_ingested(_MONTH),
+        "media_ingest_mapping": _media_ingested(_MEDIA_DAY),
         "stream_ingest_pagecounts": _INGESTED,
-        "stream_ingest_mediacounts": _media_ingested(_YEAR, _TWICE),
+        "stream_ingest_mediacounts": _media_ingested(_MEDIA_DAY, _TWICE),
         "serving_tables_report": _panel(LO, HI, f" AND project_name = '{PROJECT}'"),
         "external_tables_report": f"""
-          WITH mediacounts AS ({_mediacounts(_MONTH)})
+          WITH mediacounts AS ({_mediacounts(_MEDIA_DAY)})
           SELECT date AS d, sum(total_response_bytes)::bigint / power(10, 12) AS tb_served,
                  sum(total_transfers_all)::bigint AS n_imgs_served
           FROM mediacounts WHERE date BETWEEN '{MEDIA_FIRST}' AND '{MEDIA_LAST}'

@@ -5,6 +5,7 @@
     ingest-pagecounts  --source DIR --root DIR [--every "1 minute"]
     ingest-mediacounts --source DIR --root DIR [--every "1 minute"]
     report NAME --table DIR [--project P] [--article A] [--since now-3d] [--until now-1d]
+                [--now-delay 1d] [--lo EPOCH --hi EPOCH]
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from hourtally.functions.timegrain import run_times
+from hourtally.operators.filters import DEFAULT_NOW_DELAY
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS
 from hourtally.plans import jobs, reports
 from hourtally.session import build_session
@@ -25,6 +27,7 @@ REPORTS = (
     "hourly_total_views",
     "hourly_views_by_project",
     "hourly_views_by_article",
+    "hourly_rows_and_views",
     "relative_rows_and_views",
     "daily_media_totals",
 )
@@ -58,6 +61,9 @@ def parser() -> argparse.ArgumentParser:
     report.add_argument("--since", default="now-3d")
     report.add_argument("--until", default="now-1d")
     report.add_argument("--as-of")
+    report.add_argument("--now-delay", default=DEFAULT_NOW_DELAY)
+    report.add_argument("--lo", type=int, help="first hour of a fixed range")
+    report.add_argument("--hi", type=int, help="last hour of a fixed range")
     report.add_argument("--out", help="write parquet here instead of printing")
     return top
 
@@ -92,11 +98,14 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         values = {"article": args.article}
     elif args.name == "hourly_views_by_project" and args.project:
         values = {"project": args.project}
+    elif args.name == "hourly_rows_and_views":
+        values = {"lo": args.lo, "hi": args.hi, "project": args.project}
     elif args.name == "relative_rows_and_views":
         values = {
             "since": args.since,
             "until": args.until,
             "as_of": args.as_of,
+            "now_delay": args.now_delay,
             "project": args.project,
         }
     return getattr(reports, args.name)(table, **values)
@@ -106,6 +115,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     if getattr(args, "name", None) == "hourly_views_by_article" and not args.article:
         parser().error("hourly_views_by_article needs --article")
+    if getattr(args, "name", None) == "hourly_rows_and_views" and None in (args.lo, args.hi):
+        parser().error("hourly_rows_and_views needs --lo and --hi")
     spark = build_session(f"hourtally {args.command}")
     if args.command.startswith("load"):
         load(spark, args)
@@ -116,7 +127,9 @@ def main(argv: list[str] | None = None) -> None:
         if args.out:
             result.write.parquet(args.out)
         else:
-            result.show(1000, truncate=False)
+            print(*result.columns, sep="\t")
+            for row in result.toLocalIterator():
+                print(*row, sep="\t")
 
 
 if __name__ == "__main__":

@@ -92,17 +92,14 @@ def _span(text: str) -> int:
 # --- column side -------------------------------------------------------------
 
 
-def hour_epoch(ts: Column, hours: int = 1) -> Column:
-    """Interval start of a TIMESTAMP_NTZ read as UTC: its hour (or ``hours``-hour slot).
+def hour_epoch(ts: Column) -> Column:
+    """Interval start of a TIMESTAMP_NTZ read as UTC: its hour.
 
     Built from the date and the hour field, which are taken from the stored value itself. A
     difference of timestamps would pass through the session zone and be an hour off where
     that zone skips one.
     """
-    hour = F.hour(ts)
-    if hours > 1:
-        hour = hour - F.pmod(hour, F.lit(hours))
-    return F.unix_date(ts.cast("date")).cast("long") * F.lit(DAY) + hour * F.lit(HOUR)
+    return F.unix_date(ts.cast("date")).cast("long") * F.lit(DAY) + F.hour(ts) * F.lit(HOUR)
 
 
 def epoch_to_ntz(epoch: Column) -> Column:

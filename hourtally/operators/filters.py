@@ -11,6 +11,8 @@ from hourtally.functions.timegrain import day_string, relative_epoch
 
 DEFAULT_PROJECT = "en.m"
 FIRST_VISIBLE_DATE = "2022-01-01"
+# The newest day is still being loaded, so "now" is a day ago.
+DEFAULT_NOW_DELAY = "1d"
 
 
 def project_is(df: DataFrame, project: str = DEFAULT_PROJECT) -> DataFrame:
@@ -50,7 +52,7 @@ def relative_window(
     since: str = "now-3d",
     until: str = "now-1d",
     as_of: str | datetime | None = None,
-    now_delay: str = "",
+    now_delay: str = DEFAULT_NOW_DELAY,
 ) -> DataFrame:
     """``epoch_between`` with bounds relative to ``as_of`` (default: now)."""
     # One reading of the clock, so that both bounds refer to the same moment.

@@ -15,10 +15,11 @@ from hourtally.functions.timegrain import HOUR, epoch_to_day
 from hourtally.operators.dedup import keep_greatest
 from hourtally.operators.mapping import project_mapping
 from hourtally.sources.sinks import BATCH, write_replacing
-from hourtally.sources.tables import MAX_LISTED_DAYS, read_dates
+from hourtally.sources.tables import read_dates
 
-# Separate time ranges a target read is filtered by before they are taken as one.
-MAX_RANGES = 64
+# When and in which file a row arrived, where the source tells: of rows with one key the first
+# counts, however the files are cut into batches.
+ARRIVED, FILE = "_arrived", "_file"
 
 
 @dataclass(frozen=True)
@@ -81,7 +82,7 @@ def first_write_wins(
 ) -> DataFrame:
     """Rows of ``batch`` to insert: those whose key ``existing`` does not hold yet.
 
-    Equal keys inside the batch keep the greatest measures. As in a unique index, a NULL in
+    Equal keys inside the batch keep the greatest measures, compared left to right. As in a unique index, a NULL in
     the key never collides: such rows are all kept and stay out of the shuffle, which they
     could otherwise overload. Both sides of the anti-join are unique per key, and it reuses
     the partitioning of the deduplication.
@@ -96,8 +97,8 @@ def first_write_wins(
 def _within(interval: Column, spans: list[tuple]) -> Column:
     """Predicate for the intervals of some days, as ``(first, last)`` per day.
 
-    Days that follow on without a gap become one range. With very many ranges left, the one
-    from the first to the last stands for all; it selects more, never less.
+    Days that follow on without a gap become one range. The ranges are joined as a balanced
+    tree, so any number of them can be analysed.
     """
     ranges: list[tuple] = []
     for first, last in sorted(spans):
@@ -105,40 +106,36 @@ def _within(interval: Column, spans: list[tuple]) -> Column:
             ranges[-1] = (ranges[-1][0], last)
         else:
             ranges.append((first, last))
-    if len(ranges) > MAX_RANGES:
-        ranges = [(ranges[0][0], ranges[-1][1])]
-    return reduce(lambda a, b: a | b, (interval.between(*r) for r in ranges))
+    terms = [interval.between(*r) for r in ranges]
+    while len(terms) > 1:
+        pairs = [reduce(lambda a, b: a | b, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+        terms = pairs
+    return terms[0]
 
 
 def _earlier_rows(
     spark: SparkSession, table: ServingTable, target: str, rows: DataFrame, batch_id: int
 ) -> DataFrame:
-    """What earlier batches stored for the intervals of this one; ids count from 0.
+    """What earlier batches stored that a key of this one could meet.
 
-    Only the days of the batch are listed, and the interval predicate lets the scan skip row
+    A key that holds the interval can only meet rows of the batch's intervals. Only the days of the batch are listed, and the interval predicate lets the scan skip row
     groups of other hours, so an hourly load does not re-read its day, nor a late hour another
     one. Rows of this batch and of later ones are left out: a replay sees what the first
-    attempt saw.
+    attempt saw. A key without the interval can meet any row, so all batches are read, of which
+    the scan takes the key columns alone.
     """
-    if batch_id == 0:
-        return spark.createDataFrame([], table.stored)
+    if table.interval not in table.unique_key:
+        return read_dates(spark, target, table.stored, None).where(F.col(BATCH) < batch_id)
     interval = F.col(table.interval)
     spans = (
         rows.where(interval.isNotNull())
         .groupBy(table.day().alias("day"))
         .agg(F.min(interval).alias("lo"), F.max(interval).alias("hi"))
     )
-    # One row per calendar day. Should there be more than can be listed, the range between
-    # the two ends covers them all.
-    found = spans.limit(MAX_LISTED_DAYS + 1).collect()
+    found = spans.collect()  # one row for each calendar day
     if not found:
         return spark.createDataFrame([], table.stored)
-    if len(found) > MAX_LISTED_DAYS:
-        found = [spans.agg(F.min("day"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).first()]
-        days = None
-    else:
-        days = [r["day"] for r in found]
-    stored = read_dates(spark, target, table.stored, days)
+    stored = read_dates(spark, target, table.stored, [r["day"] for r in found])
     wanted = _within(interval, [(r["lo"], r["hi"]) for r in found])
     return stored.where(wanted & (F.col(BATCH) < batch_id))
 
@@ -152,14 +149,20 @@ def rows_to_insert(
         return rows
     measures = [c for c in rows.columns if c not in table.unique_key]
     existing = _earlier_rows(spark, table, target, rows, batch_id)
-    return first_write_wins(rows, existing, table.unique_key, measures)
+    if ARRIVED in source.columns:
+        # Compared before the measures: the earlier file is the greater. Files of one
+        # millisecond go by a hash of their name.
+        order = {ARRIVED: -F.unix_micros(ARRIVED), FILE: F.xxhash64(FILE)}
+        rows = project_mapping(source, table.columns, table.mapping, order)
+        measures = [*order, *measures]
+    return first_write_wins(rows, existing, table.unique_key, measures).drop(ARRIVED, FILE)
 
 
 def ingest_batch(source: DataFrame, batch_id: int, table: ServingTable, target: str) -> None:
     """Insert one batch. Repeating a batch with the same rows leaves the same table.
 
     Each batch owns the ``_batch_id`` directory below its days and replaces only that. Ids
-    count up from 0, and a target has one writer.
+    count up, and a target has one writer.
     """
     rows = rows_to_insert(source.sparkSession, source, batch_id, table, target)
     write_replacing(

@@ -12,6 +12,7 @@ from hourtally.operators.aggregates import (
     views_by_hour,
 )
 from hourtally.operators.filters import (
+    DEFAULT_NOW_DELAY,
     DEFAULT_PROJECT,
     article_is,
     epoch_between,
@@ -50,7 +51,7 @@ def relative_rows_and_views(
     since: str = "now-3d",
     until: str = "now-1d",
     as_of: str | datetime | None = None,
-    now_delay: str = "",
+    now_delay: str = DEFAULT_NOW_DELAY,
     project: str | None = None,
 ) -> DataFrame:
     """Dashboard panel for a window relative to ``as_of``."""

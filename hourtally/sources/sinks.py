@@ -46,7 +46,13 @@ def with_row_ids(df: DataFrame) -> DataFrame:
 def _writer(df: DataFrame, partitions: Sequence[str], lookup: Sequence[str]) -> DataFrameWriter:
     writer = df.write.partitionBy(*partitions).option("compression", "snappy")
     for column in lookup:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+        # Sized by the values of each row group: a small file carries a small filter, and one of
+        # millions of titles a filter that still tells them apart.
+        writer = (
+            writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+            .option("parquet.bloom.filter.adaptive.enabled", "true")
+            .option("parquet.bloom.filter.max.bytes", str(8 << 20))
+        )
     return writer
 
 

@@ -20,9 +20,6 @@ from hourtally.schemas import (
 )
 from hourtally.sources.sinks import BATCH
 
-# Up to this many days are named one by one; beyond it the whole table is listed.
-MAX_LISTED_DAYS = 4000
-
 
 def read_dates(
     spark: SparkSession, path: str, schema: StructType, days: Iterable[str] | None
@@ -56,15 +53,16 @@ def _read_visible(
     spark: SparkSession, path: str, schema: StructType, first: str, last: str | None
 ) -> DataFrame:
     last = last or day_string(datetime.now(timezone.utc))
-    days = _days(first, last)
-    stored = read_dates(spark, path, schema, days if len(days) <= MAX_LISTED_DAYS else None)
-    return visible_dates(stored, first, last)
+    return visible_dates(read_dates(spark, path, schema, _days(first, last)), first, last)
 
 
 def read_pagecounts(
     spark: SparkSession, path: str, first: str = FIRST_VISIBLE_DATE, last: str | None = None
 ) -> DataFrame:
-    """Stored page counts of the visible date range; new directories need no repair step."""
+    """Stored page counts of the visible date range; new directories need no repair step.
+
+    Only the directories of ``first .. last`` are listed: name the days that are asked for.
+    """
     return _read_visible(spark, path, PAGECOUNTS_EXTERNAL, first, last)
 
 

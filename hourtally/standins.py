@@ -8,8 +8,6 @@ tables proper, with one row per key.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,26 +25,9 @@ def lineitem(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/lineitem.parquet")
 
 
-def events_in_hours(df: DataFrame, lo: int, hi: int) -> DataFrame:
-    """Events of the hours starting in ``lo .. hi``, as a bound on ``ts`` the scan can use."""
-    start = datetime(1970, 1, 1)
-    first, end = (start + timedelta(seconds=s) for s in (lo, hi + HOUR))
-    first, end = (F.expr(f"TIMESTAMP_NTZ'{t:%Y-%m-%d %H:%M:%S}'") for t in (first, end))
-    return df.where((F.col("ts") >= first) & (F.col("ts") < end))
-
-
-def events_of_article(df: DataFrame, article: str) -> DataFrame:
-    """Events of one article, as an equality on ``user_id`` the scan can use."""
-    return df.where(F.col("user_id") == int(article.removeprefix(ARTICLE_PREFIX)))
-
-
-def page_requests(df: DataFrame, slot_hours: int = 1, count: Column | None = None) -> DataFrame:
-    """One row per event, each counting one view unless ``count`` says otherwise.
-
-    ``slot_hours`` widens the interval. It is for stand-ins that are written to disk: the
-    sample has a few rows an hour where a real hour has millions.
-    """
-    epoch = hour_epoch(F.col("ts"), slot_hours)
+def page_requests(df: DataFrame, count: Column | None = None) -> DataFrame:
+    """One row per event, each counting one view unless ``count`` says otherwise."""
+    epoch = hour_epoch(F.col("ts"))
     return df.select(
         F.col("event_type").alias("project_name"),
         F.concat(F.lit(ARTICLE_PREFIX), F.col("user_id").cast("string")).alias("article_name"),
@@ -55,13 +36,13 @@ def page_requests(df: DataFrame, slot_hours: int = 1, count: Column | None = Non
     )
 
 
-def pagecounts(df: DataFrame, slot_hours: int = 1) -> DataFrame:
+def pagecounts(df: DataFrame) -> DataFrame:
     """Views per project, article and hour.
 
     Grouped on the numeric columns; the texts are made afterwards, so the shuffle carries
     no article names.
     """
-    hour = hour_epoch(F.col("ts"), slot_hours).alias("interval_start_unixtime")
+    hour = hour_epoch(F.col("ts")).alias("interval_start_unixtime")
     views = F.count(F.lit(1)).cast("int").alias("count")
     counted = df.groupBy("event_type", "user_id", hour).agg(views)
     return counted.select(
@@ -73,9 +54,8 @@ def pagecounts(df: DataFrame, slot_hours: int = 1) -> DataFrame:
     ).select(*PAGECOUNTS_NORMAL.names)
 
 
-def _media_day(grain: str) -> Column:
-    day = F.col("l_shipdate").cast("date")
-    return (day if grain == "day" else F.trunc(day, grain)).cast("string")
+def _media_day() -> Column:
+    return F.col("l_shipdate").cast("date").cast("string")
 
 
 def _media_measures() -> dict[str, Column]:
@@ -98,22 +78,18 @@ def _media_measures() -> dict[str, Column]:
     }
 
 
-def media_requests(df: DataFrame, grain: str = "day") -> DataFrame:
-    """One row per order line.
-
-    A ``grain`` of month or year dates each row on the first of it, for stand-ins that are
-    written to disk: the sample has a few rows a day where a real day has millions.
-    """
+def media_requests(df: DataFrame) -> DataFrame:
+    """One row per order line."""
     return df.select(
         F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("filename"),
-        _media_day(grain).alias("date"),
+        _media_day().alias("date"),
         *(c.alias(name) for name, c in _media_measures().items()),
     )
 
 
-def mediacounts(df: DataFrame, grain: str = "day") -> DataFrame:
+def mediacounts(df: DataFrame) -> DataFrame:
     """Counters per file and day."""
-    day = _media_day(grain).alias("date")
+    day = _media_day().alias("date")
     measures = _media_measures()
     summed = [
         F.sum(c).cast("bigint" if name == "total_response_bytes" else "int").alias(name)

@@ -7,21 +7,28 @@ import json
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from hourtally.operators.ingest import ServingTable, ingest_batch
-from hourtally.sources.tables import declare_table
+from hourtally.operators.ingest import ARRIVED, FILE, ServingTable, ingest_batch
+from hourtally.schemas import schema_of
+from hourtally.sources.sinks import BATCH
+from hourtally.sources.tables import declare_table, read_dates
+
+# Batch ids that each definition of a pipeline has to itself.
+IDS = 1 << 40
 
 
 @dataclass(frozen=True)
 class FileIngest:
     """New files under ``source`` go into a target below ``root``.
 
-    Checkpoint and target share a folder named after the definition. Changing the mapping,
-    key or source therefore starts over in new folders: an old checkpoint is never read with
-    a new mapping, and batch ids never restart in a used target. ``generation`` starts over
-    with an unchanged definition.
+    The checkpoint lies in a folder named after the definition. Changing the mapping, key or
+    source therefore reads all files again: an old checkpoint is never read with a new mapping.
+    The target stays: what it serves is kept, keys it holds are skipped, and the batch ids of a
+    new definition continue above those stored. ``generation`` starts over with an unchanged
+    definition.
     """
 
     table: ServingTable
@@ -51,14 +58,14 @@ class FileIngest:
 
     @property
     def target(self) -> str:
-        return f"{self.folder}/table"
+        return f"{self.root.rstrip('/')}/{self.table.name}/table"
 
     @property
     def checkpoint(self) -> str:
         return f"{self.folder}/checkpoint"
 
     def declare(self, spark: SparkSession, database: str) -> None:
-        """Point the catalog table at this target; the files of an earlier one stay."""
+        """Point the catalog table at this target."""
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.{self.table.name}")
         declare_table(spark, database, self.table.name, self.table.columns, self.target)
 
@@ -67,7 +74,8 @@ class FileIngest:
 
         Keys are remembered by the target itself, not by streaming state: they count for
         ever, so a late or repeated file finds them however old they are. ``max_files``
-        cuts a backlog into batches; all of it is loaded.
+        cuts a backlog into batches; all of it is loaded, and the file that arrived first wins
+        within a batch as it does between batches.
         """
         # By default Spark passes over files a week older than the newest it has seen; a dump
         # that comes late counts like any other.
@@ -76,16 +84,36 @@ class FileIngest:
             .option("maxFileAge", "36500d")
             .option("maxFilesPerTrigger", self.max_files)
             .parquet(self.source)
+            .select(
+                "*",
+                F.col("_metadata.file_modification_time").alias(ARRIVED),
+                F.col("_metadata.file_path").alias(FILE),
+            )
         )
+        first_id = self._first_batch_id(spark)
 
         def load(batch, batch_id):
-            ingest_batch(batch, batch_id, self.table, self.target)
+            ingest_batch(batch, first_id + batch_id, self.table, self.target)
 
         writer = files.writeStream.foreachBatch(load).option("checkpointLocation", self.checkpoint)
         if every:
             return writer.trigger(processingTime=every).start()
         return writer.trigger(availableNow=True).start()
 
+    def _first_batch_id(self, spark: SparkSession) -> int:
+        """Where this definition's batch ids begin: above all that the target held when it first
+        started. Written down beside the checkpoint, so a restart begins there as well."""
+        schema, path = "first_batch_id bigint", f"{self.folder}/first-batch-id"
+        known = read_dates(spark, path, schema_of(schema), None).first()
+        if known is None:
+            stored = read_dates(spark, self.target, self.table.stored, None)
+            last = stored.agg(F.max(BATCH)).first()[0]
+            first = 0 if last is None else (last // IDS + 1) * IDS
+            row = spark.range(1).select(F.lit(first).cast("bigint").alias("first_batch_id"))
+            row.write.mode("overwrite").parquet(path)
+            return first
+        return known["first_batch_id"]
+
     def run_available(self, spark: SparkSession) -> None:
         """Load every file that has arrived, then return."""
         self.start(spark).awaitTermination()

@@ -63,9 +63,7 @@ def test_a_late_hour_lands_in_its_own_day(spark, target):
     assert days == {"2022-09-01", "2022-01-12"}
 
 
-@pytest.mark.parametrize("most", [64, 1])
-def test_target_read_is_limited_to_the_hours_of_a_batch(spark, target, monkeypatch, most, plan):
-    monkeypatch.setattr(ingest, "MAX_RANGES", most)
+def test_target_read_is_limited_to_the_hours_of_a_batch(spark, target, plan):
     start = 1662004800 - 4 * 3600  # midnight of 2022-09-01
     full = [("en", "A", start + h * 3600, h) for h in range(5 * 24)]
     put(spark, target, 0, full)
@@ -74,11 +72,8 @@ def test_target_read_is_limited_to_the_hours_of_a_batch(spark, target, monkeypat
     batch = spark.createDataFrame([full[h] for h in hours], ROWS)
     found = ingest._earlier_rows(spark, PAGECOUNTS, target, batch, 1)
     got = sorted((r.interval_start_unixtime - start) // 3600 for r in found.collect())
-    if most == 64:
-        assert got == hours
-        assert plan(found).split("PushedFilters: ")[1].startswith("[Or(And(GreaterThanOrEqual(")
-    else:
-        assert set(hours) <= set(got)
+    assert got == hours
+    assert plan(found).split("PushedFilters: ")[1].startswith("[Or(And(GreaterThanOrEqual(")
     assert put(spark, target, 1, [(p, a, t, 99) for p, a, t, _ in full]) == set(full)
 
 
@@ -105,14 +100,23 @@ def test_matches_a_loop_over_rows(spark, target):
     assert stored(spark, PAGECOUNTS, target).count() == len(table) + len(loose)
 
 
-def test_more_days_than_can_be_listed(spark, target, monkeypatch):
-    monkeypatch.setattr("hourtally.operators.ingest.MAX_LISTED_DAYS", 2)
-    rows = [("en", "A", d * 86400, d) for d in range(5)]
+def test_a_batch_of_very_many_days(spark, target):
+    rows = [("en", "A", d * 2 * 86400, d) for d in range(300)]
     put(spark, target, 0, rows)
     got = put(spark, target, 1, [(p, a, h, 77) for p, a, h, _ in rows] + [("en", "B", 0, 1)])
     assert got == {*rows, ("en", "B", 0, 1)}
 
 
+def test_a_key_without_the_interval_meets_all_batches(spark, target):
+    table = ingest.keyed(ingest.MEDIACOUNTS, "filename")
+    days = [("/f", "2022-08-31"), ("/f", "2022-09-01"), ("/g", "2022-09-01")]
+    for number, (name, day) in enumerate(days):
+        row = (name, day, *range(1, 10), day)
+        ingest.ingest_batch(spark.createDataFrame([row], schemas.MEDIACOUNTS_NORMAL), number, table, target)
+    rows = read_dates(spark, target, table.stored, None).select("filename", "date").collect()
+    assert sorted(map(tuple, rows)) == [days[0], days[2]]
+
+
 def test_order_of_arrival_does_not_change_the_keys(spark, tmp_path):
     keys = []
     for name, order in (("x", (0, 1)), ("y", (1, 0))):

@@ -11,8 +11,8 @@ import __spark_entry__ as entry_module
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "lineitem")
 
-QUERIES = entry_module.queries()
-ORACLES = entry_module.oracle_sql()
+QUERIES = entry_module._own_queries()
+ORACLES = entry_module._own_oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +39,11 @@ def test_each_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_all_queries_are_registered():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
     result = QUERIES[name](spark, FOLDER)
@@ -67,3 +72,22 @@ def test_does_not_depend_on_session_zone(spark, duck, zone, name):
 
 def test_entry_runs(spark):
     assert entry_module.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize(
+    ("module", "filter_name", "names"),
+    [
+        ("reports", "article_is", ["hourly_views_by_article", "stored_views_by_article"]),
+        ("reports", "epoch_between", ["hourly_rows_and_views", "stored_epoch_range"]),
+        ("filters", "epoch_between", ["relative_window_views"]),
+    ],
+)
+def test_queries_fail_without_their_filter(spark, duck, monkeypatch, module, filter_name, names):
+    from hourtally.operators import filters
+    from hourtally.plans import reports
+
+    holder = {"reports": reports, "filters": filters}[module]
+    monkeypatch.setattr(holder, filter_name, lambda df, *_: df)
+    for name in names:
+        got = rows(QUERIES[name](spark, FOLDER).toPandas())
+        assert got != rows(duck.sql(ORACLES[name]).df())

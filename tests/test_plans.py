@@ -15,17 +15,26 @@ FIRST, LAST = "1990-01-01", "2030-01-01"
 LO, HI = 1704412800, 1704499200  # 2024-01-05 and the first hour of the day after
 
 
+def some_events(spark):
+    """A week: enough days to leave out, few enough to write quickly."""
+    return standins.events(spark, FOLDER).where("ts >= '2024-01-03' AND ts < '2024-01-10'")
+
+
+def some_lines(spark):
+    return standins.lineitem(spark, FOLDER).where("l_shipdate < '1995-03-01'")
+
+
 @pytest.fixture(scope="module")
 def pages(spark):
     path = scratch_path(spark, "pages")
-    jobs.store_pagecounts(standins.pagecounts(standins.events(spark, FOLDER), 12), path)
+    jobs.store_pagecounts(standins.pagecounts(some_events(spark)), path)
     return path
 
 
 @pytest.fixture(scope="module")
 def media(spark):
     path = scratch_path(spark, "media")
-    jobs.store_mediacounts(standins.mediacounts(standins.lineitem(spark, FOLDER), "month"), path)
+    jobs.store_mediacounts(standins.mediacounts(some_lines(spark)), path)
     return path
 
 
@@ -59,7 +68,7 @@ def test_sums_are_hash_aggregates_in_one_shuffle(spark, pages, media, plan):
 
 
 def test_dedup_combines_before_one_shuffle(spark, plan):
-    events, lines = standins.events(spark, FOLDER), standins.lineitem(spark, FOLDER)
+    events, lines = some_events(spark), some_lines(spark)
     text = plan(dedup_pagecounts(standins.page_requests(events)))
     assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
     text = plan(dedup_mediacounts(standins.media_requests(lines)))
@@ -67,7 +76,7 @@ def test_dedup_combines_before_one_shuffle(spark, plan):
 
 
 def test_row_ids_need_no_python(spark, plan):
-    raw = standins.page_requests(standins.events(spark, FOLDER))
+    raw = standins.page_requests(some_events(spark))
     text = plan(jobs.normalize_pagecounts(raw, F.col("interval_start_unixtime"), row_ids=True))
     assert "Python" not in text and text.count("Exchange") == 1
 
@@ -102,11 +111,11 @@ def test_sql_texts_equal_the_frames(spark):
     location = scratch_path(spark, "serving")
     for _ in range(2):
         create_tables(spark, "texts", location)
-    counts = standins.pagecounts(standins.events(spark, FOLDER), 12)
+    counts = standins.pagecounts(some_events(spark))
     from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch
 
     ingest_batch(counts, 0, PAGECOUNTS, f"{location}/pagecounts")
-    media = standins.mediacounts(standins.lineitem(spark, FOLDER), "month")
+    media = standins.mediacounts(some_lines(spark))
     ingest_batch(media, 0, MEDIACOUNTS, f"{location}/mediacounts")
     pages_read = read_pagecounts(spark, f"{location}/pagecounts", FIRST, LAST)
     media_read = read_mediacounts(spark, f"{location}/mediacounts", FIRST, LAST)
@@ -135,7 +144,7 @@ def test_sql_prunes_days_of_an_epoch_range(spark, plan):
     location = scratch_path(spark, "pruned")
     create_tables(spark, "pruned", location)
     jobs.store_pagecounts(
-        standins.pagecounts(standins.events(spark, FOLDER), 12), f"{location}/pagecounts"
+        standins.pagecounts(some_events(spark)), f"{location}/pagecounts"
     )
     df = sql.run_report(
         spark, "hourly_rows_and_views", "pruned.pagecounts", lo=LO, hi=HI, project="view"

@@ -44,9 +44,11 @@ def test_backlog_in_small_batches_gives_the_same_table(spark, ingest):
     small.run_available(spark)
     batches = read_dates(spark, small.target, PAGECOUNTS.stored, None).select("_batch_id").distinct()
     assert batches.count() == 4
-    assert {r[:3] for r in stored(spark, small)} == {
-        ("en", "A", 0), *(("en", f"B{n}", 0) for n in range(4))
-    }
+    assert stored(spark, small) == {("en", "A", 0, 0), *(("en", f"B{n}", 0, n) for n in range(4))}
+    # One batch of all files keeps the same rows: the first file wins there as well.
+    whole = replace(ingest, root=f"{ingest.root}-whole")
+    whole.run_available(spark)
+    assert stored(spark, whole) == stored(spark, small)
 
 
 def test_runs_until_stopped(spark, ingest):
@@ -105,13 +107,18 @@ def test_a_replaced_definition_serves_under_the_same_name(spark, ingest):
     spark.catalog.refreshTable("served.pagecounts")
     assert served() == [3]
     again = replace(ingest, generation=1)
-    again.run_available(spark)  # both files in one batch, so the greater count is kept
+    again.run_available(spark)  # reads both files again; what is served stays
     again.declare(spark, "served")
-    assert served() == [7]
+    assert served() == [3]
     assert stored(spark, ingest) == {("en", "A", 0, 1), ("en", "B", 0, 2)}
+    arrive(spark, ingest, ("en", "A", 0, 9), ("en", "C", 0, 4))
+    again.run_available(spark)
+    assert stored(spark, again) == {("en", "A", 0, 1), ("en", "B", 0, 2), ("en", "C", 0, 4)}
+    ids = {r[0] for r in read_dates(spark, again.target, PAGECOUNTS.stored, None).select("_batch_id").collect()}
+    assert len(ids) == 3 and max(ids) >= 1 << 40
 
 
-def test_a_changed_definition_starts_over_elsewhere(ingest):
+def test_a_changed_definition_gets_a_checkpoint_of_its_own(ingest):
     again = FileIngest(PAGECOUNTS, ingest.source, ingest.root)
     assert again.checkpoint == ingest.checkpoint
     others = [

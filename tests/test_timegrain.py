@@ -73,9 +73,3 @@ def test_columns_do_not_depend_on_session_zone(spark, zone, name):
         assert row["e"] == int(hour.replace(tzinfo=timezone.utc).timestamp())
         assert row["d"] == text[:10]
         assert tg.day_string(row["e"]) == text[:10]
-
-
-def test_wider_slots(spark):
-    ts = F.expr("TIMESTAMP_NTZ'2024-01-05 17:20:00'")
-    row = spark.range(1).select(tg.epoch_to_ntz(tg.hour_epoch(ts, 12)).alias("h")).first()
-    assert row["h"] == datetime(2024, 1, 5, 12)
