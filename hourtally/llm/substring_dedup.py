@@ -236,7 +236,10 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     were ``removed``."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"))
+    # Without a new name where none is needed: that alone would make a second exchange.
+    if dict(docs.dtypes)["doc_id"] != "bigint":
+        docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    docs = docs.select("doc_id", "text", rest.alias("rest"))
     named = docs.where("doc_id is not null")
 
     digests = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
@@ -244,10 +247,9 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     copies = materialised(
         digests.join(first, "digest").where("first < doc_id").select("doc_id").distinct(), "copies"
     )
-    # All that follows reads the texts from one and the same exchange by id.
-    named = named.join(copies.withColumn("copy", F.lit(True)), "doc_id", "left")
+    copies = copies.withColumn("copy", F.lit(True))
 
-    anchor = named.mapInArrow(per_piece(_anchor_rows), "anchor bigint, doc_id bigint")
+    anchor = named.select("doc_id", "text").join(copies, "doc_id", "left").mapInArrow(per_piece(_anchor_rows), "anchor bigint, doc_id bigint")
     often = anchor.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     by_doc = materialised(
         anchor.join(often.select("anchor"), "anchor")
@@ -256,6 +258,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
         "anchors",
     )
 
+    # From here on all joins with the texts are on the id and take whole rows, so that they read
+    # one and the same exchange.
     windows = named.join(by_doc, "doc_id").mapInArrow(
         per_piece(_window_rows), "window bigint, doc_id bigint, block int"
     )
@@ -306,7 +310,8 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
             "passages": F.lit(None).cast(passages.schema["passages"].dataType),
         }
     )
-    both = named.join(passages, "doc_id", "left").unionByName(unnamed)
+    both = named.join(passages, "doc_id", "left").join(copies, "doc_id", "left")
+    both = both.unionByName(unnamed)
     return both.mapInArrow(per_piece(_cleaned), schema)
 
 
