@@ -85,7 +85,7 @@ def test_invariants(spark, pages):
     counts = read_pagecounts(spark, pages)
     total = counts.agg(F.sum("count")).first()[0]
     hours = {r.hour: r.pageviews for r in reports.hourly_total_views(counts).collect()}
-    assert sum(hours.values()) == total == 1000
+    assert sum(hours.values()) == total == some_events(spark).count() > 0
     per_project = {}
     for project in ("view", "click", "signup", "error", "purchase"):
         for r in reports.hourly_views_by_project(counts, project).collect():
