@@ -1,6 +1,7 @@
 """Every registered query against DuckDB, in two session zones."""
 
 import os
+import tempfile
 
 import duckdb
 import pandas as pd
@@ -8,8 +9,27 @@ import pytest
 
 import __spark_entry__ as entry_module
 
-FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("events", "lineitem")
+# Days of the sample: every query keeps some rows and leaves some out, and few directories are
+# written. ORACLE_SF_DIR runs whole tables instead.
+DAYS = {
+    "events": "ts < '2024-01-27'",
+    "lineitem": "l_shipdate BETWEEN '1995-11-15' AND '1996-02-15' "
+    "OR l_shipdate BETWEEN '1996-12-15' AND '1997-01-31'",
+}
+
+
+def _some_days():
+    folder = tempfile.mkdtemp(prefix="hourtally-oracle-")
+    for table, days in DAYS.items():
+        duckdb.connect().execute(
+            f"COPY (SELECT * FROM '/root/testdata/sf0.001/{table}.parquet' WHERE {days}) "
+            f"TO '{folder}/{table}.parquet' (FORMAT parquet)"
+        )
+    return folder
+
+
+FOLDER = os.environ.get("ORACLE_SF_DIR") or _some_days()
 
 QUERIES = entry_module._own_queries()
 ORACLES = entry_module._own_oracle_sql()
