@@ -3,8 +3,8 @@
 A window is ``WINDOW`` consecutive words. A word goes if a window over it also starts in a
 document with a smaller id.
 
-0. Copies. A text that an earlier document has as a whole has nothing of its own. It is settled by
-   digest and takes no part in what follows.
+0. Copies. A document whose every text an earlier document has as a whole has nothing of its own.
+   It is settled by digest and takes no part in what follows.
 1. Anchors. The ``ANCHOR``-word phrase with the least hash within a window belongs to the window
    wherever it occurs, so a window can only recur if its anchor does. Documents give their
    distinct anchors, about a quarter of their windows; those that come twice recur.
@@ -23,7 +23,8 @@ No group is gathered: a passage in very many documents is a block that is sent t
 and a document gets each block once.
 
 Defined results: a null text has no words. A document without id is neither first nor changed.
-Rows with one id are one document: their windows are not compared with each other.
+Rows with one id are one document: their windows are not compared with each other, and each of
+their texts may own a block of the same number.
 """
 
 from __future__ import annotations
@@ -196,12 +197,12 @@ def _cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
     texts = encoded(batch.column("text"))
     needed = batch.column("passages").to_pylist()
     copies = batch.column("copy").to_pylist()
-    index: dict[tuple[int, int], int] = {}
+    index: dict[tuple[int, int, str], int] = {}
     blocks: list[list[str]] = []
     owners: list[int] = []
     for passages in needed:
         for passage in passages or ():
-            key = (passage["owner"], passage["block"])
+            key = (passage["owner"], passage["block"], passage["words"])
             if key not in index:
                 index[key] = len(blocks)
                 blocks.append(passage["words"].split(" "))
@@ -245,11 +246,20 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     digests = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
     first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
     copies = materialised(
-        digests.join(first, "digest").where("first < doc_id").select("doc_id").distinct(), "copies"
+        digests.join(first, "digest")
+        .groupBy("doc_id")
+        .agg(F.bool_and(F.col("first") < F.col("doc_id")).alias("copy"))
+        .where("copy")
+        .select("doc_id"),
+        "copies",
     )
     copies = copies.withColumn("copy", F.lit(True))
 
-    anchor = named.select("doc_id", "text").join(copies, "doc_id", "left").mapInArrow(per_piece(_anchor_rows), "anchor bigint, doc_id bigint")
+    anchor = (
+        named.select("doc_id", "text")
+        .join(copies, "doc_id", "left")
+        .mapInArrow(per_piece(_anchor_rows), "anchor bigint, doc_id bigint")
+    )
     often = anchor.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     by_doc = materialised(
         anchor.join(often.select("anchor"), "anchor")

@@ -8,29 +8,37 @@ from hourtally.llm import substring_dedup as sd
 
 
 def brute(rows):
+    return {row[0]: row[1:] for row in brute_rows(rows)}
+
+
+def brute_rows(rows):
     words = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
     first = {}
     for i, own in words:
         for j in range(len(own) - 12):
             key = tuple(own[j : j + 13])
             first[key] = min(i, first.get(key, i))
-    out = {}
+    out = []
     for i, own in words:
         gone = [False] * len(own)
         for j in range(len(own) - 12):
             if first[tuple(own[j : j + 13])] < i:
                 gone[j : j + 13] = [True] * 13
         left = " ".join(w for w, g in zip(own, gone, strict=True) if not g)
-        out[i] = (len(own), sum(gone), hashlib.sha256(left.encode()).hexdigest())
+        out.append((i, len(own), sum(gone), hashlib.sha256(left.encode()).hexdigest()))
     return out
 
 
 def digests(found):
-    out = {}
+    return {row[0]: row[1:] for row in digest_rows(found)}
+
+
+def digest_rows(found):
+    out = []
     for r in found.collect():
         n = sum(s["end"] - s["first"] for s in r.removed)
         left = " ".join(re.findall(r"[^\x20\x09-\x0D]+", r.text or ""))
-        out[r.doc_id] = (r.n_words, n, hashlib.sha256(left.encode()).hexdigest())
+        out.append((r.doc_id, r.n_words, n, hashlib.sha256(left.encode()).hexdigest()))
     return out
 
 
@@ -71,6 +79,28 @@ def test_awkward_rows(corpus, awkward):
     assert sd.substring_dedup(corpus([])).collect() == []
 
 
+def test_ids_with_several_texts(corpus):
+    fresh = iter(range(10**6))
+    part = {k: " ".join(f"{k}{i}" for i in range(90)) for k in "abcd"}
+
+    def text(*kinds):
+        return " ".join(
+            f"x{next(fresh)} {part[k]}" if k in part else f"x{next(fresh)}" for k in kinds
+        )
+
+    rows = [
+        (1, part["a"]),
+        (3, text("b")), (3, text("c")),  # two texts with blocks of the same numbers
+        (5, part["a"]), (5, text("d")),  # one is a copy, the other has what 9 repeats
+        (5, None),
+        (7, text("c", "b")),
+        (9, text("d", "a")),
+        (9, text("d", "a")),
+    ]
+    got = digest_rows(sd.substring_dedup(corpus(rows)))
+    assert sorted(got) == sorted(brute_rows(rows))
+
+
 def test_layout_around_a_passage_stays(corpus):
     shared = " ".join(f"p{i}" for i in range(20))
     docs = corpus([(1, shared), (2, f"  head\n\nof it {shared}\ttail.\n"), (3, f"x {shared}"), (4, shared)])
