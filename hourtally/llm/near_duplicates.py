@@ -15,7 +15,8 @@ At a similarity of 0.85 a pair shares none of the 30 buckets with probability 7e
 
 Defined results: a document with a null or empty text, or without words, has an empty set and is
 linked with nothing. Ids name documents: rows that repeat an id and text are each returned, with
-one verdict; rows that repeat an id with other texts are compared by all their shingles together.
+one verdict; rows that repeat an id with other texts are compared each, and the id gets the
+smallest of their components.
 A row without an id is linked with nothing, is its own document (``component_id``
 null) and is kept.
 """
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm.tables import components, materialised, table
+from hourtally.llm.tables import components, dealt, materialised, table
 from hourtally.llm.text import (
     encoded,
     mix,
@@ -156,7 +157,7 @@ def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
         .where("lo < hi")
         .select("key")
     )
-    return members.join(open_keys, "key")
+    return members.join(dealt(open_keys, "key"), "key")
 
 
 def _pairs(both: DataFrame) -> DataFrame:
@@ -173,7 +174,7 @@ def _leader_pairs(left: DataFrame, turn: int) -> DataFrame:
     """Each member with the leader of its bucket: the one with the least hash of id and round."""
     rank = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "label")
     leaders = left.groupBy("key").agg(F.min(rank).alias("leader"))
-    both = left.join(leaders, "key").select(
+    both = left.join(dealt(leaders, "key"), "key").select(
         "rep", "n", "label",
         F.col("leader.rep").alias("other"),
         F.col("leader.n").alias("other_n"),
@@ -199,7 +200,7 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
     held = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1")
     ranked = (
         shingles.drop("sketch")
-        .join(held, "shingle")
+        .join(dealt(held, "shingle"), "shingle")
         .groupBy("rep", "label", "n")
         .agg(F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("common"))
     )
@@ -242,8 +243,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # Equal sets first: the smallest id stands for all of them.
     same = ["set_a", "set_b", "n_shingles"]
     full = found.where("doc_id is not null and n_shingles > 0")
-    standing = full.groupBy(*same).agg(F.min("doc_id").alias("rep"))
-    members = full.drop("bands").join(standing, same).select("doc_id", "rep").distinct()
+    standing = full.groupBy(*same).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     reps = full.join(standing.select("rep"), F.col("doc_id") == F.col("rep"), "left_semi")
 
     buckets = reps.select(
@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .where("lo < hi")
         .select("key")
     )
-    shared = materialised(buckets.join(several, "key"), "shared")
+    shared = materialised(buckets.join(dealt(several, "key"), "key"), "shared")
     compared = docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = materialised(compared.mapInArrow(per_piece(_set_rows), _SET_TYPE), "sets")
 
@@ -275,8 +275,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         links = new if links is None else links.union(new)
         labels = materialised(components(links), "labels")
 
-    named = members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "doc_id", F.coalesce("label", "rep").alias("component_id")
+    # The component goes to each group of equal sets and from there to its rows.
+    groups = (
+        dealt(standing.where("rep < last"), *same)
+        .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        .select(*same, F.coalesce("label", "rep").alias("group_id"))
+    )
+    named = (
+        full.drop("bands")
+        .join(groups, same, "left")
+        .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .select("doc_id", F.coalesce("group_id", "label", "doc_id").alias("component_id"))
     )
     return (
         found.select("doc_id", "n_shingles")

@@ -20,7 +20,8 @@ document with a smaller id.
    what is removed has been compared letter by letter.
 
 No group is gathered: a passage in very many documents is a block that is sent to each of them,
-and a document gets each block once.
+and a document gets each block once. What is known of a group goes back to its rows by joins that
+Spark can cut where a key is hot.
 
 Defined results: a null text has no words. A document without id is neither first nor changed.
 Rows with one id are one document: their windows are not compared with each other, and each of
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourtally.llm.tables import materialised, table
+from hourtally.llm.tables import dealt, materialised, table
 from hourtally.llm.text import (
     U64,
     Words,
@@ -244,11 +245,16 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     named = docs.where("doc_id is not null")
 
     digests = named.select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
-    first = digests.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    first = (
+        digests.groupBy("digest")
+        .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+        .where("first < last")
+    )
+    later = F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     copies = materialised(
-        digests.join(first, "digest")
+        digests.join(dealt(first, "digest"), "digest", "left")
         .groupBy("doc_id")
-        .agg(F.bool_and(F.col("first") < F.col("doc_id")).alias("copy"))
+        .agg(F.bool_and(later).alias("copy"))
         .where("copy")
         .select("doc_id"),
         "copies",
@@ -262,7 +268,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
     often = anchor.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     by_doc = materialised(
-        anchor.join(often.select("anchor"), "anchor")
+        anchor.join(dealt(often.select("anchor"), "anchor"), "anchor")
         .groupBy("doc_id")
         .agg(F.collect_set("anchor").alias("anchors")),
         "anchors",
@@ -285,7 +291,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
     needs = (
         windows.drop("block")
-        .join(owned, "window")
+        .join(dealt(owned, "window"), "window")
         .where("owner < doc_id")
         .select("doc_id", "owner", "block")
         .distinct()

@@ -28,13 +28,23 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(facts: DataFrame, *key: str) -> DataFrame:
+    """``facts``, one row for each ``key``, dealt out anew for a join with the rows they sum up.
+
+    Spark cuts the rows of a hot key into several tasks only where both sides of a join come
+    straight from a shuffle by that key. What was just grouped by it does not.
+    """
+    return facts.repartition(F.xxhash64(*key, F.lit("dealt")))
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links(a, b)``: the smallest node it is linked to by
     any path.
 
     Alternates the two star operations: each round points every node at the smallest one of its
     neighbours, which halves the paths. The smallest neighbour is a plain minimum, combined
-    before the shuffle, and is joined back, so a node with very many links is never gathered.
+    before the shuffle, and is joined back by a join that Spark can cut, so a node with very many
+    links is never gathered.
     """
     edges = materialised(_downward(links), "links")
     seen = None
@@ -63,12 +73,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
         "a", F.least("a", "b").alias("m")
     )
     return _downward(
-        both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        both.where("b > a").join(dealt(least, "a"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     )
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"))
-    linked = edges.join(least, "a")
+    linked = edges.join(dealt(least, "a"), "a")
     hops = linked.select(F.col("b").alias("a"), F.col("m").alias("b"))
     return _downward(hops.union(least))

@@ -1,0 +1,33 @@
+from pyspark.sql import functions as F
+
+from hourtally.llm.tables import dealt
+
+
+def test_a_hot_key_is_cut_in_the_join_with_its_group(spark, tmp_path):
+    """Two thirds of the rows have one key; with low limits Spark cuts its partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    rows = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 < 2, -1).otherwise(F.col("id")).alias("key"),
+        F.xxhash64("id").alias("x"),
+    )
+    least = rows.groupBy("key").agg(F.min("x").alias("least"))
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        plans = []
+        for i, facts in enumerate((least, dealt(least, "key"))):
+            joined = rows.join(facts, "key")
+            assert len(joined.collect()) == 60_000
+            plans.append(joined._jdf.queryExecution().executedPlan().toString())
+        assert "skew=true" not in plans[0]
+        assert "skew=true" in plans[1]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
