@@ -2,6 +2,7 @@
 
     load-pagecounts   --source DIR --target DIR [--run-time ISO [--until ISO]]
     load-mediacounts  --source DIR --target DIR [--run-time ISO [--until ISO]]
+                      [--input-bytes N --cores N]
     ingest-pagecounts  --source DIR --root DIR [--every "1 minute"]
     ingest-mediacounts --source DIR --root DIR [--every "1 minute"]
     report NAME --table DIR [--project P] [--article A] [--since now-3d] [--until now-1d]
@@ -18,7 +19,7 @@ from hourtally.functions.timegrain import run_times
 from hourtally.operators.filters import DEFAULT_NOW_DELAY
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS
 from hourtally.plans import jobs, reports
-from hourtally.session import build_session
+from hourtally.session import build_session, sizing_conf
 from hourtally.sources import paths
 from hourtally.sources.tables import read_mediacounts, read_pagecounts
 from hourtally.streaming.file_ingest import FileIngest
@@ -45,6 +46,8 @@ def parser() -> argparse.ArgumentParser:
         load.add_argument("--lag-days", type=int, default=lag)
         load.add_argument("--archive-names", action="store_true", help="published file names")
         load.add_argument("--row-ids", action="store_true")
+        load.add_argument("--input-bytes", type=int, help="uncompressed; sizes the shuffle")
+        load.add_argument("--cores", type=int, default=1, help="of the cluster, with --input-bytes")
         ingest = commands.add_parser(f"ingest-{kind}")
         ingest.add_argument("--source", required=True)
         ingest.add_argument("--root", required=True)
@@ -69,6 +72,9 @@ def parser() -> argparse.ArgumentParser:
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.input_bytes:
+        for key, value in sizing_conf(args.input_bytes, args.cores).items():
+            spark.conf.set(key, value)
     pages = args.command == "load-pagecounts"
     runs = [args.run_time]
     if args.until:

@@ -18,7 +18,12 @@ from hourtally.sources.paths import (
     daily_paths,
     hourly_paths,
 )
-from hourtally.sources.raw import read_mediacounts_raw, read_pagecounts_raw, source_file_name
+from hourtally.sources.raw import (
+    read_mediacounts_raw,
+    read_pagecounts_raw,
+    read_present,
+    source_file_name,
+)
 from hourtally.sources.sinks import by_hour_loaded, with_row_ids, write_replacing
 
 Run = str | datetime | None
@@ -60,9 +65,11 @@ def load_pagecounts(
     """Normalised page counts of the hours the run times cover.
 
     All hours are one job: gzip cannot be split, so parallelism comes from reading many
-    files. The hour is taken from the file name.
+    files. The hour is taken from the file name. An hour without a file is logged and costs
+    only itself.
     """
-    raw = read_pagecounts_raw(spark, hourly_paths(source, run_times, lag_days, layout))
+    paths = hourly_paths(source, run_times, lag_days, layout)
+    raw = read_present(read_pagecounts_raw, spark, source, paths)
     return normalize_pagecounts(raw, layout.epoch(source_file_name()))
 
 
@@ -73,8 +80,9 @@ def load_mediacounts(
     lag_days: int = 2,
     layout: FileLayout = DAILY_STAGED,
 ) -> DataFrame:
-    """Normalised media counts of the days the run times cover."""
-    raw = read_mediacounts_raw(spark, daily_paths(source, run_times, lag_days, layout))
+    """Normalised media counts of the days the run times cover; as ``load_pagecounts``."""
+    paths = daily_paths(source, run_times, lag_days, layout)
+    raw = read_present(read_mediacounts_raw, spark, source, paths)
     return normalize_mediacounts(raw, epoch_to_day(layout.epoch(source_file_name())))
 
 

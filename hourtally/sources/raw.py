@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql.types import StructType
 
 from hourtally.schemas import MEDIACOUNTS_RAW, PAGECOUNTS_RAW, TEXT_LIMITS
 
+_log = logging.getLogger("hourtally")
+
 
 def read_pagecounts_raw(
     spark: SparkSession, paths: str | Sequence[str], folders: str = ""
@@ -40,6 +43,27 @@ def _read_delimited(
     return reader.csv(paths)
 
 
+def read_present(
+    read: Callable[[SparkSession, str], DataFrame],
+    spark: SparkSession,
+    root: str,
+    paths: Sequence[str],
+) -> DataFrame:
+    """``read`` over those of ``paths`` (all below ``root``) that exist; the absent ones are
+    logged by name. It is an error if there is none at all.
+
+    As alternatives of one pattern, names that nothing matches are passed over.
+    """
+    root = root.rstrip("/")
+    names = [p.removeprefix(f"{root}/") for p in paths]
+    raw = read(spark, f"{root}/{{{','.join(names)}}}")
+    found = {path.rsplit("/", 1)[-1] for path in raw.inputFiles()}
+    absent = [p for p in paths if p.rsplit("/", 1)[-1] not in found]
+    if absent:
+        _log.warning("%d of %d files are absent: %s", len(absent), len(paths), ", ".join(absent))
+    return raw
+
+
 def source_file_name() -> Column:
     """Base name of the file a row came from; use it directly on a scan."""
     return F.col("_metadata.file_name")
@@ -52,8 +76,8 @@ def rejected_rows(raw: DataFrame, measure: str = "count") -> DataFrame:
 
 def over_limit_rows(df: DataFrame) -> DataFrame:
     """Rows with a text longer than the serving tables declare; they are kept in full."""
-    limits = [F.length(c) > n for c, n in TEXT_LIMITS.items() if c in df.columns]
-    condition = limits[0]
-    for other in limits[1:]:
-        condition = condition | other
+    condition = F.lit(False)
+    for c, n in TEXT_LIMITS.items():
+        if c in df.columns:
+            condition = condition | (F.length(c) > n)
     return df.where(condition)

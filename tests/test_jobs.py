@@ -3,12 +3,14 @@ import gzip
 import hashlib
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from hourtally import __main__ as cli
 from hourtally import schemas
 from hourtally.operators.ingest import PAGECOUNTS
 from hourtally.plans import jobs, reports, sql
+from hourtally.sources import paths
 from hourtally.sources.sinks import write_partitioned
 from hourtally.sources.tables import read_mediacounts, read_pagecounts, register_external
 from hourtally.streaming.file_ingest import FileIngest
@@ -60,6 +62,31 @@ def test_hours_of_a_backfill_come_from_the_file_names(spark, hourly):
     }
 
 
+def test_an_absent_file_costs_only_its_own_hour(spark, hourly, daily, caplog):
+    runs = [*RUNS, "2022-09-02T06:00:00Z", "2022-09-03T05:00:00Z"]
+    got = jobs.load_pagecounts(spark, runs, hourly.folder + "/").collect()
+    assert sorted(got) == sorted(jobs.load_pagecounts(spark, RUNS, hourly.folder).collect())
+    assert "2 of 4 files are absent" in caplog.text
+    assert "2022090106.gz" in caplog.text and "2022090205.gz" in caplog.text
+    days = ["2022-09-01T00:00:00Z", "2022-09-20T00:00:00Z"]
+    assert jobs.load_mediacounts(spark, days, daily.folder).count() == 2
+    assert "mediacounts.2022-09-18" in caplog.text
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        jobs.load_pagecounts(spark, ["2020-01-02T00:00:00Z"], hourly.folder)
+
+
+def test_absent_files_of_the_published_folders(spark, tmp_path, caplog):
+    for month, stamp in (("2022-08", "20220831-230000"), ("2022-09", "20220901-010000")):
+        folder = tmp_path / "2022" / month
+        folder.mkdir(parents=True)
+        name = folder / f"pageviews-{stamp}.gz"
+        name.write_bytes(gzip.compress(b"en A 3 0"))
+    runs = [f"2022-09-0{d}T{h}:00:00Z" for d, h in ((1, 23), (2, "00"), (2, "01"))]
+    got = jobs.load_pagecounts(spark, runs, str(tmp_path), layout=paths.HOURLY_ARCHIVE).collect()
+    assert sorted(r.interval_start_unixtime for r in got) == [1661986800, 1661994000]
+    assert "1 of 3 files are absent" in caplog.text and "20220901-000000" in caplog.text
+
+
 def test_media_job_yields_both_day_columns(spark, daily):
     runs = ["2022-09-01T00:00:00Z", "2022-09-02T00:00:00Z"]
     df = jobs.load_mediacounts(spark, runs, daily.folder)
