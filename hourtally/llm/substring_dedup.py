@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourtally.llm.tables import dealt, materialised, table
+from hourtally.llm.tables import dealt, joined, materialised, table
 from hourtally.llm.text import (
     U64,
     Words,
@@ -268,7 +268,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     )
     often = anchor.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     by_doc = materialised(
-        anchor.join(dealt(often.select("anchor"), "anchor"), "anchor")
+        joined(anchor, often.select("anchor"), "anchor")
         .groupBy("doc_id")
         .agg(F.collect_set("anchor").alias("anchors")),
         "anchors",
@@ -290,8 +290,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
         .select("window", F.col("first").alias("owner"), "block")
     )
     needs = (
-        windows.drop("block")
-        .join(dealt(owned, "window"), "window")
+        joined(windows.drop("block"), owned, "window")
         .where("owner < doc_id")
         .select("doc_id", "owner", "block")
         .distinct()
