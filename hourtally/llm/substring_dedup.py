@@ -31,6 +31,7 @@ their texts may own a block of the same number.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -95,27 +96,33 @@ def _anchor_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _window_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The first of each of the document's windows that have a recurring anchor."""
-    columns = []
-    for doc_id, text, recurring in zip(
-        batch.column("doc_id").to_pylist(),
-        encoded(batch.column("text")),
-        batch.column("anchors"),
-        strict=True,
-    ):
-        words = split_words([text])
-        at, anchor = anchors(words)
-        wanted = at[np.isin(_short(anchor), recurring.values.to_numpy())]
-        windows, first = np.unique(
-            window_hashes(word_hashes(words), WINDOW)[wanted], return_index=True
-        )
-        # In the order of the text, where neighbours have the same block: that packs well.
-        order = np.argsort(first)
-        block = wanted[first[order]] // BLOCK
-        columns.append((windows[order], block, np.full(len(first), doc_id, np.int64)))
-    windows, block, ids = (np.concatenate(c) for c in zip(*columns, strict=True))
+    """The first of each document's windows that have a recurring anchor."""
+    words = split_words(encoded(batch.column("text")))
+    at, anchor = anchors(words)
+    # An anchor that recurs is listed for every document that has it, so one list will do.
+    recurring = np.unique(batch.column("anchors").flatten().to_numpy(zero_copy_only=False))
+    anchor = _short(anchor)
+    place = np.minimum(np.searchsorted(recurring, anchor), len(recurring) - 1)
+    at = at[recurring[place] == anchor] if len(recurring) else at[:0]
+    hashes = window_hashes(word_hashes(words), WINDOW)[at]
+    bounds = np.searchsorted(at, words.first)
+    # In the order of the text, where neighbours have the same block: that packs well.
+    block = (at - np.repeat(words.first[:-1], np.diff(bounds))) // BLOCK
+    chosen, lengths = [np.empty(0, np.int64)], []
+    for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+        own = np.arange(lo, hi)
+        if len(np.unique(hashes[lo:hi])) < hi - lo:
+            own = lo + np.sort(np.unique(hashes[lo:hi], return_index=True)[1])
+        chosen.append(own)
+        lengths.append(len(own))
+    kept = np.concatenate(chosen)
+    ids = np.repeat(batch.column("doc_id").to_numpy(), lengths)
     return pa.RecordBatch.from_arrays(
-        [pa.array(windows.view(np.int64)), pa.array(ids), pa.array(block.astype(np.int32))],
+        [
+            pa.array(hashes[kept].view(np.int64)),
+            pa.array(ids),
+            pa.array(block[kept].astype(np.int32)),
+        ],
         names=["window", "doc_id", "block"],
     )
 
@@ -157,17 +164,20 @@ def _automaton(blocks: list[list[str]]) -> ahocorasick.Automaton | None:
 
 
 def occurrences(
-    words: list[str], automaton: ahocorasick.Automaton, blocks: list[list[str]]
+    line: str, automaton: ahocorasick.Automaton, blocks: list[list[str]]
 ) -> Iterator[tuple[int, int, int]]:
-    """``(block, lo, hi)`` for each stretch of at least ``WINDOW`` words that is in a block."""
-    line = f" {' '.join(words)} "
-    number_at = {}
-    at = 0
-    for i, word in enumerate(words):
-        number_at[at] = i
-        at += len(word) + 1
+    """``(block, lo, hi)`` for each stretch of at least ``WINDOW`` words that is in a block.
+
+    The words of ``line`` are parted by one space.
+    """
+    words: list[str] = []
+    number_at: dict[int, int] = {}
     done: dict[tuple[int, int], int] = {}
-    for last, (length, places) in automaton.iter(line):
+    for last, (length, places) in automaton.iter(f" {line} "):
+        if not words:
+            words = line.split(" ")
+            starts = accumulate((len(word) + 1 for word in words), initial=0)
+            number_at = dict(zip(starts, range(len(words)), strict=False))
         d = number_at[last - length + 1]
         for number, p in places:
             # A stretch is met once for each of its phrases.
@@ -217,7 +227,7 @@ def _cleaned(batch: pa.RecordBatch) -> pa.RecordBatch:
         if copies[i]:
             gone[:] = len(words) >= WINDOW
         elif automaton is not None and doc_id is not None and len(words) >= WINDOW:
-            for block, lo, hi in occurrences([w.decode() for w in words], automaton, blocks):
+            for block, lo, hi in occurrences(b" ".join(words).decode(), automaton, blocks):
                 if owners[block] < doc_id:
                     gone[lo:hi] = True
         edges = np.flatnonzero(np.diff(gone.view(np.int8), prepend=0, append=0))
