@@ -12,10 +12,11 @@
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hourtally.functions.timegrain import run_times
+from hourtally.functions.timegrain import day_string, relative_epoch, run_times
 from hourtally.operators.filters import DEFAULT_NOW_DELAY
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS
 from hourtally.plans import jobs, reports
@@ -98,7 +99,18 @@ def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
 def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     media = args.name == "daily_media_totals"
     read = read_mediacounts if media else read_pagecounts
-    table = read(spark, args.table, args.first_date, args.last_date)
+    first, last = args.first_date, args.last_date
+    as_of = args.as_of or datetime.now(timezone.utc)
+    hours = None
+    if args.name == "hourly_rows_and_views":
+        hours = args.lo, args.hi
+    elif args.name == "relative_rows_and_views":
+        hours = tuple(relative_epoch(e, as_of, args.now_delay) for e in (args.since, args.until))
+    if hours:
+        # Only the days of these hours are listed.
+        first, end = max(first, day_string(hours[0])), day_string(hours[1])
+        last = min(last or end, end)
+    table = read(spark, args.table, first, last)
     values = {}
     if args.name == "hourly_views_by_article":
         values = {"article": args.article}
@@ -110,7 +122,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         values = {
             "since": args.since,
             "until": args.until,
-            "as_of": args.as_of,
+            "as_of": as_of,
             "now_delay": args.now_delay,
             "project": args.project,
         }

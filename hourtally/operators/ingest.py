@@ -15,7 +15,7 @@ from hourtally.functions.timegrain import HOUR, epoch_to_day
 from hourtally.operators.dedup import keep_greatest
 from hourtally.operators.mapping import project_mapping
 from hourtally.sources.sinks import BATCH, write_replacing
-from hourtally.sources.tables import read_dates
+from hourtally.sources.tables import add_batch, read_dates
 
 # When and in which file a row arrived, where the source tells: of rows with one key the first
 # counts, however the files are cut into batches.
@@ -158,13 +158,21 @@ def rows_to_insert(
     return first_write_wins(rows, existing, table.unique_key, measures).drop(ARRIVED, FILE)
 
 
-def ingest_batch(source: DataFrame, batch_id: int, table: ServingTable, target: str) -> None:
+def ingest_batch(
+    source: DataFrame,
+    batch_id: int,
+    table: ServingTable,
+    target: str,
+    database: str | None = None,
+) -> None:
     """Insert one batch. Repeating a batch with the same rows leaves the same table.
 
     Each batch owns the ``_batch_id`` directory below its days and replaces only that. Ids
-    count up, and a target has one writer.
+    count up, and a target has one writer. The catalog table in ``database``, if one is named,
+    is told of the new directories.
     """
-    rows = rows_to_insert(source.sparkSession, source, batch_id, table, target)
+    spark = source.sparkSession
+    rows = rows_to_insert(spark, source, batch_id, table, target)
     write_replacing(
         rows.withColumn("date", table.day()).withColumn(BATCH, F.lit(batch_id).cast("bigint")),
         target,
@@ -172,3 +180,8 @@ def ingest_batch(source: DataFrame, batch_id: int, table: ServingTable, target:
         sort_by=table.sort_by,
         lookup=table.lookup,
     )
+    if database is not None:
+        # Reads the time column alone; one row for each calendar day.
+        mapped = project_mapping(source, table.columns, table.mapping)
+        days = mapped.select(table.day().alias("day")).distinct().collect()
+        add_batch(spark, database, table.name, [r["day"] for r in days], batch_id)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
@@ -90,16 +89,14 @@ def register_external(
     read_mediacounts(spark, mediacounts, first, last).createOrReplaceTempView(f"{prefix}mediacounts")
 
 
-@contextmanager
-def _partitions_from_storage(spark: SparkSession):
-    """Tables made inside list their directories at query time, so none is ever added by hand."""
-    key = "spark.sql.hive.manageFilesourcePartitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+def _quoted(text: str) -> str:
+    """``text`` as a SQL string literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def qualified(database: str, name: str) -> str:
+    return ".".join("`" + part.replace("`", "``") + "`" for part in (database, name))
 
 
 def declare_table(
@@ -107,19 +104,43 @@ def declare_table(
 ) -> None:
     """Declare the serving table stored at ``path``, if the name is not taken.
 
-    Its directories are found by listing; within a session ``refreshTable`` shows new ones.
+    Its directories are kept in the catalog, so a query lists only those of the days it asks
+    for. What is stored already is looked up here once; ``add_batch`` tells of later batches.
     """
+    if spark.catalog.tableExists(qualified(database, name)):
+        return
     declared = [f"{f.name} {f.dataType.simpleString()}" for f in columns if f.name != "date"]
-    with _partitions_from_storage(spark):
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS `{database}`.{name} "
-            f"({', '.join(declared)}, date string, {BATCH} bigint) USING parquet "
-            f"PARTITIONED BY (date, {BATCH}) LOCATION '{path}'"
-        )
+    # No rows: makes the folder where it is absent, and leaves what is stored as it is.
+    empty = spark.createDataFrame([], f"{', '.join(declared)}, date string, {BATCH} bigint")
+    empty.write.partitionBy("date", BATCH).mode("append").parquet(path)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {qualified(database, name)} "
+        f"({', '.join(declared)}, date string, {BATCH} bigint) USING parquet "
+        f"PARTITIONED BY (date, {BATCH}) LOCATION {_quoted(path)}"
+    )
+    find_partitions(spark, database, name)
+
+
+def find_partitions(spark: SparkSession, database: str, name: str) -> None:
+    """Tell the catalog of directories that came without ``add_batch``. Lists the whole table."""
+    spark.sql(f"ALTER TABLE {qualified(database, name)} RECOVER PARTITIONS")
+
+
+def add_batch(
+    spark: SparkSession, database: str, name: str, days: Iterable[str | None], batch_id: int
+) -> None:
+    """Tell the catalog of a batch's directories. Repeating it changes nothing."""
+    parts = " ".join(
+        f"PARTITION (date = {'NULL' if day is None else _quoted(day)}, {BATCH} = {batch_id})"
+        for day in days
+    )
+    if parts:
+        spark.sql(f"ALTER TABLE {qualified(database, name)} ADD IF NOT EXISTS {parts}")
 
 
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """Create the database and both serving tables below ``location`` where absent."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}` LOCATION '{location}'")
+    name = database.replace("`", "``")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION {_quoted(location)}")
     declare_table(spark, database, "pagecounts", PAGECOUNTS_SERVING, f"{location}/pagecounts")
     declare_table(spark, database, "mediacounts", MEDIACOUNTS_SERVING, f"{location}/mediacounts")

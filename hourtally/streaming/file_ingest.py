@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from hourtally.operators.ingest import ARRIVED, FILE, ServingTable, ingest_batch
 from hourtally.schemas import schema_of
 from hourtally.sources.sinks import BATCH
-from hourtally.sources.tables import declare_table, read_dates
+from hourtally.sources.tables import declare_table, qualified, read_dates
 
 # Batch ids that each definition of a pipeline has to itself.
 IDS = 1 << 40
@@ -28,7 +28,7 @@ class FileIngest:
     source therefore reads all files again: an old checkpoint is never read with a new mapping.
     The target stays: what it serves is kept, keys it holds are skipped, and the batch ids of a
     new definition continue above those stored. ``generation`` starts over with an unchanged
-    definition.
+    definition. A table declared in ``database`` shows each batch once it is loaded.
     """
 
     table: ServingTable
@@ -37,6 +37,7 @@ class FileIngest:
     generation: int = 0
     max_files: int = 10_000
     source_schema: StructType | None = None
+    database: str | None = None
 
     @property
     def definition(self) -> str:
@@ -64,9 +65,10 @@ class FileIngest:
     def checkpoint(self) -> str:
         return f"{self.folder}/checkpoint"
 
-    def declare(self, spark: SparkSession, database: str) -> None:
-        """Point the catalog table at this target."""
-        spark.sql(f"DROP TABLE IF EXISTS `{database}`.{self.table.name}")
+    def declare(self, spark: SparkSession, database: str | None = None) -> None:
+        """Point the catalog table at this target, with all that it holds."""
+        database = database or self.database
+        spark.sql(f"DROP TABLE IF EXISTS {qualified(database, self.table.name)}")
         declare_table(spark, database, self.table.name, self.table.columns, self.target)
 
     def start(self, spark: SparkSession, every: str | None = None) -> StreamingQuery:
@@ -93,7 +95,7 @@ class FileIngest:
         first_id = self._first_batch_id(spark)
 
         def load(batch, batch_id):
-            ingest_batch(batch, first_id + batch_id, self.table, self.target)
+            ingest_batch(batch, first_id + batch_id, self.table, self.target, self.database)
 
         writer = files.writeStream.foreachBatch(load).option("checkpointLocation", self.checkpoint)
         if every:

@@ -8,7 +8,7 @@ from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts
 from hourtally.operators.filters import relative_window
 from hourtally.plans import jobs, reports, sql
 from hourtally.session import scratch_path, sizing_conf
-from hourtally.sources.tables import create_tables, read_mediacounts, read_pagecounts
+from hourtally.sources.tables import create_tables, find_partitions, read_mediacounts, read_pagecounts
 
 FOLDER = "/root/testdata/sf0.001"
 FIRST, LAST = "1990-01-01", "2030-01-01"
@@ -114,9 +114,9 @@ def test_sql_texts_equal_the_frames(spark):
     counts = standins.pagecounts(some_events(spark))
     from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch
 
-    ingest_batch(counts, 0, PAGECOUNTS, f"{location}/pagecounts")
+    ingest_batch(counts, 0, PAGECOUNTS, f"{location}/pagecounts", "texts")
     media = standins.mediacounts(some_lines(spark))
-    ingest_batch(media, 0, MEDIACOUNTS, f"{location}/mediacounts")
+    ingest_batch(media, 0, MEDIACOUNTS, f"{location}/mediacounts", "texts")
     pages_read = read_pagecounts(spark, f"{location}/pagecounts", FIRST, LAST)
     media_read = read_mediacounts(spark, f"{location}/mediacounts", FIRST, LAST)
     cases = [
@@ -133,19 +133,37 @@ def test_sql_texts_equal_the_frames(spark):
         got = sql.run_report(spark, name, f"texts.{table}", FIRST, LAST, **values)
         assert got.columns == expected.columns
         assert sorted(got.collect()) == sorted(expected.collect()) != []
-    # Days written after the table was declared are seen without any repair.
+    # Days written after the table was first read are seen without any repair.
     later = counts.withColumn("interval_start_unixtime", F.col("interval_start_unixtime") + 86400 * 365)
-    ingest_batch(later, 1, PAGECOUNTS, f"{location}/pagecounts")
-    spark.catalog.refreshTable("texts.pagecounts")
+    ingest_batch(later, 1, PAGECOUNTS, f"{location}/pagecounts", "texts")
     assert spark.table("texts.pagecounts").count() == 2 * counts.count()
 
 
+def test_sql_lists_only_the_days_that_are_asked_for(spark):
+    location = scratch_path(spark, "listed's")
+    create_tables(spark, "listed", location)
+    from hourtally.operators.ingest import PAGECOUNTS, ingest_batch
+
+    counts = standins.pagecounts(some_events(spark))
+    ingest_batch(counts, 0, PAGECOUNTS, f"{location}/pagecounts", "listed")
+    df = sql.run_report(
+        spark, "hourly_total_views", "listed.pagecounts", "2024-01-05", "2024-01-05"
+    )
+    assert df.count() > 0
+    assert {f.split("/date=")[1][:10] for f in df.inputFiles()} == {"2024-01-05"}
+    # A table declared over what is stored finds it all.
+    spark.sql("DROP TABLE listed.pagecounts")
+    create_tables(spark, "listed", location)
+    assert spark.table("listed.pagecounts").count() == counts.count()
+
+
 def test_sql_prunes_days_of_an_epoch_range(spark, plan):
     location = scratch_path(spark, "pruned")
     create_tables(spark, "pruned", location)
     jobs.store_pagecounts(
         standins.pagecounts(some_events(spark)), f"{location}/pagecounts"
     )
+    find_partitions(spark, "pruned", "pagecounts")
     df = sql.run_report(
         spark, "hourly_rows_and_views", "pruned.pagecounts", lo=LO, hi=HI, project="view"
     )
