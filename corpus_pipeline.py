@@ -16,6 +16,9 @@ from hourtally.llm.quality_classifier import drop_low_quality
 from hourtally.llm.substring_dedup import drop_repeated_passages
 from hourtally.llm.tables import materialised, table
 
+# Percentage of equal shingles of five words from which the stage takes documents for near copies.
+NEAR_COPIES = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
@@ -23,8 +26,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id."""
-    return drop_near_duplicates(docs)
+    """One document of each group of near duplicates: the one with the smallest id.
+    They are linked from a similarity of 0.80, op1 from 0.85."""
+    return drop_near_duplicates(docs, NEAR_COPIES)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

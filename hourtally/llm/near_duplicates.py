@@ -2,7 +2,7 @@
 
 A document is the set of its distinct word shingles. One permutation scatters the shingles, a
 second one, shifted by 0, 1, 2, ... places on the circle of 2^32, orders them; the least element
-under shift k is signature coordinate k. ``BANDS`` groups of ``ROWS`` coordinates are hashed to
+under shift k is signature coordinate k. Groups of ``ROWS`` coordinates, the bands, are hashed to
 bucket keys, and documents that share a bucket are compared on their full sets.
 
 Equal sets are one representative from the start, so groups of copies cost one row. Within a
@@ -11,7 +11,9 @@ others with it, and documents found connected need no more comparisons. What the
 apart, buckets that hold several components, is joined on the rarest shingles of its members,
 which finds all of their links, so the components are the ones that all bucket pairs would give.
 
-At a similarity of 0.85 a pair shares none of the 30 buckets with probability 7e-7.
+The similarity from which documents are linked is a parameter, and the number of bands follows from
+it: a pair right at the limit shares no bucket with a probability of at most ``MISSED``. That takes
+30 bands (``BANDS``) for op1's 0.85 and 47 for the 0.80 of the pipeline's stage.
 
 Defined results: a document with a null or empty text, or without words, has an empty set and is
 linked with nothing. Ids name documents: rows that repeat an id and text are each returned, with
@@ -23,6 +25,8 @@ null) and is kept.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,8 +44,9 @@ from hourtally.llm.text import (
 
 SHINGLE = 5
 ROWS, BANDS = 6, 30
-# Similarity as a percentage: linked if 100 * common >= SIMILARITY * union.
+# op1's similarity as a percentage: linked if 100 * common >= SIMILARITY * union.
 SIMILARITY = 85
+MISSED = 7e-7
 # Rounds of comparisons with one leader by bucket, before the pairs that are left.
 LEADER_ROUNDS = 2
 SKETCH_BITS = 1024
@@ -85,6 +90,11 @@ def signatures(sets: list[np.ndarray], n: int = ROWS * BANDS) -> np.ndarray:
     return out
 
 
+def bands_for(similarity: int) -> int:
+    """The bands after which a pair of ``similarity`` percent is missed with at most ``MISSED``."""
+    return math.ceil(math.log(MISSED) / math.log1p(-((similarity / 100) ** ROWS)))
+
+
 def band_keys(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
     """A 64-bit key for each document and band; bands have keys of their own."""
     n, width = coordinates.shape
@@ -95,24 +105,27 @@ def band_keys(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
     return keys
 
 
-def _signature_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    sets = shingle_sets(encoded(batch.column("text")))
-    full = [i for i, s in enumerate(sets) if len(s)]
-    bands: list = [None] * len(sets)
-    if full:
-        keys = band_keys(signatures([sets[i] for i in full])).view(np.int64)
-        for i, row in zip(full, keys, strict=True):
-            bands[i] = row
-    return pa.RecordBatch.from_arrays(
-        [
-            batch.column("doc_id").cast(pa.int64()),
-            pa.array([len(s) for s in sets], pa.int64()),
-            pa.array(np.array([s.sum() for s in sets], np.uint64).view(np.int64)),
-            pa.array(np.array([mix(s).sum() for s in sets], np.uint64).view(np.int64)),
-            pa.array(bands, pa.list_(pa.int64())),
-        ],
-        names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
-    )
+def _signature_rows(n_bands: int):
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(encoded(batch.column("text")))
+        full = [i for i, s in enumerate(sets) if len(s)]
+        bands: list = [None] * len(sets)
+        if full:
+            keys = band_keys(signatures([sets[i] for i in full], ROWS * n_bands)).view(np.int64)
+            for i, row in zip(full, keys, strict=True):
+                bands[i] = row
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").cast(pa.int64()),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array(np.array([s.sum() for s in sets], np.uint64).view(np.int64)),
+                pa.array(np.array([mix(s).sum() for s in sets], np.uint64).view(np.int64)),
+                pa.array(bands, pa.list_(pa.int64())),
+            ],
+            names=["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+        )
+
+    return rows
 
 
 def parity_sketch(shingles: np.ndarray) -> np.ndarray:
@@ -134,16 +147,17 @@ def _set_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
     )
 
 
-def _similar(common: Column, n_a: Column, n_b: Column) -> Column:
-    return 100 * common >= SIMILARITY * (n_a + n_b - common)
+def _similar(common: Column, n_a: Column, n_b: Column, similarity: int) -> Column:
+    return 100 * common >= similarity * (n_a + n_b - common)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """The ``(a, b)`` of ``pairs`` whose full sets are similar enough."""
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
     both = both.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
-    return both.where(_similar(common, F.size("set_a"), F.size("set_b"))).select("a", "b").distinct()
+    similar = _similar(common, F.size("set_a"), F.size("set_b"), similarity)
+    return both.where(similar).select("a", "b").distinct()
 
 
 def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
@@ -160,17 +174,17 @@ def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(dealt(open_keys, "key"), "key")
 
 
-def _pairs(both: DataFrame) -> DataFrame:
+def _pairs(both: DataFrame, similarity: int) -> DataFrame:
     """The ids of two members side by side whose components differ and whose sizes allow a link."""
     return (
         both.where("label <> other_label")
-        .where(100 * F.least("n", "other_n") >= SIMILARITY * F.greatest("n", "other_n"))
+        .where(100 * F.least("n", "other_n") >= similarity * F.greatest("n", "other_n"))
         .select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
         .distinct()
     )
 
 
-def _leader_pairs(left: DataFrame, turn: int) -> DataFrame:
+def _leader_pairs(left: DataFrame, turn: int, similarity: int) -> DataFrame:
     """Each member with the leader of its bucket: the one with the least hash of id and round."""
     rank = F.struct(F.xxhash64("rep", F.lit(turn)).alias("h"), "rep", "n", "label")
     leaders = left.groupBy("key").agg(F.min(rank).alias("leader"))
@@ -180,10 +194,10 @@ def _leader_pairs(left: DataFrame, turn: int) -> DataFrame:
         F.col("leader.n").alias("other_n"),
         F.col("leader.label").alias("other_label"),
     )
-    return _pairs(both)
+    return _pairs(both, similarity)
 
 
-def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
+def _prefix_pairs(left: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     """All pairs of the members that can still be linked, by their rarest shingles.
 
     Sort every set by how many members hold a shingle, rarest first. Similar sets of n and m
@@ -205,7 +219,7 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("common"))
     )
     # The other set has s * n elements at least, so no more than these places can matter.
-    places = F.size("common") - F.floor((F.col("n") * SIMILARITY + 99) / 100).cast("int") + 1
+    places = F.size("common") - F.floor((F.col("n") * similarity + 99) / 100).cast("int") + 1
     first = (
         ranked.where(places > 0)
         .select(
@@ -221,7 +235,7 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
     other = first.select("shingle", *(F.col(c).alias(f"other_{c}") for c in first.columns[:4]),
                          F.col("rest").alias("other_rest")).withColumnRenamed("other_rep", "other")
     total = F.col("n") + F.col("other_n")
-    needed = F.ceil(total * SIMILARITY / (100 + SIMILARITY) - 1e-9)
+    needed = F.ceil(total * similarity / (100 + similarity) - 1e-9)
     apart = sum(
         F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i]))
         for i in range(SKETCH_BITS // 64)
@@ -231,14 +245,16 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame) -> DataFrame:
         & (F.least("rest", "other_rest") >= needed)
         & (apart <= total - 2 * needed)
     )
-    return _pairs(both)
+    return _pairs(both, similarity)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """One row for each row of ``docs(doc_id, text)``: ``doc_id, n_shingles, component_id,
-    kept``. A component is all documents linked by any path, named by its smallest id."""
+    kept``. A component is all documents linked by any path, named by its smallest id; documents
+    are linked from a similarity of ``similarity`` percent."""
     docs = docs.select("doc_id", "text")
-    found = materialised(docs.mapInArrow(per_piece(_signature_rows), _SIGNATURE_TYPE), "signatures")
+    signature_rows = per_piece(_signature_rows(bands_for(similarity)))
+    found = materialised(docs.mapInArrow(signature_rows, _SIGNATURE_TYPE), "signatures")
 
     # Equal sets first: the smallest id stands for all of them.
     same = ["set_a", "set_b", "n_shingles"]
@@ -266,12 +282,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             left = materialised(_labelled(shared, labels), "open")
             if left.isEmpty():
                 break
-        pairs = _leader_pairs(left, turn) if turn < LEADER_ROUNDS else _prefix_pairs(left, sets)
+        if turn < LEADER_ROUNDS:
+            pairs = _leader_pairs(left, turn, similarity)
+        else:
+            pairs = _prefix_pairs(left, sets, similarity)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialised(pairs, "pairs")
         tried = pairs if tried is None else tried.union(pairs)
-        new = materialised(_linked(pairs, sets), "links")
+        new = materialised(_linked(pairs, sets, similarity), "links")
         links = new if links is None else links.union(new)
         labels = materialised(components(links), "labels")
 
@@ -305,9 +324,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """``docs`` without the documents whose component has a smaller id, all columns kept."""
-    dropped = near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    dropped = near_duplicates(docs, similarity).where("not kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti")
 
 

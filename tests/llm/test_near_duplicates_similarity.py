@@ -1,0 +1,82 @@
+import random
+
+import pytest
+
+import corpus_pipeline
+from hourtally.llm import near_duplicates as nd
+
+BASE = [f"b{i}" for i in range(204)]
+
+
+def shingles(text):
+    words = text.split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def similarity(a, b):
+    a, b = shingles(a), shingles(b)
+    return len(a & b) / len(a | b)
+
+
+def with_tail(text, n, name):
+    """``text`` with its last ``n`` words replaced."""
+    words = text.split()
+    return " ".join(words[:-n] + [f"{name}x{i}" for i in range(n)])
+
+
+def components(rows, limit):
+    """The least id that each id is connected with, all pairs compared."""
+    sets = {i: shingles(t) for i, t in rows}
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    ids = sorted(sets)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            if 100 * len(sets[i] & sets[j]) >= limit * len(sets[i] | sets[j]):
+                lo, hi = sorted((root(i), root(j)))
+                label[hi] = lo
+    return {i: root(i) for i in ids}
+
+
+def corpus_rows():
+    rng = random.Random(5)
+    rows = []
+    for i in range(40):  # pairs on either side of 0.80, 0.85 and between
+        text = " ".join(f"p{i}w{w}" for w in BASE)
+        rows += [(2 * i, text), (2 * i + 1, with_tail(text, 12 + i % 16, f"t{i}"))]
+    for i in range(60):  # a crowd of which some are linked at 0.80 only
+        words = list(BASE)
+        for _ in range(2 + i % 4):
+            words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+        rows.append((1000 + i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("limit", [80, 85])
+def test_components_at_each_similarity_like_brute_force(corpus, limit):
+    rows = corpus_rows()
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(corpus(rows), limit).collect()}
+    assert got == components(rows, limit)
+
+
+def test_the_stage_links_from_080_and_op1_from_085(spark, corpus):
+    text = " ".join(BASE)
+    pairs = [(text, with_tail(text, n, "t")) for n in (22, 23)]  # 0.802 and 0.794
+    assert similarity(*pairs[0]) >= 0.8 > similarity(*pairs[1])
+    rows = [(1, pairs[0][0]), (2, pairs[0][1])]
+    rows += [(i, t.replace("b", "c")) for i, t in zip((3, 4), pairs[1], strict=True)]
+    docs = corpus(rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 4]
+    assert all(r.kept for r in nd.near_duplicates(docs).collect())
+
+
+def test_bands_miss_as_few_pairs_at_every_similarity():
+    assert nd.bands_for(nd.SIMILARITY) == nd.BANDS
+    for percent in (80, 85, 90):
+        assert (1 - (percent / 100) ** nd.ROWS) ** nd.bands_for(percent) <= nd.MISSED
