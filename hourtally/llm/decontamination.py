@@ -5,14 +5,17 @@ words and ignores the others, so passages with replaced words still share the se
 places cover the replacements. All seeds of the benchmark are looked up at every word of every
 document; around a hit the document and the item are compared word by word at that offset, and each
 stretch in which every ``OVERLAP`` words have at least ``EQUAL_PERCENT`` equal ones is an overlap.
-Words that several items share only cost more comparisons.
+Words that several items share only cost more comparisons. ``MASKS`` meet every ``SPAN`` words of
+which two differ, so no overlap of ``OVERLAP`` words, or with a whole item of at least ``SPAN``, is
+missed. Shorter items are met by ``SHORT_MASKS``, which look at the whole item and cover as many
+replaced words as ``EQUAL_PERCENT`` allows (one of 8 or 9, two of 10).
 
 The benchmark is the stated query set: it is taken in blocks of at most ``BLOCK_WORDS`` words (one
 longer item is a block of its own), and each block is one pass over the documents.
 
-Defined results: null and empty texts overlap with nothing. Items of fewer than ``SPAN`` words are
-sought as a whole without replacements; items of fewer than ``LEAST_WORDS`` words are no evidence
-and are not sought. Repeated items are each reported. Rows without id are judged like others.
+Defined results: null and empty texts overlap with nothing. Items of fewer than ``OVERLAP`` words
+are sought as a whole; items of fewer than ``LEAST_WORDS`` words are no evidence and are not sought,
+not even exactly. Repeated items are each reported. Rows without id are judged like others.
 """
 
 from __future__ import annotations
@@ -33,13 +36,24 @@ from hourtally.llm.text import (
     mix,
     per_piece,
     split_words,
-    window_hashes,
     word_hashes,
 )
 
 # Masks over SPAN words; a 0 is a word that may differ.
-MASKS = ("11010010101", "10110001011", "11001010011", "11100100101")
+MASKS = (
+    "11010010101", "10110001011", "11001010011", "11100100101",
+    "00001111110", "01110111000", "01111000110", "10011100101",
+)
 SPAN = 11
+# Masks over whole items of fewer than SPAN words, by their number.
+SHORT_MASKS = {
+    8: ("00111111", "11001111", "11110011", "11111100"),
+    9: ("000111111", "111000111", "111111000"),
+    10: (
+        "0000111111", "0111000111", "0111111000", "1001011011", "1001101101",
+        "1001110110", "1110001110", "1110110001", "1111001001",
+    ),
+}
 OVERLAP, EQUAL_PERCENT = 13, 80
 LEAST_WORDS = 8
 BLOCK_WORDS = 500_000
@@ -48,11 +62,11 @@ _FILTER_BITS = 22
 
 
 def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
-    """The seed at each word that has ``SPAN - 1`` others behind it."""
-    n = len(hashes) - SPAN + 1
+    """The seed at each word that has as many others behind it as the mask needs."""
+    n = len(hashes) - len(mask) + 1
     if n <= 0:
         return np.empty(0, U64)
-    out = np.full(n, int(mask, 2), U64)
+    out = np.full(n, int("1" + mask, 2), U64)
     for i, used in enumerate(mask):
         if used == "1":
             out *= U64(0x9E3779B97F4A7C15)
@@ -65,20 +79,17 @@ class SeedIndex:
 
     def __init__(self, items: list[tuple[int | None, str]]):
         self.ids = [item_id for item_id, _ in items]
-        self.items, keys, places, shorts = [], [], [], {}
+        self.items, keys, places, shorts = [], [], [], set()
         for number, (_, text) in enumerate(items):
             hashes = word_hashes(split_words([text.lower().encode()], PUNCTUATION))
             self.items.append(hashes)
-            if LEAST_WORDS <= len(hashes) < SPAN:
-                shorts.setdefault(len(hashes), []).append((number, window_hashes(hashes, len(hashes))))
-            for mask in MASKS:
+            if len(hashes) in SHORT_MASKS:
+                shorts.add(len(hashes))
+            for mask in SHORT_MASKS.get(len(hashes), MASKS):
                 own = seeds(hashes, mask)
                 keys.append(own)
                 places.append(np.column_stack([np.full(len(own), number), np.arange(len(own))]))
-        for size, found in shorts.items():
-            keys.append(np.concatenate([mix(h + U64(size)) for _, h in found]))
-            places.append(np.array([(number, 0) for number, _ in found]))
-        self.short_sizes = sorted(shorts)
+        self.masks = (*MASKS, *(mask for size in sorted(shorts) for mask in SHORT_MASKS[size]))
         every = np.concatenate(keys) if keys else np.empty(0, U64)
         order = np.argsort(every, kind="stable")
         self.keys = every[order]
@@ -88,9 +99,8 @@ class SeedIndex:
 
     def _hits(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """``(word, item, word of the item)`` wherever a seed is met."""
-        tries = [seeds(hashes, mask) for mask in MASKS]
-        tries += [mix(window_hashes(hashes, size) + U64(size)) for size in self.short_sizes]
-        for found in tries:
+        for mask in self.masks:
+            found = seeds(hashes, mask)
             at = np.flatnonzero(self.likely[found >> U64(64 - _FILTER_BITS)])
             lo = np.searchsorted(self.keys, found[at], "left")
             hi = np.searchsorted(self.keys, found[at], "right")
@@ -115,7 +125,7 @@ class SeedIndex:
             if hi - lo < size:
                 continue
             total = np.concatenate([[0], np.cumsum(equal)])
-            needed = size if len(item) < SPAN else -(-size * EQUAL_PERCENT // 100)
+            needed = -(-size * EQUAL_PERCENT // 100)
             good = np.flatnonzero(total[size:] - total[:-size] >= needed)
             for run in np.split(good, np.flatnonzero(np.diff(good) > 1) + 1) if len(good) else ():
                 a, b = int(run[0]), int(run[-1]) + size
