@@ -1,10 +1,16 @@
 """Licence recognition: known sentences, then ordered rules over their sequence.
 
-A text is cut into sentences at line ends and after ``.``, ``!`` or ``?``; a line that begins with a
-small letter or ``(`` continues the one before. A sentence is normalised to lower-case letters a-z
-and digits with single spaces. Sentences that ``SENTENCES`` knows become identifiers, all others
-drop out, and the identifiers of a text, in order, are matched against ``RULES`` from left to right:
-at each place the first rule that fits wins and takes its sentences.
+A text is cut into paragraphs at lines without letters and digits, and after ``.``, ``!`` or ``?``,
+but not after the ``v.`` of a version number. A line that begins with a small letter or ``(``
+continues the one before. Any other line end, also one before a comment mark, may end a sentence or
+lie within one, so a known sentence is found however its lines are wrapped. Words are lower-case
+letters a-z and digits, so comment marks made of other characters vanish. Sentences that
+``SENTENCES`` knows become identifiers, the longer one where two begin alike, all others drop out,
+and the identifiers of a text, in order, are matched against ``RULES`` from left to right: at each
+place the first rule that fits wins and takes its sentences.
+
+``OP8_SQL`` knows no sentences over wrapped lines that begin with other than a small letter or
+``(``, and none with ``v.``: it finds what the query finds, except these.
 
 All of it is column functions on whole texts, in one pass without a shuffle. Every known sentence
 contains one of ``MARKERS``, so texts without any of them are passed over.
@@ -75,14 +81,21 @@ RULES = (
 )
 MARKERS = ("licen", "permission", "copyright", "redistribut", "warrant", "public domain")
 
+# Of OP8_SQL.
 _WRAP = r"\n[ \t]*([a-z(])"
 _END = r"([.!?])[ \t\n\f\r]+"
 
+# Of the query: two line ends separate paragraphs, a single one is a place where a sentence may end.
+_BLANK = r"\n[ \t\n\f\r]*\n"
+_CONTINUED = r"(?<!\n)\n[ \t]*([a-z(])"
+_STOP = r"([.!?])(?!(?<=\b[vV]\.)[^A-Za-z0-9]{1,99}[0-9])[ \t\n\f\r]+"
+
 
 def _key(ids: tuple[str, ...]) -> str:
     return "".join(f"<{i}>" for i in ids)
 
 
+_KNOWN = "|".join(s.replace(" ", "[ \n]") for s in sorted(SENTENCES, key=len, reverse=True))
 _PATTERN = "|".join(_key(ids).replace(".", r"\.") for ids, _ in RULES)
 
 
@@ -94,18 +107,19 @@ def licence_scan(docs: DataFrame) -> DataFrame:
     """``doc_id, sentences, licences`` for each row of ``docs(doc_id, text)`` with a known sentence:
     the identifiers in order, and the licences of the rules that fit, in order."""
     known, licence = _literal_map(SENTENCES), _literal_map({_key(i): name for i, name in RULES})
-    joined = F.regexp_replace("text", _WRAP, " $1")
-    lines = F.split(F.regexp_replace(joined, _END, "$1\n"), "\n")
+    joined = F.regexp_replace(F.regexp_replace("text", _BLANK, "\n\n"), _CONTINUED, " $1")
+    lines = F.lower(F.regexp_replace(joined, _STOP, "$1\n\n"))
+    plain = F.trim(F.regexp_replace(F.regexp_replace(lines, "[^a-z0-9\n]+", " "), " ?\n ?", "\n"))
+    met = F.regexp_extract_all(plain, F.lit(f"(?<![a-z0-9 ])({_KNOWN})(?![a-z0-9 ])"))
 
-    def identifier(line: Column) -> Column:
-        plain = F.trim(F.regexp_replace(F.lower(line), "[^a-z0-9]+", " "))
-        return F.try_element_at(known, plain)
+    def identifier(sentence: Column) -> Column:
+        return F.element_at(known, F.translate(sentence, "\n", " "))
 
     found = (
         docs.where(F.lower("text").rlike("|".join(MARKERS)))
         .select(
             F.col("doc_id").cast("long").alias("doc_id"),
-            F.filter(F.transform(lines, identifier), lambda i: i.isNotNull()).alias("sentences"),
+            F.transform(met, identifier).alias("sentences"),
         )
         .where(F.size("sentences") > 0)
     )
