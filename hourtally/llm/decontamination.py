@@ -11,7 +11,9 @@ missed. Shorter items are met by ``SHORT_MASKS``, which look at the whole item a
 replaced words as ``EQUAL_PERCENT`` allows (one of 8 or 9, two of 10).
 
 The benchmark is the stated query set: it is taken in blocks of at most ``BLOCK_WORDS`` words (one
-longer item is a block of its own), and each block is one pass over the documents.
+longer item is a block of its own), and each block is one pass over the documents. A pass is written
+before the next block's index is built, so neither the driver nor an executor holds the whole
+benchmark: an executor has the index of one block, the driver that of two at most.
 
 Defined results: null and empty texts overlap with nothing. Items of fewer than ``OVERLAP`` words
 are sought as a whole; items of fewer than ``LEAST_WORDS`` words are no evidence and are not sought,
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm.tables import table
+from hourtally.llm.tables import materialised, table
 from hourtally.llm.text import (
     PUNCTUATION,
     U64,
@@ -148,10 +150,19 @@ def _blocks(rows: Iterable) -> Iterator[list[tuple[int | None, str]]]:
         yield block
 
 
+def _indexes_in_turn(benchmark: DataFrame) -> Iterator[tuple[SeedIndex, bool]]:
+    """The index of each block of ``benchmark``, and whether it is the last."""
+    rows = benchmark.where("text is not null").select("item_id", "text")
+    blocks = _blocks(rows.toLocalIterator())
+    block = next(blocks, None)
+    while block is not None:
+        index, block = SeedIndex(block), next(blocks, None)
+        yield index, block is None
+
+
 def seed_indexes(benchmark: DataFrame) -> Iterator[SeedIndex]:
     """One index for each block of ``benchmark(item_id, text)``."""
-    rows = benchmark.where("text is not null").select("item_id", "text")
-    return map(SeedIndex, _blocks(rows.toLocalIterator()))
+    return (index for index, _ in _indexes_in_turn(benchmark))
 
 
 _OVERLAP_TYPE = (
@@ -179,9 +190,10 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return rows
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    passes = [
-        docs.mapInArrow(per_piece(find(index)), _OVERLAP_TYPE) for index in seed_indexes(benchmark)
-    ]
+    passes = []
+    for index, last in _indexes_in_turn(benchmark):
+        found = docs.mapInArrow(per_piece(find(index)), _OVERLAP_TYPE)
+        passes.append(found if last else materialised(found, "overlaps"))
     if not passes:
         return docs.sparkSession.createDataFrame([], _OVERLAP_TYPE)
     return reduce(DataFrame.union, passes)
@@ -200,8 +212,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         return rows
 
-    for index in seed_indexes(benchmark):
-        docs = docs.mapInArrow(per_piece(clean(index)), docs.schema)
+    for index, last in _indexes_in_turn(benchmark):
+        left = docs.mapInArrow(per_piece(clean(index)), docs.schema)
+        docs = left if last else materialised(left, "clean")
     return docs
 
 
