@@ -63,5 +63,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The stages compare hashed sets, run automata and fit a model, which SQL cannot express; the tests
-# hold them against brute force.
+# hold the operators against brute force or held-out rows, and the stages against the operators.
 ORACLE_SQL = None
