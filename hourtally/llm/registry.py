@@ -10,6 +10,7 @@ from hourtally.llm import (
     near_duplicates,
     quality_classifier,
     quality_rules,
+    secret_ledger,
     substring_dedup,
     toxicity,
     url_filter,
@@ -28,7 +29,12 @@ QUERIES = {
         licenses.op8_license_scan,
         substring_dedup.op9_substring_dedup,
         toxicity.op10_toxicity,
+        secret_ledger.op13_secret_scan,
     )
 }
 
-ORACLE_SQL = {"op3_url_filter": url_filter.OP3_SQL, "op8_license_scan": licenses.OP8_SQL}
+ORACLE_SQL = {
+    "op3_url_filter": url_filter.OP3_SQL,
+    "op8_license_scan": licenses.OP8_SQL,
+    "op13_secret_scan": secret_ledger.OP13_SQL,
+}
