@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hourtally.llm import (
     decontamination,
+    embedding_whitening,
     language_id,
     licenses,
     mixing,
@@ -29,6 +30,7 @@ QUERIES = {
         licenses.op8_license_scan,
         substring_dedup.op9_substring_dedup,
         toxicity.op10_toxicity,
+        embedding_whitening.op11_embedding_whitening,
         secret_ledger.op13_secret_scan,
     )
 }
