@@ -12,6 +12,7 @@ from hourtally.llm import (
     quality_classifier,
     quality_rules,
     secret_ledger,
+    source_divergence,
     substring_dedup,
     toxicity,
     url_filter,
@@ -31,6 +32,7 @@ QUERIES = {
         substring_dedup.op9_substring_dedup,
         toxicity.op10_toxicity,
         embedding_whitening.op11_embedding_whitening,
+        source_divergence.op12_source_divergence,
         secret_ledger.op13_secret_scan,
     )
 }
@@ -38,5 +40,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_url_filter": url_filter.OP3_SQL,
     "op8_license_scan": licenses.OP8_SQL,
+    "op12_source_divergence": source_divergence.OP12_SQL,
     "op13_secret_scan": secret_ledger.OP13_SQL,
 }

@@ -1,0 +1,103 @@
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from hourtally.llm import source_divergence as sd
+
+COLUMNS = ("lang", "source", "part", "item", "value", "rank")
+
+
+def brute(rows, least=sd.LEAST_DOCS):
+    """``rows`` are (text, lang, source)."""
+    counts, docs, groups = {}, {}, {}
+    for text, lang, source in rows:
+        text, lang, source = text or "", lang or "", source or ""
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low)
+        groups.setdefault(lang, set()).add(source)
+        counts.setdefault((lang, source), Counter()).update(found)
+        docs.setdefault(lang, Counter()).update(set(found))
+    out = []
+    for lang, sources in groups.items():
+        kept = [t for t, n in docs[lang].items() if n >= least]
+
+        def shares(tally):
+            whole = sum(tally[t] for t in kept) + 5 * len(kept)
+            return {t: 1 + 10**9 * (tally[t] + 5) // whole for t in kept}
+
+        p = {s: shares(counts[lang, s]) for s in sources}
+        q = shares(sum((counts[lang, s] for s in sources), Counter()))
+        for s in sources:
+            pairs = [(-sum(abs(p[s][t] - p[o][t]) for t in kept), o.encode(), o) for o in sources if o != s]
+            terms = [(q[t] - p[s][t], t.encode(), t) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            out += [(lang, s, "pair", o, -v, i) for i, (v, _, o) in enumerate(sorted(pairs), 1)]
+            out += [(lang, s, "term", o, -v, i) for i, (v, _, o) in enumerate(sorted(terms)[:50], 1)]
+    return sorted(out)
+
+
+def result(df):
+    return sorted(tuple(r[c] for c in COLUMNS) for r in df.collect())
+
+
+def documents(spark, rows):
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    return df.select("*", *(F.lit("x").alias(c) for c in ("term", "n", "entries", "docs", "value", "rank", "item", "part")))
+
+
+def awkward_rows():
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    rows = [(" ".join(words[(i * 7 + j * j) % 300] for j in range(i % 60)), "en" if i % 5 else None, f"s{i % 7}") for i in range(400)]
+    rows += [("Émile É émile İI KK ſ 漢字 a1b2 x y don't", "fr", "é" if i % 2 else "z") for i in range(40)]
+    rows += [(None, None, None), ("", "", ""), ("   ", "xx", "alone"), (None, "xx", None), ("tie tie", "en", "s1")] * 3
+    rows += [("[{@`~}]\x00\x7f 0123", "de", s) for s in ("a", "b", "c")]
+    rows += [("long " * 400_000 + "term" * 300_000, "en", "s2")]
+    return rows
+
+
+@pytest.mark.parametrize("least", [1, 3, 30])
+def test_like_brute_force(spark, least):
+    rows = awkward_rows()
+    assert result(sd.source_divergence(documents(spark, rows).repartition(5), least)) == brute(rows, least)
+
+
+def test_however_memory_and_files_are_cut(spark, monkeypatch):
+    rows = awkward_rows()[:-1]
+    want = brute(rows, 2)
+    # Workers get the module by value, with what it holds when the job is made.
+    for name, value in (("ENTRIES", 40), ("BYTES", 300), ("CELLS", 9), ("PIECE", 16)):
+        monkeypatch.setattr(sd, name, value)
+    for parts in (1, 7):
+        assert result(sd.source_divergence(documents(spark, rows).repartition(parts), 2)) == want
+
+
+def test_top_terms_with_ties(spark):
+    terms = [f"t{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    rows = [(" ".join(terms), "en", "a")] * 3 + [("other", "en", "b")] * 3
+    out = result(sd.source_divergence(documents(spark, rows), 3))
+    assert out == brute(rows, 3)
+    assert [r[3] for r in out if r[1] == "a" and r[2] == "term"] == sorted(terms)[:50]
+
+
+def test_large_counts_stay_exact():
+    import numpy as np
+
+    n, total = np.array([0, 1, 10**15, 9 * 10**14 + 7]), np.array([9 * 10**15 - 100] * 4)
+    want = [1 + 10**9 * (int(a) + 5) // (int(t) + 5 * 9) for a, t in zip(n, total)]
+    assert sd._shares(n, total, 9).tolist() == want
+
+
+def test_no_rows(spark):
+    assert sd.source_divergence(documents(spark, [("a", "b", "c")]).where("false")).collect() == []
+
+
+def test_query_like_sql(spark, tmp_path):
+    rows = awkward_rows()
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = result(sd.op12_source_divergence(spark, str(tmp_path)))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(db.execute(f"SELECT {', '.join(COLUMNS)} FROM ({sd.OP12_SQL})").fetchall()) == got
+    assert got == brute(rows)
