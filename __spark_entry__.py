@@ -7,7 +7,9 @@ folder ``spark.checkpoint.dir`` names, then read it back.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +26,15 @@ from hourtally.functions.timegrain import (
 from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts
 from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch, keyed
 from hourtally.plans import jobs, reports, sql
-from hourtally.schemas import MEDIA_MEASURES
+from hourtally.schemas import MEDIA_MEASURES, PAGECOUNTS_EXTERNAL
 from hourtally.session import scratch_path
+from hourtally.sources.loads import loaded_intervals, read_records
 from hourtally.sources.paths import HOURLY_ARCHIVE
 from hourtally.sources.raw import read_mediacounts_raw, read_pagecounts_raw
 from hourtally.sources.sinks import write_partitioned
 from hourtally.sources.tables import (
     create_tables,
+    declare_external,
     read_dates,
     read_mediacounts,
     read_pagecounts,
@@ -41,10 +45,10 @@ from hourtally.streaming.file_ingest import FileIngest
 try:
     import corpus_pipeline
     from hourtally.llm import registry as llm
-except ModuleNotFoundError as missing:
-    # The subpackage and its pipeline may be absent; nothing else depends on them.
-    if missing.name not in ("corpus_pipeline", "hourtally.llm"):
-        raise
+except ImportError as missing:
+    # The subpackage, its pipeline or a library that they need may be absent; nothing else depends
+    # on them.
+    warnings.warn(f"without the corpus queries: {missing}", stacklevel=2)
     llm = corpus_pipeline = None
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -55,6 +59,8 @@ ARTICLE = "user_7"
 LO = 1704412800 + 5 * HOUR
 HI = LO + 20 * DAY
 AS_OF = "2024-01-20T00:00:00Z"
+# The hour of each day whose dump comes late.
+LATE_HOUR = 5
 # Visible media dates; the sample ships from 1995 to 2001.
 MEDIA_FIRST, MEDIA_LAST = "1996-01-01", "2000-12-31"
 
@@ -174,6 +180,34 @@ def row_ids(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def late_hours_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours whose dump comes late: a first load passes over them, the next one loads just them."""
+    source, target = scratch_path(spark, "dumps"), scratch_path(spark, "pagecounts")
+    requests = _raw_requests(spark, folder)
+    late = F.pmod("interval_start_unixtime", F.lit(DAY)) == LATE_HOUR * HOUR
+    span = requests.agg(F.min("interval_start_unixtime"), F.max("interval_start_unixtime")).first()
+    runs = [datetime.fromtimestamp(e, timezone.utc) for e in span]
+    for arrival in (requests.where(~late), requests.where(late)):
+        standins.write_raw_pagecounts(arrival, source)
+        jobs.load_missing_pagecounts(
+            spark, *runs, source, target, lag_days=0, layout=standins.HOURLY_FOLDERS
+        )
+    records = read_records(spark, target)
+    second = records.agg(F.max("stored_at").alias("stored_at"))
+    loads = records.join(second, "stored_at", "left_semi").select("load", F.lit(True).alias("late"))
+    ledger = (
+        loaded_intervals(spark, target)
+        .join(loads, "load", "left")
+        .groupBy(F.col("interval").alias("interval_start_unixtime"))
+        .agg(F.count(F.lit(1)).alias("n_loads"), F.max("late").alias("late"))
+    )
+    stored = read_dates(spark, target, PAGECOUNTS_EXTERNAL, None)
+    hours = stored.groupBy("interval_start_unixtime").agg(F.sum("count").alias("views"))
+    return ledger.join(hours, "interval_start_unixtime", "left").select(
+        "interval_start_unixtime", "n_loads", F.coalesce("late", F.lit(False)).alias("late"), "views"
+    )
+
+
 # --- deduplication ---------------------------------------------------------------
 
 
@@ -355,6 +389,23 @@ def external_tables_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def external_catalog_report(spark: SparkSession, folder: str) -> DataFrame:
+    """External tables in the catalog: days stored after the first report are in the next one."""
+    pages, media = scratch_path(spark, "pagecounts"), scratch_path(spark, "mediacounts")
+    database = media.split("/")[-2].replace("-", "_")
+    declare_external(spark, database, pages, media, MEDIA_FIRST)
+    counts = standins.mediacounts(standins.lineitem(spark, folder))
+    table = f"{database}.mediacounts"
+    reported = []
+    for n, days in enumerate((F.col("date") < "1998-01-01", F.col("date") >= "1998-01-01"), 1):
+        jobs.store_mediacounts(counts.where(days), media, database=database)
+        path = scratch_path(spark, "report")
+        found = sql.run_report(spark, "daily_media_totals", table, "1996-07-01", MEDIA_LAST)
+        found.withColumn("report", F.lit(n)).write.parquet(path)
+        reported.append(spark.read.parquet(path))
+    return reported[0].unionByName(reported[1])
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return hourly_total_views(spark, SMOKE_FOLDER)
 
@@ -392,6 +443,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "keyed_media_first_wins": keyed_media_first_wins,
         "replaced_pipeline": replaced_pipeline,
         "external_tables_report": external_tables_report,
+        "external_catalog_report": external_catalog_report,
+        "late_hours_load": late_hours_load,
     }
 
 
@@ -589,4 +642,18 @@ def _own_oracle_sql() -> dict[str, str]:
                  sum(total_transfers_all)::bigint AS n_imgs_served
           FROM mediacounts WHERE date BETWEEN '{MEDIA_FIRST}' AND '{MEDIA_LAST}'
           GROUP BY date ORDER BY date""",
+        "external_catalog_report": f"""
+          WITH mediacounts AS ({_mediacounts(_MEDIA_DAY)})
+          SELECT date AS d, sum(total_response_bytes)::bigint / power(10, 12) AS tb_served,
+                 sum(total_transfers_all)::bigint AS n_imgs_served, report::int AS report
+          FROM mediacounts, (VALUES (1, '1998-01-01'), (2, '9999-01-01')) AS reports(report, stored)
+          WHERE date BETWEEN '1996-07-01' AND '{MEDIA_LAST}' AND date < stored
+          GROUP BY date, report""",
+        "late_hours_load": f"""
+          WITH requests AS (
+            SELECT event_type, user_id, {_EPOCH} AS epoch, max(floor(value)::int) AS count
+            FROM events GROUP BY ALL)
+          SELECT epoch AS interval_start_unixtime, 1 AS n_loads,
+                 epoch % {DAY} = {LATE_HOUR * HOUR} AS late, sum(count)::bigint AS views
+          FROM requests GROUP BY epoch""",
     }

@@ -2,9 +2,9 @@
 
     load-pagecounts   --source DIR --target DIR [--run-time ISO [--until ISO]]
     load-mediacounts  --source DIR --target DIR [--run-time ISO [--until ISO]]
-                      [--input-bytes N --cores N]
-    ingest-pagecounts  --source DIR --root DIR [--every "1 minute"]
-    ingest-mediacounts --source DIR --root DIR [--every "1 minute"]
+                      [--missing] [--database NAME] [--input-bytes N --cores N]
+    ingest-pagecounts  --source DIR --root DIR [--every "1 minute"] [--listed]
+    ingest-mediacounts --source DIR --root DIR [--every "1 minute"] [--listed]
     report NAME --table DIR [--project P] [--article A] [--since now-3d] [--until now-1d]
                 [--now-delay 1d] [--lo EPOCH --hi EPOCH]
 """
@@ -44,6 +44,10 @@ def parser() -> argparse.ArgumentParser:
         load.add_argument("--target", required=True)
         load.add_argument("--run-time", help="ISO-8601; default: now")
         load.add_argument("--until", help="last run time of a backfill")
+        load.add_argument(
+            "--missing", action="store_true", help="only what no load has read yet, if it is there now"
+        )
+        load.add_argument("--database", help="external tables to tell of the load")
         load.add_argument("--lag-days", type=int, default=lag)
         load.add_argument("--archive-names", action="store_true", help="published file names")
         load.add_argument("--row-ids", action="store_true")
@@ -54,6 +58,9 @@ def parser() -> argparse.ArgumentParser:
         ingest.add_argument("--root", required=True)
         ingest.add_argument("--every", help="look again this often; default: once")
         ingest.add_argument("--max-files", type=int, default=10_000)
+        ingest.add_argument(
+            "--listed", action="store_true", help="files without load records: list all of --source"
+        )
         ingest.add_argument("--generation", type=int, default=0)
     report = commands.add_parser("report")
     report.add_argument("name", choices=REPORTS)
@@ -77,21 +84,31 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
         for key, value in sizing_conf(args.input_bytes, args.cores).items():
             spark.conf.set(key, value)
     pages = args.command == "load-pagecounts"
-    runs = [args.run_time]
-    if args.until:
-        runs = run_times(args.run_time, args.until, 1 if pages else 24)
     if pages:
         layout = paths.HOURLY_ARCHIVE if args.archive_names else paths.HOURLY_STAGED
-        job, store = jobs.load_pagecounts, jobs.store_pagecounts
+        job, store, catch_up = jobs.load_pagecounts, jobs.store_pagecounts, jobs.load_missing_pagecounts
     else:
         layout = paths.DAILY_ARCHIVE if args.archive_names else paths.DAILY_STAGED
-        job, store = jobs.load_mediacounts, jobs.store_mediacounts
-    store(job(spark, runs, args.source, args.lag_days, layout), args.target, args.row_ids)
+        job, store, catch_up = jobs.load_mediacounts, jobs.store_mediacounts, jobs.load_missing_mediacounts
+    if args.missing:
+        last = args.until or args.run_time
+        found = catch_up(
+            spark, args.run_time, last, args.source, args.target, args.lag_days, layout,
+            args.row_ids, args.database,
+        )
+        print(f"{len(found)} loaded")
+        return
+    runs = [args.run_time]
+    if args.until:
+        runs = run_times(args.run_time, args.until, 1 if pages else 24)
+    store(job(spark, runs, args.source, args.lag_days, layout), args.target, args.row_ids, args.database)
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     table = PAGECOUNTS if args.command == "ingest-pagecounts" else MEDIACOUNTS
-    files = FileIngest(table, args.source, args.root, args.generation, args.max_files)
+    files = FileIngest(
+        table, args.source, args.root, args.generation, args.max_files, listed=args.listed
+    )
     print(files.target)
     files.start(spark, args.every).awaitTermination()
 

@@ -14,12 +14,9 @@ from hourtally import schemas
 from hourtally.functions.timegrain import HOUR, epoch_to_day
 from hourtally.operators.dedup import keep_greatest
 from hourtally.operators.mapping import project_mapping
+from hourtally.sources.loads import ARRIVED, FILE
 from hourtally.sources.sinks import BATCH, write_replacing
-from hourtally.sources.tables import add_batch, read_dates
-
-# When and in which file a row arrived, where the source tells: of rows with one key the first
-# counts, however the files are cut into batches.
-ARRIVED, FILE = "_arrived", "_file"
+from hourtally.sources.tables import add_partitions, read_dates
 
 
 @dataclass(frozen=True)
@@ -173,7 +170,7 @@ def ingest_batch(
     """
     spark = source.sparkSession
     rows = rows_to_insert(spark, source, batch_id, table, target)
-    write_replacing(
+    stored = write_replacing(
         rows.withColumn("date", table.day()).withColumn(BATCH, F.lit(batch_id).cast("bigint")),
         target,
         shard_by=table.shard_by,
@@ -181,7 +178,4 @@ def ingest_batch(
         lookup=table.lookup,
     )
     if database is not None:
-        # Reads the time column alone; one row for each calendar day.
-        mapped = project_mapping(source, table.columns, table.mapping)
-        days = mapped.select(table.day().alias("day")).distinct().collect()
-        add_batch(spark, database, table.name, [r["day"] for r in days], batch_id)
+        add_partitions(spark, database, table.name, stored)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,15 +16,26 @@ _WIDTHS = {"%Y": 4, "%m": 2, "%d": 2, "%H": 2}
 
 @dataclass(frozen=True)
 class FileLayout:
-    """A folder below the root and a file name, both as strftime patterns."""
+    """A folder below the root and a file name, both as strftime patterns.
+
+    With ``parts`` the name is that of a folder, in which the dump of a period lies as any number
+    of files, as a parallel copy stages it.
+    """
 
     folder: str
     name: str
+    parts: bool = False
 
     def path(self, root: str, period: datetime) -> str:
         parts = [root.rstrip("/"), period.strftime(self.folder), period.strftime(self.name)]
         return "/".join(p for p in parts if p)
 
+    def name_of_row(self) -> Column:
+        """The name that a scanned row's file, or its folder of parts, has in this layout."""
+        if not self.parts:
+            return F.col("_metadata.file_name")
+        return F.element_at(F.split("_metadata.file_path", "/"), -2)
+
     def _field(self, name: Column, code: str) -> Column:
         """A date field cut out of the file name; every field has a fixed width."""
         before = self.name[: self.name.index(code)]
@@ -52,6 +63,12 @@ DAILY_ARCHIVE = FileLayout("%Y", "mediacounts.%Y-%m-%d.v00.tsv.bz2")
 DAILY_STAGED = FileLayout("", "mediacounts.%Y-%m-%d.v00.tsv.bz2")
 
 
+def interval_paths(root: str, epochs: Iterable[int], layout: FileLayout) -> dict[str, int]:
+    """The path of each interval's dump, oldest first, and the interval's start."""
+    starts = {e: datetime.fromtimestamp(e, timezone.utc) for e in sorted(set(epochs))}
+    return {layout.path(root, t): e for e, t in starts.items()}
+
+
 def hourly_paths(
     root: str,
     run_times: Iterable[str | datetime | None],

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,25 +48,22 @@ def read_present(
     spark: SparkSession,
     root: str,
     paths: Sequence[str],
-) -> DataFrame:
-    """``read`` over those of ``paths`` (all below ``root``) that exist; the absent ones are
-    logged by name. It is an error if there is none at all.
+) -> tuple[DataFrame, list[str]]:
+    """``read`` over those of ``paths`` (all below ``root``) that exist, and which these are; the
+    absent ones are logged by name. It is an error if there is none at all.
 
-    As alternatives of one pattern, names that nothing matches are passed over.
+    As alternatives of one pattern, names that nothing matches are passed over. A path may be a
+    folder of files.
     """
     root = root.rstrip("/")
     names = [p.removeprefix(f"{root}/") for p in paths]
     raw = read(spark, f"{root}/{{{','.join(names)}}}")
-    found = {path.rsplit("/", 1)[-1] for path in raw.inputFiles()}
-    absent = [p for p in paths if p.rsplit("/", 1)[-1] not in found]
+    found = {name for path in raw.inputFiles() for name in path.rsplit("/", 2)[1:]}
+    present = [p for p in paths if p.rsplit("/", 1)[-1] in found]
+    absent = sorted(set(paths) - set(present))
     if absent:
         _log.warning("%d of %d files are absent: %s", len(absent), len(paths), ", ".join(absent))
-    return raw
-
-
-def source_file_name() -> Column:
-    """Base name of the file a row came from; use it directly on a scan."""
-    return F.col("_metadata.file_name")
+    return raw, present
 
 
 def rejected_rows(raw: DataFrame, measure: str = "count") -> DataFrame:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
+from hourtally.sources.files import directory
+from hourtally.sources.loads import new_load, write_record
+
 BATCH = "_batch_id"
 
 # Files a directory is spread over while it is small enough not to be cut by size. An hour of
@@ -43,8 +47,24 @@ def with_row_ids(df: DataFrame) -> DataFrame:
     return df.select(F.expr("uuid()").alias("id"), "*")
 
 
-def _writer(df: DataFrame, partitions: Sequence[str], lookup: Sequence[str]) -> DataFrameWriter:
-    writer = df.write.partitionBy(*partitions).option("compression", "snappy")
+def _observed(df: DataFrame, partitions: Sequence[str]) -> tuple[DataFrame, Observation]:
+    """``df``, and what tells its directories once it is written: one row for each, gathered as the
+    rows pass by."""
+    told = Observation()
+    return df.observe(told, F.collect_set(F.struct(*partitions)).alias("directories")), told
+
+
+def _store(
+    df: DataFrame,
+    path: str,
+    partitions: Sequence[str],
+    lookup: Sequence[str],
+    load: str | None,
+    mode: str,
+) -> None:
+    writer = df.write.mode(mode).partitionBy(*partitions).option("compression", "snappy")
+    if load:
+        writer = writer.option("mapreduce.output.basename", load)
     for column in lookup:
         # Sized by the values of each row group: a small file carries a small filter, and one of
         # millions of titles a filter that still tells them apart.
@@ -53,7 +73,25 @@ def _writer(df: DataFrame, partitions: Sequence[str], lookup: Sequence[str]) ->
             .option("parquet.bloom.filter.adaptive.enabled", "true")
             .option("parquet.bloom.filter.max.bytes", str(8 << 20))
         )
-    return writer
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _directories(told: Observation) -> list[Row]:
+    try:
+        return told.get["directories"]
+    except Py4JJavaError as error:
+        # A plan that turns out to be empty is dropped, and what was to be observed with it.
+        if error.java_exception.getClass().getSimpleName() != "AssertionError":
+            raise
+        return []
+
+
+def _record(
+    df: DataFrame, path: str, load: str, partitions: Sequence[str], rows: list[Row], intervals: Iterable[int]
+) -> None:
+    spark = df.sparkSession
+    names = [directory(spark, list(partitions), tuple(r)) for r in rows]
+    write_record(spark, path, load, names, intervals)
 
 
 def write_partitioned(
@@ -63,13 +101,18 @@ def write_partitioned(
     shard_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     lookup: Sequence[str] = (),
-) -> None:
-    """Append parquet under ``date=.../``. Running it twice stores the rows twice.
+) -> list[Row]:
+    """Append parquet under ``date=.../``, with a load record. Running it twice stores the rows
+    twice. Returns the directories written to, as rows of their values.
 
     ``lookup`` columns get a bloom filter per row group, for equality filters.
     """
-    rows = lay_out(df, partitions, shard_by, sort_by)
-    _writer(rows, partitions, lookup).mode("append").parquet(path)
+    load = new_load()
+    seen, told = _observed(df, partitions)
+    _store(lay_out(seen, partitions, shard_by, sort_by), path, partitions, lookup, load, "append")
+    stored = _directories(told)
+    _record(df, path, load, partitions, stored, ())
+    return stored
 
 
 def write_replacing(
@@ -80,17 +123,24 @@ def write_replacing(
     sort_by: Sequence[str] = (),
     lookup: Sequence[str] = (),
     row_ids: bool = False,
-) -> None:
-    """Write the directories ``df`` has rows for, replacing what they held.
+    recorded: bool = False,
+    intervals: Iterable[int] = (),
+) -> list[Row]:
+    """Write the directories ``df`` has rows for, replacing what they held, and return them.
 
     A directory must belong to one load only. An hour is part of a day, so hourly loads need
     a directory of their own below the day: replacing the bare ``date`` would drop the other
-    23 hours.
+    23 hours. ``recorded`` leaves a load record, which also names the ``intervals`` loaded.
     """
-    rows = lay_out(df, partitions, shard_by, sort_by)
+    seen, told = _observed(df, partitions)
+    rows = lay_out(seen, partitions, shard_by, sort_by)
     rows = with_row_ids(rows) if row_ids else rows
-    writer = _writer(rows, partitions, lookup).mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    load = new_load() if recorded else None
+    _store(rows, path, partitions, lookup, load, "overwrite")
+    stored = _directories(told)
+    if recorded:
+        _record(df, path, load, partitions, stored, intervals)
+    return stored
 
 
 def by_hour_loaded(df: DataFrame) -> DataFrame:

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date, datetime, timedelta, timezone
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from hourtally.functions.timegrain import day_string
+from hourtally.functions.timegrain import DAY, day_string
 from hourtally.operators.filters import FIRST_VISIBLE_DATE, visible_dates
 from hourtally.schemas import (
     MEDIACOUNTS_EXTERNAL,
@@ -17,6 +18,8 @@ from hourtally.schemas import (
     PAGECOUNTS_EXTERNAL,
     PAGECOUNTS_SERVING,
 )
+from hourtally.sources.files import read_or_none
+from hourtally.sources.loads import read_records
 from hourtally.sources.sinks import BATCH
 
 
@@ -28,19 +31,15 @@ def read_dates(
     Naming the directories keeps the driver from listing the others. The schema is always
     given: discovery would turn the ``date`` text into a DATE.
     """
-    reader = spark.read.schema(schema)
+    reader = spark.read
     if days is not None:
         names = ",".join(sorted(days))
         if not names:
             return spark.createDataFrame([], schema)
         reader = reader.option("basePath", path)
         path = f"{path.rstrip('/')}/date={{{names}}}"
-    try:
-        return reader.parquet(path).select(*schema.names)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    found = read_or_none(lambda: reader.schema(schema).parquet(path).select(*schema.names))
+    return spark.createDataFrame([], schema) if found is None else found
 
 
 def _days(first: str, last: str) -> list[str]:
@@ -82,8 +81,8 @@ def register_external(
 ) -> None:
     """Views ``pagecounts`` and ``mediacounts`` over the files of the load jobs, for SQL.
 
-    Only the visible date range is in them; days loaded later need a new call, which replaces
-    the views.
+    A quick look: the views hold the days that are there now, and a new call replaces them.
+    ``declare_external`` makes tables that show later loads as well.
     """
     read_pagecounts(spark, pagecounts, first, last).createOrReplaceTempView(f"{prefix}pagecounts")
     read_mediacounts(spark, mediacounts, first, last).createOrReplaceTempView(f"{prefix}mediacounts")
@@ -95,52 +94,131 @@ def _quoted(text: str) -> str:
     return f"'{escaped}'"
 
 
-def qualified(database: str, name: str) -> str:
-    return ".".join("`" + part.replace("`", "``") + "`" for part in (database, name))
+def qualified(*names: str) -> str:
+    return ".".join("`" + name.replace("`", "``") + "`" for name in names)
 
 
 def declare_table(
-    spark: SparkSession, database: str, name: str, columns: StructType, path: str
+    spark: SparkSession,
+    database: str,
+    name: str,
+    columns: StructType,
+    path: str,
+    partitions: Sequence[str] = ("date", BATCH),
 ) -> None:
-    """Declare the serving table stored at ``path``, if the name is not taken.
+    """Declare the table stored at ``path``, if the name is not taken.
 
     Its directories are kept in the catalog, so a query lists only those of the days it asks
-    for. What is stored already is looked up here once; ``add_batch`` tells of later batches.
+    for. What is stored already is looked up here once; ``add_partitions`` tells of what comes later.
     """
     if spark.catalog.tableExists(qualified(database, name)):
         return
-    declared = [f"{f.name} {f.dataType.simpleString()}" for f in columns if f.name != "date"]
+    types = {"date": "string", BATCH: "bigint"}
+    declared = [f"{f.name} {f.dataType.simpleString()}" for f in columns if f.name not in types]
+    every = ", ".join([*declared, *(f"{p} {types[p]}" for p in partitions)])
     # No rows: makes the folder where it is absent, and leaves what is stored as it is.
-    empty = spark.createDataFrame([], f"{', '.join(declared)}, date string, {BATCH} bigint")
-    empty.write.partitionBy("date", BATCH).mode("append").parquet(path)
+    spark.createDataFrame([], every).write.partitionBy(*partitions).mode("append").parquet(path)
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {qualified(database, name)} "
-        f"({', '.join(declared)}, date string, {BATCH} bigint) USING parquet "
-        f"PARTITIONED BY (date, {BATCH}) LOCATION {_quoted(path)}"
+        f"CREATE TABLE IF NOT EXISTS {qualified(database, name)} ({every}) USING parquet "
+        f"PARTITIONED BY ({', '.join(partitions)}) LOCATION {_quoted(path)}"
     )
     find_partitions(spark, database, name)
 
 
 def find_partitions(spark: SparkSession, database: str, name: str) -> None:
-    """Tell the catalog of directories that came without ``add_batch``. Lists the whole table."""
+    """Tell the catalog of directories that came without ``add_partitions``. Lists the whole table."""
     spark.sql(f"ALTER TABLE {qualified(database, name)} RECOVER PARTITIONS")
 
 
-def add_batch(
-    spark: SparkSession, database: str, name: str, days: Iterable[str | None], batch_id: int
+# Directories that one statement names.
+_AT_ONCE = 1000
+
+
+def add_partitions(
+    spark: SparkSession, database: str, name: str, directories: Iterable[Row]
 ) -> None:
-    """Tell the catalog of a batch's directories. Repeating it changes nothing."""
-    parts = " ".join(
-        f"PARTITION (date = {'NULL' if day is None else _quoted(day)}, {BATCH} = {batch_id})"
-        for day in days
-    )
-    if parts:
-        spark.sql(f"ALTER TABLE {qualified(database, name)} ADD IF NOT EXISTS {parts}")
+    """Tell the catalog of directories, given as rows of their values. Repeating it changes nothing."""
+
+    def value(v: str | int | None) -> str:
+        return "NULL" if v is None else _quoted(v) if isinstance(v, str) else str(v)
+
+    parts = [
+        f"PARTITION ({', '.join(f'{k} = {value(v)}' for k, v in row.asDict().items())})"
+        for row in directories
+    ]
+    for n in range(0, len(parts), _AT_ONCE):
+        some = " ".join(parts[n : n + _AT_ONCE])
+        spark.sql(f"ALTER TABLE {qualified(database, name)} ADD IF NOT EXISTS {some}")
+
+
+# --- external tables ----------------------------------------------------------
+
+_EXTERNAL = {
+    "pagecounts": (PAGECOUNTS_EXTERNAL, ("date", BATCH)),
+    "mediacounts": (MEDIACOUNTS_EXTERNAL, ("date",)),
+}
+# Today in UTC, read anew by each query. Of the clock's functions only this is free of the session zone,
+# which a view would take in part from the session that made it.
+_TODAY = f"string(date_from_unix_date(int(unix_seconds(current_timestamp()) DIV {DAY})))"
+
+
+def files_table(name: str) -> str:
+    """The catalog table behind the external view ``name``."""
+    return f"{name}_files"
+
+
+def declare_external(
+    spark: SparkSession,
+    database: str,
+    pagecounts: str,
+    mediacounts: str,
+    first: str = FIRST_VISIBLE_DATE,
+    last: str | None = None,
+) -> None:
+    """External ``pagecounts`` and ``mediacounts`` over the files of the load jobs, in a database.
+
+    Views of the visible date range, by default up to the day of the query, over catalog tables
+    that know their directories. ``store_pagecounts`` and ``store_mediacounts`` tell the database
+    that they are given of the directories they write, so a query shows a new load at once, and lists only the
+    days it asks for. Repeating the call changes the date range.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified(database)}")
+    for name, path in (("pagecounts", pagecounts), ("mediacounts", mediacounts)):
+        columns, partitions = _EXTERNAL[name]
+        declare_table(spark, database, files_table(name), columns, path, partitions)
+        end = _quoted(last) if last else _TODAY
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {qualified(database, name)} AS "
+            f"SELECT {', '.join(columns.names)} FROM {qualified(database, files_table(name))} "
+            f"WHERE date BETWEEN {_quoted(first)} AND {end}"
+        )
+
+
+def find_loads(spark: SparkSession, database: str, name: str) -> int:
+    """Tell the catalog of the loads that were stored without naming ``database``, by their records;
+    returns how many directories are new to it.
+
+    Reads the records and the catalog, and lists no data.
+    """
+    table = qualified(database, files_table(name))
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    path = location.first()["data_type"]
+    names = _EXTERNAL[name][1]
+    known = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
+    stored = read_records(spark, path).select(F.explode("directories").alias("d")).distinct()
+    fresh = [r["d"] for r in stored.toLocalIterator() if r["d"] not in known]
+    values = [[_value(p) for p in d.split("/")] for d in fresh]
+    add_partitions(spark, database, files_table(name), [Row(**dict(zip(names, v))) for v in values])
+    return len(fresh)
+
+
+def _value(part: str) -> str | None:
+    value = unquote(part.split("=", 1)[1])
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else value
 
 
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """Create the database and both serving tables below ``location`` where absent."""
-    name = database.replace("`", "``")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION {_quoted(location)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified(database)} LOCATION {_quoted(location)}")
     declare_table(spark, database, "pagecounts", PAGECOUNTS_SERVING, f"{location}/pagecounts")
     declare_table(spark, database, "mediacounts", MEDIACOUNTS_SERVING, f"{location}/mediacounts")

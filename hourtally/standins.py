@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hourtally.functions.timegrain import DAY, HOUR, epoch_to_day, hour_epoch
 from hourtally.schemas import MEDIACOUNTS_RAW, PAGECOUNTS_NORMAL
+from hourtally.sources.paths import FileLayout
 
 ARTICLE_PREFIX = "user_"
 
@@ -145,6 +146,10 @@ def hour_stamp(epoch: Column, between: str = "") -> Column:
     return F.concat(day, F.lit(between), F.lpad(hour.cast("int").cast("string"), 2, "0"))
 
 
+# How the raw page counts below are named: a folder of parts for each hour.
+HOURLY_FOLDERS = FileLayout("", "load_hour=%Y%m%d%H", parts=True)
+
+
 def write_raw_pagecounts(requests: DataFrame, path: str) -> None:
     """Space-delimited gzip text below ``load_hour=yyyyMMddHH`` directories."""
     _write_raw(
@@ -176,4 +181,4 @@ def write_raw_mediacounts(rows: DataFrame, path: str) -> None:
 
 def _write_raw(lines: DataFrame, path: str, folder: str, codec: str) -> None:
     gathered = lines.hint("rebalance", folder).sortWithinPartitions(folder)
-    gathered.write.partitionBy(folder).option("compression", codec).text(path)
+    gathered.write.mode("append").partitionBy(folder).option("compression", codec).text(path)

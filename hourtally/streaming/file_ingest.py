@@ -6,13 +6,15 @@ import hashlib
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from hourtally.operators.ingest import ARRIVED, FILE, ServingTable, ingest_batch
+from hourtally.operators.ingest import ServingTable, ingest_batch
 from hourtally.schemas import schema_of
+from hourtally.sources.files import Store
+from hourtally.sources.loads import RECORD, read_loaded, records_path, with_arrival
 from hourtally.sources.sinks import BATCH
 from hourtally.sources.tables import declare_table, qualified, read_dates
 
@@ -22,7 +24,12 @@ IDS = 1 << 40
 
 @dataclass(frozen=True)
 class FileIngest:
-    """New files under ``source`` go into a target below ``root``.
+    """New loads of ``source`` go into a target below ``root``.
+
+    What is followed are the load records that ``store_pagecounts``, ``store_mediacounts`` and
+    ``write_partitioned`` leave, up to ``max_files`` of them in a batch: a trigger lists the folder
+    of records, and a batch opens the directories that its records name. ``listed`` is for files
+    of other origin, without records: each trigger then lists all of ``source``.
 
     The checkpoint lies in a folder named after the definition. Changing the mapping, key or
     source therefore reads all files again: an old checkpoint is never read with a new mapping.
@@ -38,6 +45,7 @@ class FileIngest:
     max_files: int = 10_000
     source_schema: StructType | None = None
     database: str | None = None
+    listed: bool = False
 
     @property
     def definition(self) -> str:
@@ -51,6 +59,8 @@ class FileIngest:
             list(t.unique_key),
             self.generation,
         ]
+        if not self.listed:
+            parts.append("records")
         return hashlib.sha256(json.dumps(parts).encode()).hexdigest()[:16]
 
     @property
@@ -75,33 +85,41 @@ class FileIngest:
         """Load what has arrived and stop, or look again ``every`` interval until stopped.
 
         Keys are remembered by the target itself, not by streaming state: they count for
-        ever, so a late or repeated file finds them however old they are. ``max_files``
+        ever, so a late or repeated load finds them however old they are. ``max_files``
         cuts a backlog into batches; all of it is loaded, and the file that arrived first wins
         within a batch as it does between batches.
         """
-        # By default Spark passes over files a week older than the newest it has seen; a dump
-        # that comes late counts like any other.
-        files = (
-            spark.readStream.schema(self.source_schema or self.table.source)
-            .option("maxFileAge", "36500d")
-            .option("maxFilesPerTrigger", self.max_files)
-            .parquet(self.source)
-            .select(
-                "*",
-                F.col("_metadata.file_modification_time").alias(ARRIVED),
-                F.col("_metadata.file_path").alias(FILE),
-            )
-        )
         first_id = self._first_batch_id(spark)
+        arriving = self._files(spark) if self.listed else self._records(spark)
 
         def load(batch, batch_id):
+            if not self.listed:
+                records = batch.select("load", "directories").collect()  # one row for each load
+                batch = read_loaded(spark, self.source, records, self._schema)
             ingest_batch(batch, first_id + batch_id, self.table, self.target, self.database)
 
-        writer = files.writeStream.foreachBatch(load).option("checkpointLocation", self.checkpoint)
+        writer = arriving.writeStream.foreachBatch(load)
+        writer = writer.option("checkpointLocation", self.checkpoint)
         if every:
             return writer.trigger(processingTime=every).start()
         return writer.trigger(availableNow=True).start()
 
+    @property
+    def _schema(self) -> StructType:
+        return self.source_schema or self.table.source
+
+    def _records(self, spark: SparkSession) -> DataFrame:
+        # A pipeline may start before the first load.
+        Store(spark, self.source).make_folder(records_path(self.source))
+        stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", self.max_files)
+        return stream.json(records_path(self.source))
+
+    def _files(self, spark: SparkSession) -> DataFrame:
+        # By default Spark passes over files a week older than the newest it has seen; a dump
+        # that comes late counts like any other.
+        stream = spark.readStream.schema(self._schema).option("maxFileAge", "36500d")
+        return with_arrival(stream.option("maxFilesPerTrigger", self.max_files).parquet(self.source))
+
     def _first_batch_id(self, spark: SparkSession) -> int:
         """Where this definition's batch ids begin: above all that the target held when it first
         started. Written down beside the checkpoint, so a restart begins there as well."""
@@ -117,5 +135,5 @@ class FileIngest:
         return known["first_batch_id"]
 
     def run_available(self, spark: SparkSession) -> None:
-        """Load every file that has arrived, then return."""
+        """Load all that has arrived, then return."""
         self.start(spark).awaitTermination()

@@ -1,6 +1,8 @@
 """Every registered query against DuckDB, in two session zones."""
 
 import os
+import subprocess
+import sys
 import tempfile
 
 import duckdb
@@ -90,6 +92,16 @@ def test_does_not_depend_on_session_zone(spark, duck, zone, name):
     assert rows(QUERIES[name](spark, FOLDER).toPandas()) == rows(duck.sql(ORACLES[name]).df())
 
 
+def test_a_missing_corpus_library_leaves_the_other_queries():
+    code = (
+        "import sys, warnings; sys.modules['ahocorasick'] = None; warnings.simplefilter('ignore');"
+        "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e._own_queries()))"
+    )
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert out.stdout.strip() == "True", out.stderr
+
+
 def test_entry_runs(spark):
     assert entry_module.entry(spark).count() > 0
 
