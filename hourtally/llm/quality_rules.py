@@ -1,15 +1,20 @@
 """Quality rules: counted limits, then a hashed n-gram logistic regression.
 
-Features are word 1- and 2-grams and byte 3- and 4-grams, hashed to ``2^BITS`` weights. The n-grams
+Features are word 1- and 2-grams and character (code point) 3- and 4-grams, hashed to ``2^BITS`` weights. The n-grams
 of a kind weigh one together, however long the text, so a text's logit is a constant plus the mean
 weight of each kind, and scoring is a lookup and a sum by text.
 
-The regression is fitted by tasks on disjoint shards (about ``SHARD_LABELS`` rows) of a bounded
-sample of the labelled rows (``MAX_LABELS``), and the weights are averaged; a fifth of the sample is kept apart to fit the
-two parameters of the probability calibration. Scoring runs over Arrow batches of whole texts.
+The regression is fitted by tasks on ``SHARDS`` shards, at every size alike, of a bounded sample of
+the labelled rows (``MAX_LABELS``), and the weights are averaged; a fifth of the sample is kept apart
+to fit the two parameters of the probability calibration. Shards are dealt by a hash of the id and read
+in the order of hashes of id and text, so the model and every probability are the same however the rows are
+stored. Scoring runs over Arrow batches of whole texts.
 
 Defined results: a null text has no words, all counts are zero, it fails the base rule. Without
-labels of both kinds every text scores the share of label 1 (one half without any label).
+labels of both kinds every text scores the share of label 1 (one half without any label). Repeated
+rows are each judged, and each learnt from if their id has a label; of contradicting labels of one
+id 1 counts. Rows without an id are judged, not learnt from. A very long text is one piece of
+work. An empty table gives no rows; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -25,14 +30,17 @@ from hourtally.llm.text import (
     SPACES,
     U64,
     encoded,
+    mix,
     per_piece,
     split_words,
     window_hashes,
     word_hashes,
 )
 
+_ROW = ("shard", "label", "place", "content")
+
 BITS = 18
-MAX_LABELS, SHARD_LABELS, PASSES = 16_000, 4_000, 3
+MAX_LABELS, SHARDS, PASSES = 16_000, 4, 3
 SCALE, RATE = 8.0, 0.5
 # Fixed limits of the rules.
 MIN_WORDS, MAX_REPEAT_PERCENT, MIN_PROBABILITY = 50, 50, 0.5
@@ -46,23 +54,30 @@ _SIZES = ((1, True), (2, True), (3, False), (4, False))
 _KINDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
-def _byte_grams(data: np.ndarray, size: int) -> np.ndarray:
-    out = np.zeros(max(0, len(data) - size + 1), U64)
-    for i in range(size):
-        out <<= U64(8)
-        out |= data[i : i + len(out)]
-    return out
+def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 bytes, and at which byte each begins."""
+    start = np.flatnonzero((data & 0xC0) != 0x80)
+    first = data[start].astype(U64)
+    size = np.diff(start, append=len(data))
+    out = np.where(first < 0x80, first, np.where(first < 0xE0, first & U64(0x1F), np.where(first < 0xF0, first & U64(0x0F), first & U64(7))))
+    for i in range(1, 4):
+        more = size > i
+        following = data[np.minimum(start + i, len(data) - 1)].astype(U64) & U64(0x3F)
+        out = np.where(more, (out << U64(6)) | following, out)
+    return out, start
 
 
 def gram_slots(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each kind of n-gram: the slots of all n-grams, and where those of each text begin and
     end. An n-gram that reaches into the next text belongs to none."""
     words = split_words(texts)
+    points, start = _code_points(words.data)
+    characters, bounds = mix(points + U64(1)), np.searchsorted(start, words.offset)
     hashes = word_hashes(words)
     out = []
     for kind, (size, of_words) in zip(_KINDS, _SIZES, strict=True):
-        grams = window_hashes(hashes, size) if of_words else _byte_grams(words.data, size)
-        edge = words.first if of_words else words.offset
+        grams = window_hashes(hashes if of_words else characters, size)
+        edge = words.first if of_words else bounds
         start, end = edge[:-1], np.maximum(edge[1:] - (size - 1), edge[:-1])
         slots = (grams * U64(kind) >> _SHIFT).astype(np.int32)
         out.append((slots, np.minimum(start, len(slots)), np.minimum(end, len(slots))))
@@ -70,6 +85,7 @@ def gram_slots(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndar
 
 
 def _sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Of counts, which are exact."""
     total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
     return total[end] - total[start]
 
@@ -77,7 +93,12 @@ def _sums(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 def logits(texts: list[bytes], weights: np.ndarray, constant: float) -> np.ndarray:
     out = np.full(len(texts), constant)
     for slots, start, end in gram_slots(texts):
-        out += SCALE * _sums(weights[slots], start, end) / np.maximum(end - start, 1)
+        # Each text is added up for itself: rounding does not depend on its neighbours.
+        size = end - start
+        text = np.repeat(np.arange(len(size)), size)
+        inside = np.arange(len(text)) + np.repeat(start - np.cumsum(size) + size, size)
+        total = np.bincount(text, weights[slots[inside]], len(size))
+        out += SCALE * total / np.maximum(size, 1)
     return out
 
 
@@ -94,17 +115,17 @@ def _feature_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         shares.append(np.bincount(place, share, len(own)).astype(np.float32))
     return pa.RecordBatch.from_arrays(
         [
-            batch.column("shard"),
-            batch.column("label"),
+            *(batch.column(c) for c in _ROW),
             pa.array(slots, pa.list_(pa.int32())),
             pa.array(shares, pa.list_(pa.float32())),
         ],
-        names=["shard", "label", "slots", "shares"],
+        names=[*_ROW, "slots", "shares"],
     )
 
 
 def _fit(shard: pa.Table) -> pa.Table:
     """Logistic regression by per-weight decreasing steps, over the rows of one shard."""
+    shard = shard.sort_by([("place", "ascending"), ("content", "ascending")])
     weights, squares = np.zeros(1 << BITS), np.full(1 << BITS, 1e-8)
     constant, constant_squares = 0.0, 1e-8
     rows = [
@@ -126,6 +147,7 @@ def _fit(shard: pa.Table) -> pa.Table:
     used = np.flatnonzero(weights)
     return pa.table(
         {
+            "shard": pa.array(np.full(len(used) + 1, shard["shard"][0].as_py()), pa.int32()),
             "slot": pa.array(np.append(used, -1), pa.int32()),
             "weight": pa.array(np.append(weights[used], constant), pa.float64()),
         }
@@ -134,7 +156,11 @@ def _fit(shard: pa.Table) -> pa.Table:
 
 def _mean_weights(fitted: DataFrame) -> tuple[np.ndarray, float]:
     """The average of the shards' weights; a weight that a shard lacks is zero there."""
-    rows = fitted.groupBy("slot").agg(F.sum("weight").alias("weight"), F.count("weight").alias("n"))
+    # Added in the order of the shards, so that rounding is the same each time.
+    parts = F.sort_array(F.collect_list(F.struct("shard", "weight")))["weight"]
+    rows = fitted.groupBy("slot").agg(parts.alias("parts")).select(
+        "slot", F.aggregate("parts", F.lit(0.0), lambda a, x: a + x).alias("weight"), F.size("parts").alias("n")
+    )
     rows = rows.toPandas()  # at most 2^BITS + 1
     weights, constant, shards = np.zeros(1 << BITS, np.float32), 0.0, 1
     if (alone := rows[rows["slot"] < 0]).size:
@@ -183,14 +209,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
         F.broadcast(sample), "doc_id"
     )
     apart = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(5)) == 0
-    shards = -(-sample.count() // SHARD_LABELS) or 1
-    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int")
+    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
+    order = F.xxhash64("doc_id").alias("place"), F.xxhash64("text").alias("content")
     fitted = (
         rows.where(~apart)
-        .select(shard.alias("shard"), "label", "text")
+        .select(shard.alias("shard"), "label", *order, "text")
         .mapInArrow(per_piece(_feature_rows), _FEATURE_TYPE)
         .groupBy("shard")
-        .applyInArrow(_fit, "slot int, weight double")
+        .applyInArrow(_fit, "shard int, slot int, weight double")
     )
     weights, constant = _mean_weights(fitted)
 
@@ -206,12 +232,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
         .mapInArrow(per_piece(scored), "label int, logit double")
         .groupBy("logit")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("ones"))
+        .orderBy("logit")
         .collect()  # at most 8001 logits
     )
     return QualityModel(weights, constant, *_calibration(bins))
 
 
-_FEATURE_TYPE = "shard int, label int, slots array<int>, shares array<float>"
+_FEATURE_TYPE = (
+    "shard int, label int, place bigint, content bigint, slots array<int>, shares array<float>"
+)
 _RULE_TYPE = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
     "n_repeat_words bigint, probability double"
