@@ -5,22 +5,34 @@ third one after it) and word stems, hashed to ``2^BITS`` slots. FTRL keeps two s
 falls with the coordinate's own gradients, and a coordinate whose sum stays below ``L1`` is zero, so
 the few weights that remain are sent to every task.
 
-Tasks learn from disjoint shards (about ``SHARD_LABELS`` rows) of a bounded sample of the labelled
-rows (``MAX_LABELS``), and their weights are averaged. A text's score is the probability that it is toxic.
+The labelled rows, a bounded sample of them (``MAX_LABELS``), are dealt into ``SHARDS`` shards by
+a hash of their id, at every size alike. Each of ``PASSES`` rounds lets a task learn from each shard,
+beginning with the sums that all had agreed on, and averages what the shards add to them. So the
+sums see every shard in each round, and a coordinate is zero for all or for none. Within a shard
+rows come in the order of hashes of id and text, and sums are added up in the order of the shards: the
+model, and with it every score, is the same however the rows are stored. Features are made
+once and written down; a shard holds a quarter of the sample's. A text's score is the probability
+that it is toxic.
 
 Defined results: a null or empty text has no feature and scores the constant. Without any label
-every text scores one half.
+every text scores one half. Repeated rows are each scored, and each learnt from if their id has a
+label; of contradicting labels of one id 1 counts. Rows without an id are scored, not learnt from. A
+very long text is one piece of work. An empty table gives no rows; columns other than id and text are
+not read.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally.llm.features import crc_remainder, sampled_labels, sigmoid
-from hourtally.llm.tables import table
+from hourtally.llm.tables import materialised, table
 from hourtally.llm.text import (
     PUNCTUATION,
     U64,
@@ -32,10 +44,13 @@ from hourtally.llm.text import (
 )
 
 BITS = 20
-MAX_LABELS, SHARD_LABELS, PASSES = 32_000, 8_000, 6
+MAX_LABELS, SHARDS, PASSES = 32_000, 4, 6
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 4.0, 0.1
 THRESHOLD = 0.3
 
+_ROW = ("shard", "label", "place", "content")
+_ROW_TYPE = "shard int, label int, place bigint, content bigint"
+
 # Bytes of a word that are its stem.
 STEM = 7
 # Distance of the second word of each kind of pair.
@@ -69,42 +84,60 @@ def _feature_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = np.unique(np.concatenate([k[lo:hi] for k in kinds]))
         slots.append(own[own >= 0].astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [batch.column("shard"), batch.column("label"), pa.array(slots, pa.list_(pa.int32()))],
-        names=["shard", "label", "slots"],
+        [*(batch.column(c) for c in _ROW), pa.array(slots, pa.list_(pa.int32()))],
+        names=[*_ROW, "slots"],
     )
 
 
-def _learn(shard: pa.Table) -> pa.Table:
-    """FTRL-proximal over the rows of one shard; the weights other than zero. Slot -1 is the
-    constant, which is not regularised."""
-    size = 1 << BITS
-    z, n = np.zeros(size + 1), np.zeros(size + 1)
-    l1, l2 = np.full(size + 1, L1), np.full(size + 1, L2)
-    l1[size] = l2[size] = 0.0
-
-    def weights(at):
-        rate = (BETA + np.sqrt(n[at])) / ALPHA + l2[at]
-        return np.where(np.abs(z[at]) <= l1[at], 0.0, (np.sign(z[at]) * l1[at] - z[at]) / rate)
-
-    rows = [
-        (int(y), np.append(s.values.to_numpy(), size))
-        for y, s in zip(shard["label"].to_pylist(), shard["slots"], strict=True)
-    ]
-    rng = np.random.default_rng(11)
-    for _ in range(PASSES):
-        for i in rng.permutation(len(rows)):
-            label, at = rows[i]
-            w = weights(at)
-            slope = float(sigmoid(w.sum())) - label
-            sigma = (np.sqrt(n[at] + slope * slope) - np.sqrt(n[at])) / ALPHA
-            z[at] += slope - sigma * w
-            n[at] += slope * slope
-    final = weights(np.arange(size + 1))
-    used = np.flatnonzero(final[:size])
+class Sums(NamedTuple):
+    """FTRL's two sums by slot; the last slot is the constant, which is not regularised."""
+
+    z: np.ndarray
+    n: np.ndarray
+
+    @classmethod
+    def none(cls) -> Sums:
+        return cls(np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1))
+
+    def weights(self, at: np.ndarray) -> np.ndarray:
+        alone = at == 1 << BITS
+        l1, l2 = np.where(alone, 0.0, L1), np.where(alone, 0.0, L2)
+        z = self.z[at]
+        rate = (BETA + np.sqrt(self.n[at])) / ALPHA + l2
+        return np.where(np.abs(z) <= l1, 0.0, (np.sign(z) * l1 - z) / rate)
+
+    def learn(self, label: int, at: np.ndarray) -> None:
+        w = self.weights(at)
+        slope = float(sigmoid(w.sum())) - label
+        n = self.n[at]
+        sigma = (np.sqrt(n + slope * slope) - np.sqrt(n)) / ALPHA
+        self.z[at] += slope - sigma * w
+        self.n[at] += slope * slope
+
+
+def _round(agreed: Sums, number: int) -> Callable[[pa.Table], pa.Table]:
+    """For ``applyInArrow``: what the rows of one shard add to the sums."""
+
+    def learn(shard: pa.Table) -> pa.Table:
+        return _additions(shard, agreed, number)
+
+    return learn
+
+
+def _additions(shard: pa.Table, agreed: Sums, number: int) -> pa.Table:
+    shard = shard.sort_by([("place", "ascending"), ("content", "ascending")])
+    own = Sums(agreed.z.copy(), agreed.n.copy())
+    labels, slots = shard["label"].to_pylist(), shard["slots"]
+    rng = np.random.default_rng([11, number])
+    for i in rng.permutation(shard.num_rows):
+        own.learn(int(labels[i]), np.append(slots[i].values.to_numpy(), 1 << BITS))
+    used = np.flatnonzero(own.n != agreed.n)
     return pa.table(
         {
-            "slot": pa.array(np.append(used, -1), pa.int32()),
-            "weight": pa.array(np.append(final[used], final[size]), pa.float64()),
+            "shard": pa.array(np.full(len(used), shard["shard"][0].as_py()), pa.int32()),
+            "slot": pa.array(used, pa.int32()),
+            "z": pa.array((own.z - agreed.z)[used]),
+            "n": pa.array((own.n - agreed.n)[used]),
         }
     )
 
@@ -138,22 +171,34 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample), "doc_id"
     )
-    shards = -(-sample.count() // SHARD_LABELS) or 1
-    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(shards)).cast("int")
-    learnt = (
-        rows.select(shard.alias("shard"), "label", "text")
-        .mapInArrow(per_piece(_feature_rows), "shard int, label int, slots array<int>")
-        .groupBy("shard")
-        .applyInArrow(_learn, "slot int, weight double")
-        .groupBy("slot")
-        .agg(F.sum("weight").alias("weight"), F.count("weight").alias("n"))
-        .toPandas()  # at most 2^BITS + 1 rows; L1 leaves a few thousand
-    )
-    alone = learnt[learnt["slot"] < 0]
-    fitted = int(alone["n"].iloc[0]) if alone.size else 1
-    constant = float(alone["weight"].iloc[0]) / fitted if alone.size else 0.0
-    own = learnt[learnt["slot"] >= 0].sort_values("slot")
-    return ToxicityModel(own["slot"].to_numpy(), own["weight"].to_numpy() / fitted, constant)
+    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
+    made = rows.select(
+        shard.alias("shard"),
+        "label",
+        F.xxhash64("doc_id").alias("place"),
+        F.xxhash64("text").alias("content"),
+        "text",
+    ).mapInArrow(per_piece(_feature_rows), f"{_ROW_TYPE}, slots array<int>")
+    features = materialised(made, "toxic-features")
+    shards = features.select("shard").distinct().count()
+    agreed = Sums.none()
+    for number in range(PASSES if shards else 0):
+        learnt = features.groupBy("shard").applyInArrow(
+            _round(agreed, number), "shard int, slot int, z double, n double"
+        )
+        # In the order of the shards, so that rounding is the same each time.
+        parts = F.sort_array(F.collect_list(F.struct("shard", "z", "n")))
+        added = learnt.groupBy("slot").agg(parts.alias("parts")).select(
+            "slot",
+            *(F.aggregate(F.col("parts")[c], F.lit(0.0), lambda a, x: a + x).alias(c) for c in "zn"),
+        )
+        rows_added = added.toPandas()  # at most 2^BITS + 1
+        at = rows_added["slot"].to_numpy()
+        agreed.z[at] += rows_added["z"].to_numpy() / shards
+        agreed.n[at] += rows_added["n"].to_numpy() / shards
+    weights = agreed.weights(np.arange((1 << BITS) + 1))
+    used = np.flatnonzero(weights[:-1])
+    return ToxicityModel(used, weights[used], float(weights[-1]))
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:

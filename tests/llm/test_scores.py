@@ -54,6 +54,87 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def scattered(spark, tmp_path, parts):
+    """The sample's documents and labels, dealt into so many files in another order each."""
+    folder = f"{tmp_path}/{parts}"
+    for name in ("documents", "labels"):
+        rows = spark.read.parquet(f"{FOLDER}/{name}.parquet")
+        mixed = rows.repartition(parts, li.F.rand(parts)).sortWithinPartitions(li.F.rand(parts + 1))
+        mixed.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize(("name", "score"), [("op2_quality_rules", "probability"), ("op10_toxicity", "score")])
+def test_scores_do_not_depend_on_how_rows_are_stored(spark, tmp_path, name, score):
+    found = [
+        {r.doc_id: r[score] for r in QUERIES[name](spark, scattered(spark, tmp_path, parts)).collect()}
+        for parts in (1, 7, 16)
+    ]
+    assert found[0] == found[1] == found[2] and len(set(found[0].values())) > 100
+
+
+def test_toxic_scores_like_a_plain_version(spark, corpus, awkward):
+    """The features by Python sets, and FTRL over dictionaries."""
+    words = ["good", "bad!", "Évil", "“quoted”", "awful-thing", "x"]
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choices(words, k=rng.randrange(12)))) for i in range(40)]
+    rows += [(40, None), (40, "good bad! good"), (41, "")]
+    docs = corpus(rows)
+    truth = {i: int("bad" in (t or "")) for i, t in rows}
+    labels = [(i, y) for i, y in truth.items()] + [(1, 0), (None, 1), (5, None)]
+    model = tx.fit_toxicity(docs, spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+
+    def features(text):
+        kinds, first = tx.feature_slots([(text or "").lower().encode()])
+        assert first.tolist() == [0, len(kinds[0])]
+        return sorted({int(s) for k in kinds for s in k if s >= 0})
+
+    learnt = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    place = docs.select("doc_id", "text", li.F.xxhash64("doc_id"), li.F.xxhash64("text"),
+                        li.F.expr(f"pmod(xxhash64(doc_id, 'shard'), {tx.SHARDS})")).collect()
+    shards = {}
+    for i, t, a, b, shard in place:
+        if (i, t) in learnt:
+            shards.setdefault(shard, []).append((a, b, i, t))
+    z, n, constant = {}, {}, -1
+
+    def weight(z, n, s):
+        l1, l2 = (0, 0) if s == constant else (tx.L1, tx.L2)
+        if abs(z.get(s, 0)) <= l1:
+            return 0.0
+        return (np.sign(z[s]) * l1 - z[s]) / ((tx.BETA + n[s] ** 0.5) / tx.ALPHA + l2)
+
+    yes = {i for i, y in truth.items() if y}
+    for number in range(tx.PASSES):
+        ends = []
+        for shard in shards.values():
+            own_z, own_n, shard = dict(z), dict(n), sorted(shard, key=lambda r: r[:2])
+            for at in np.random.default_rng([11, number]).permutation(len(shard)):
+                slots = [*features(shard[at][3]), constant]
+                w = {s: weight(own_z, own_n, s) for s in slots}
+                slope = 1 / (1 + np.exp(-sum(w.values()))) - (shard[at][2] in yes)
+                for s in slots:
+                    before = own_n.get(s, 0.0)
+                    own_n[s] = before + slope**2
+                    own_z[s] = own_z.get(s, 0.0) + slope - (own_n[s] ** 0.5 - before**0.5) / tx.ALPHA * w[s]
+            ends.append((own_z, own_n))
+        slots = {s for e, _ in ends for s in e}
+        z = {s: z.get(s, 0) + sum(e.get(s, 0) - z.get(s, 0) for e, _ in ends) / len(ends) for s in slots}
+        n = {s: n.get(s, 0) + sum(e.get(s, 0) - n.get(s, 0) for _, e in ends) / len(ends) for s in slots}
+    for r in tx.toxicity(docs, model).collect():
+        texts = [t for i, t in rows if i == r.doc_id]
+        scores = [1 / (1 + np.exp(-sum(weight(z, n, s) for s in [*features(t), constant]))) for t in texts]
+        assert min(abs(r.score - s) for s in scores) < 1e-9
+    assert len({round(r.score, 6) for r in tx.toxicity(docs, model).collect()}) > 1
+
+
+def test_code_points_of_all_lengths():
+    text = "aé漢😀\x00z\U0010ffff"
+    points, start = qr._code_points(np.frombuffer(text.encode() + b" ", np.uint8))
+    assert points.tolist() == [*map(ord, text), 32]
+    assert start.tolist() == [len(text[:i].encode()) for i in range(len(text) + 1)]
+
+
 def test_planted_toxic_words_are_learnt(spark, corpus):
     rng = random.Random(1)
     rows, labelled = [], []
