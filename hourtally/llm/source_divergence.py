@@ -40,6 +40,9 @@ from hourtally.llm.tables import materialised, table
 # to each count, and the unit of shares.
 LEAST_DOCS, TOP, SMOOTH, UNIT = 30, 50, 5, 10**9
 
+# Parts of a group's terms that are ranked each for itself.
+SALTS = 8
+
 # What a task holds before it writes its stripes: counts, and bytes of text read for them.
 ENTRIES, BYTES = 400_000, 128 << 20
 # Bytes of one text that are cut into terms at a time, and cells of the table of terms by sources.
@@ -307,8 +310,12 @@ def source_divergence(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFram
     # Flushed more than once, a term may come twice; its value is the same.
     value = F.when(F.col("part") == "pair", F.sum("value")).otherwise(F.max("value"))
     summed = parts.groupBy(*key).agg(value.alias("value"))
-    order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
-    ranked = summed.withColumn("rank", F.row_number().over(order))
+    # Parts of a group are ranked first: how many terms reach its last ranking does not grow with the
+    # number of tasks.
+    first = F.desc("value"), "item"
+    some = Window.partitionBy("lang", "source", "part", F.pmod(F.xxhash64("item"), F.lit(SALTS))).orderBy(*first)
+    best = summed.withColumn("rank", F.row_number().over(some)).where((F.col("part") == "pair") | (F.col("rank") <= TOP))
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source", "part").orderBy(*first)))
     return ranked.where((F.col("part") == "pair") | (F.col("rank") <= TOP))
 
 

@@ -18,13 +18,13 @@ def literal_rows(spark: SparkSession, names: tuple[str, ...], rows: list[tuple])
     return spark.range(1).select(F.inline(F.array(*structs)))
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back.
+def materialised(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back; ``options`` are the writer's.
 
     Cuts the lineage: what follows survives the loss of any executor without redoing this work.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,9 +9,9 @@ The labelled rows, a bounded sample of them (``MAX_LABELS``), are dealt into ``S
 a hash of their id, at every size alike. Each of ``PASSES`` rounds lets a task learn from each shard,
 beginning with the sums that all had agreed on, and averages what the shards add to them. So the
 sums see every shard in each round, and a coordinate is zero for all or for none. Within a shard
-rows come in the order of hashes of id and text, and sums are added up in the order of the shards: the
+rows come in an order of hashes, another one in each round, and sums are added up in the order of the shards: the
 model, and with it every score, is the same however the rows are stored. Features are made
-once and written down; a shard holds a quarter of the sample's. A text's score is the probability
+once and written down; a task reads them a batch at a time, so no text is too long for it. A text's score is the probability
 that it is toxic.
 
 Defined results: a null or empty text has no feature and scores the constant. Without any label
@@ -23,7 +23,8 @@ not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -115,33 +116,29 @@ class Sums(NamedTuple):
         self.n[at] += slope * slope
 
 
-def _round(agreed: Sums, number: int) -> Callable[[pa.Table], pa.Table]:
-    """For ``applyInArrow``: what the rows of one shard add to the sums."""
-
-    def learn(shard: pa.Table) -> pa.Table:
-        return _additions(shard, agreed, number)
+def _round(agreed: Sums, shard: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For ``mapInArrow`` over the rows of one shard, in their order: what they add to the sums."""
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Sums(agreed.z.copy(), agreed.n.copy())
+        for batch in batches:
+            for label, slots in zip(batch.column("label").to_pylist(), batch.column("slots"), strict=True):
+                own.learn(int(label), np.append(slots.values.to_numpy(), 1 << BITS))
+        used = np.flatnonzero(own.n != agreed.n)
+        if len(used):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(used), shard), pa.int32()),
+                    pa.array(used, pa.int32()),
+                    pa.array((own.z - agreed.z)[used]),
+                    pa.array((own.n - agreed.n)[used]),
+                ],
+                names=["shard", "slot", "z", "n"],
+            )
 
     return learn
 
 
-def _additions(shard: pa.Table, agreed: Sums, number: int) -> pa.Table:
-    shard = shard.sort_by([("place", "ascending"), ("content", "ascending")])
-    own = Sums(agreed.z.copy(), agreed.n.copy())
-    labels, slots = shard["label"].to_pylist(), shard["slots"]
-    rng = np.random.default_rng([11, number])
-    for i in rng.permutation(shard.num_rows):
-        own.learn(int(labels[i]), np.append(slots[i].values.to_numpy(), 1 << BITS))
-    used = np.flatnonzero(own.n != agreed.n)
-    return pa.table(
-        {
-            "shard": pa.array(np.full(len(used), shard["shard"][0].as_py()), pa.int32()),
-            "slot": pa.array(used, pa.int32()),
-            "z": pa.array((own.z - agreed.z)[used]),
-            "n": pa.array((own.n - agreed.n)[used]),
-        }
-    )
-
-
 class ToxicityModel:
     """The slots with a weight, sorted, their weights, and the constant."""
 
@@ -171,6 +168,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         F.broadcast(sample), "doc_id"
     )
+    # Few files, although the rows come from all tasks.
+    rows = rows.repartition(4 * SHARDS, "doc_id")
     shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
     made = rows.select(
         shard.alias("shard"),
@@ -179,12 +178,22 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         F.xxhash64("text").alias("content"),
         "text",
     ).mapInArrow(per_piece(_feature_rows), f"{_ROW_TYPE}, slots array<int>")
-    features = materialised(made, "toxic-features")
+    # Slots of a text rise, so their differences take half the room.
+    features = materialised(made, "toxic-features", **{"parquet.writer.version": "v2", "parquet.enable.dictionary": "false"})
     shards = features.select("shard").distinct().count()
     agreed = Sums.none()
     for number in range(PASSES if shards else 0):
-        learnt = features.groupBy("shard").applyInArrow(
-            _round(agreed, number), "shard int, slot int, z double, n double"
+        # A task for each shard, which holds one batch of it at a time. No row is shuffled.
+        learnt = reduce(
+            DataFrame.union,
+            (
+                features.where(F.col("shard") == k)
+                .coalesce(1)
+                .sortWithinPartitions(F.xxhash64("place", F.lit(number)), "place", "content")
+                .select("label", "slots")
+                .mapInArrow(_round(agreed, k), "shard int, slot int, z double, n double")
+                for k in range(SHARDS)
+            ),
         )
         # In the order of the shards, so that rounding is the same each time.
         parts = F.sort_array(F.collect_list(F.struct("shard", "z", "n")))

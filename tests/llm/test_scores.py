@@ -105,14 +105,16 @@ def test_toxic_scores_like_a_plain_version(spark, corpus, awkward):
         return (np.sign(z[s]) * l1 - z[s]) / ((tx.BETA + n[s] ** 0.5) / tx.ALPHA + l2)
 
     yes = {i for i, y in truth.items() if y}
+    hashes = docs.select(li.F.xxhash64("doc_id").alias("a")).distinct().crossJoin(spark.range(tx.PASSES))
+    order = {(r.a, r.id): r.h for r in hashes.select("a", "id", li.F.xxhash64("a", li.F.col("id").cast("int")).alias("h")).collect()}
     for number in range(tx.PASSES):
         ends = []
         for shard in shards.values():
-            own_z, own_n, shard = dict(z), dict(n), sorted(shard, key=lambda r: r[:2])
-            for at in np.random.default_rng([11, number]).permutation(len(shard)):
-                slots = [*features(shard[at][3]), constant]
+            own_z, own_n = dict(z), dict(n)
+            for _, _, i, t in sorted(shard, key=lambda r: (order[r[0], number], *r[:2])):
+                slots = [*features(t), constant]
                 w = {s: weight(own_z, own_n, s) for s in slots}
-                slope = 1 / (1 + np.exp(-sum(w.values()))) - (shard[at][2] in yes)
+                slope = 1 / (1 + np.exp(-sum(w.values()))) - (i in yes)
                 for s in slots:
                     before = own_n.get(s, 0.0)
                     own_n[s] = before + slope**2
