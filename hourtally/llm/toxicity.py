@@ -29,6 +29,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,10 +117,11 @@ class Sums(NamedTuple):
         self.n[at] += slope * slope
 
 
-def _round(agreed: Sums, shard: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _round(sums: Broadcast, shard: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For ``mapInArrow`` over the rows of one shard, in their order: what they add to the sums."""
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        agreed = Sums(*sums.value)
         own = Sums(agreed.z.copy(), agreed.n.copy())
         for batch in batches:
             for label, slots in zip(batch.column("label").to_pylist(), batch.column("slots"), strict=True):
@@ -183,6 +185,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     shards = features.select("shard").distinct().count()
     agreed = Sums.none()
     for number in range(PASSES if shards else 0):
+        # Sent once and given up after the round: 2^BITS + 1 pairs of numbers.
+        sums = docs.sparkSession.sparkContext.broadcast(tuple(agreed))
         # A task for each shard, which holds one batch of it at a time. No row is shuffled.
         learnt = reduce(
             DataFrame.union,
@@ -191,7 +195,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
                 .coalesce(1)
                 .sortWithinPartitions(F.xxhash64("place", F.lit(number)), "place", "content")
                 .select("label", "slots")
-                .mapInArrow(_round(agreed, k), "shard int, slot int, z double, n double")
+                .mapInArrow(_round(sums, k), "shard int, slot int, z double, n double")
                 for k in range(SHARDS)
             ),
         )
@@ -205,6 +209,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
         at = rows_added["slot"].to_numpy()
         agreed.z[at] += rows_added["z"].to_numpy() / shards
         agreed.n[at] += rows_added["n"].to_numpy() / shards
+        sums.destroy()
     weights = agreed.weights(np.arange((1 << BITS) + 1))
     used = np.flatnonzero(weights[:-1])
     return ToxicityModel(used, weights[used], float(weights[-1]))
