@@ -1,6 +1,8 @@
 """Benchmark decontamination by spaced seeds.
 
-Words are lower-cased runs of letters and digits. A seed mask looks at some of ``SPAN`` consecutive
+Words are runs of letters and digits of any alphabet, in lower case and without differences of
+width or composition (``text.plain``): typographic quotes, dashes and spaces part words as plain ones do.
+A seed mask looks at some of ``SPAN`` consecutive
 words and ignores the others, so passages with replaced words still share the seeds whose ignored
 places cover the replacements. All seeds of the benchmark are looked up at every word of every
 document; around a hit the document and the item are compared word by word at that offset, and each
@@ -15,9 +17,13 @@ longer item is a block of its own), and each block is one pass over the document
 before the next block's index is built, so neither the driver nor an executor holds the whole
 benchmark: an executor has the index of one block, the driver that of two at most.
 
-Defined results: null and empty texts overlap with nothing. Items of fewer than ``OVERLAP`` words
-are sought as a whole; items of fewer than ``LEAST_WORDS`` words are no evidence and are not sought,
-not even exactly. Repeated items are each reported. Rows without id are judged like others.
+Defined results: null and empty texts overlap with nothing, nor do items without a word. Items of
+fewer than ``OVERLAP`` words are sought as a whole. Items of fewer than ``LEAST_WORDS`` words are no
+evidence within a sentence; they are found where they are the whole text or a whole line of it, word
+by word. Repeated items and repeated rows are each reported. Rows without id are judged like others.
+A very long text is one piece of work. Without items nothing overlaps, without documents there are no
+rows. ``benchmark_overlaps`` reads id and text alone; ``drop_contaminated`` keeps all columns as
+they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,9 +40,11 @@ from hourtally.llm.tables import materialised, table
 from hourtally.llm.text import (
     PUNCTUATION,
     U64,
+    Words,
     encoded,
     mix,
     per_piece,
+    plain,
     split_words,
     word_hashes,
 )
@@ -82,9 +90,13 @@ class SeedIndex:
     def __init__(self, items: list[tuple[int | None, str]]):
         self.ids = [item_id for item_id, _ in items]
         self.items, keys, places, shorts = [], [], [], set()
+        self.lines: dict[bytes, list[int]] = {}
         for number, (_, text) in enumerate(items):
-            hashes = word_hashes(split_words([text.lower().encode()], PUNCTUATION))
+            hashes = word_hashes(split_words([plain(text)], PUNCTUATION))
             self.items.append(hashes)
+            if 0 < len(hashes) < LEAST_WORDS:
+                self.lines.setdefault(hashes.tobytes(), []).append(number)
+                continue
             if len(hashes) in SHORT_MASKS:
                 shorts.add(len(hashes))
             for mask in SHORT_MASKS.get(len(hashes), MASKS):
@@ -110,8 +122,29 @@ class SeedIndex:
                 for number, word in self.places[lo[i] : hi[i]].tolist():
                     yield int(at[i]), number, word
 
+    def _whole_lines(self, words: Words, hashes: np.ndarray) -> Iterator[tuple]:
+        """As ``overlaps``, for items that are a whole text or line."""
+        if not self.lines:
+            return
+        ends = np.flatnonzero(words.data == 10)
+        edges = np.unique(np.concatenate([words.first, np.searchsorted(words.start, ends)]))
+        spans = {*zip(edges[:-1].tolist(), edges[1:].tolist()), *zip(words.first[:-1].tolist(), words.first[1:].tolist())}
+        for lo, hi in sorted(spans):
+            if 0 < hi - lo < LEAST_WORDS:
+                text = int(np.searchsorted(words.first, lo, "right")) - 1
+                for number in self.lines.get(hashes[lo:hi].tobytes(), ()):
+                    yield text, number, lo - int(words.first[text]), 0, hi - lo, hi - lo
+
+    def in_texts(self, texts: list[bytes]) -> Iterator[tuple]:
+        """The overlaps with some ``plain`` texts, as ``overlaps`` tells them."""
+        words = split_words(texts, PUNCTUATION)
+        hashes = word_hashes(words)
+        yield from self.overlaps(hashes, words.first)
+        yield from self._whole_lines(words, hashes)
+
     def overlaps(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
-        """``(text, item number, first word, first word of the item, words, equal words)``."""
+        """``(text, item number, first word, first word of the item, words, equal words)``, of items
+        of ``LEAST_WORDS`` words and more."""
         seen = set()
         for at, number, word in self._hits(hashes):
             text = int(np.searchsorted(first, at, "right")) - 1
@@ -176,8 +209,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def find(index: SeedIndex):
         def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-            words = split_words(encoded(batch.column("text"), lower=True), PUNCTUATION)
-            found = list(index.overlaps(word_hashes(words), words.first))
+            found = list(index.in_texts(encoded(batch.column("text"), lower=True)))
             ids = batch.column("doc_id").to_pylist()
             columns = list(zip(*found, strict=True)) or [()] * 6
             columns[0] = [ids[i] for i in columns[0]]
@@ -204,9 +236,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     def clean(index: SeedIndex):
         def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-            words = split_words(encoded(batch.column("text"), lower=True), PUNCTUATION)
             keep = np.ones(batch.num_rows, bool)
-            for text, *_ in index.overlaps(word_hashes(words), words.first):
+            for text, *_ in index.in_texts(encoded(batch.column("text"), lower=True)):
                 keep[text] = False
             return batch.filter(pa.array(keep))
 

@@ -6,6 +6,8 @@ Arrow batch stays small whatever the batch; one longer text is a piece of its ow
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
@@ -23,7 +25,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
 
-#: Bytes that part words of letters and digits; bytes of other alphabets count as letters.
+#: Bytes that part words of letters and digits in ``plain`` texts, where all others are of letters.
 PUNCTUATION = np.ones(256, bool)
 PUNCTUATION[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
@@ -107,10 +109,29 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+# Characters that part no words and are seen by no reader: soft hyphens, joiners, marks of order.
+_UNSEEN = dict.fromkeys([0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF])
+# All but letters and digits of any alphabet, and ends of lines.
+_APART = re.compile(r"[^\w\n]|_")
+
+
+def plain(text: str | None) -> bytes:
+    """The text in lower case, for cutting into words at ``PUNCTUATION``.
+
+    Words are runs of letters and digits of any alphabet. Forms of one character (full width,
+    ligatures, composed or not) are made alike, and other punctuation and spaces become blanks.
+    """
+    text = (text or "").lower()
+    if not text.isascii():
+        text = unicodedata.normalize("NFKC", text.translate(_UNSEEN)).lower()
+        text = _APART.sub(" ", text)
+    return text.encode("utf-8", "replace")
+
+
 def encoded(column: pa.Array | pa.ChunkedArray, lower: bool = False) -> list[bytes]:
-    """The texts as UTF-8; a null is an empty text."""
+    """The texts as UTF-8, or ``plain``; a null is an empty text."""
     if lower:
-        return [(t or "").lower().encode("utf-8", "replace") for t in column.to_pylist()]
+        return [plain(t) for t in column.to_pylist()]
     return [b if b is not None else b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
