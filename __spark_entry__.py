@@ -24,10 +24,18 @@ from hourtally.functions.timegrain import (
     day_string,
 )
 from hourtally.operators.dedup import dedup_mediacounts, dedup_pagecounts
-from hourtally.operators.ingest import MEDIACOUNTS, PAGECOUNTS, ingest_batch, keyed
+from hourtally.operators.ingest import (
+    MEDIACOUNTS,
+    PAGECOUNTS,
+    indexed,
+    ingest_batch,
+    keyed,
+    read_indexed,
+)
 from hourtally.plans import jobs, reports, sql
 from hourtally.schemas import MEDIA_MEASURES, PAGECOUNTS_EXTERNAL
 from hourtally.session import scratch_path
+from hourtally.sources.compaction import compact_days, stored_days
 from hourtally.sources.loads import loaded_intervals, read_records
 from hourtally.sources.paths import HOURLY_ARCHIVE
 from hourtally.sources.raw import read_mediacounts_raw, read_pagecounts_raw
@@ -298,6 +306,38 @@ def media_ingest_mapping(spark: SparkSession, folder: str) -> DataFrame:
     return read_dates(spark, target, MEDIACOUNTS.stored, None).select(*MEDIACOUNTS.columns.names)
 
 
+def article_index_report(spark: SparkSession, folder: str) -> DataFrame:
+    """One article through the index that the ingest keeps: only its directories are opened."""
+    target, arrivals = scratch_path(spark, "pagecounts"), scratch_path(spark, "arrivals")
+    standins.pagecounts(standins.events(spark, folder)).write.parquet(arrivals)
+    counts = spark.read.schema(PAGECOUNTS.source).parquet(arrivals)
+    table = indexed(PAGECOUNTS, "article_name")
+    for batch_id in range(3):
+        third = F.pmod(F.floor(F.col("interval_start_unixtime") / DAY), F.lit(3)) == batch_id
+        ingest_batch(counts.where(third), batch_id, table, target)
+    rows = read_indexed(spark, table, target, ["article_name"], ARTICLE)
+    return reports.hourly_views_by_article(rows, ARTICLE)
+
+
+def compacted_ingest(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches, all days compacted, both batches replayed, and the directories of each day."""
+    target, arrivals = scratch_path(spark, "pagecounts"), scratch_path(spark, "arrivals")
+    standins.pagecounts(standins.events(spark, folder)).write.parquet(arrivals)
+    counts = spark.read.schema(PAGECOUNTS.source).parquet(arrivals)
+    both = counts, _second_arrival(counts)
+    for batch_id, batch in enumerate(both):
+        ingest_batch(batch, batch_id, PAGECOUNTS, target)
+    compact_days(
+        spark, target, PAGECOUNTS.stored, stored_days(spark, target),
+        shard_by=PAGECOUNTS.shard_by, sort_by=PAGECOUNTS.sort_by, lookup=PAGECOUNTS.lookup,
+    )
+    for batch_id, batch in enumerate(both):
+        ingest_batch(batch, batch_id, PAGECOUNTS, target)
+    rows = read_dates(spark, target, PAGECOUNTS.stored, None)
+    held = rows.groupBy("date").agg(F.countDistinct("_batch_id").alias("n_directories"))
+    return rows.join(held, "date").select(*PAGECOUNTS.columns.names, "n_directories")
+
+
 def stream_ingest_pagecounts(spark: SparkSession, folder: str) -> DataFrame:
     source, root = scratch_path(spark, "arrivals"), scratch_path(spark, "serving")
     counts = standins.pagecounts(standins.events(spark, folder))
@@ -445,6 +485,8 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "external_tables_report": external_tables_report,
         "external_catalog_report": external_catalog_report,
         "late_hours_load": late_hours_load,
+        "article_index_report": article_index_report,
+        "compacted_ingest": compacted_ingest,
     }
 
 
@@ -613,6 +655,12 @@ def _own_oracle_sql() -> dict[str, str]:
           SELECT {_HOUR} AS hour, article_name, sum(count)::bigint AS pageviews
           FROM pagecounts WHERE article_name = '{ARTICLE}'
           GROUP BY interval_start_unixtime, article_name""",
+        "article_index_report": f"""
+          WITH pagecounts AS ({_counts()})
+          SELECT {_HOUR} AS hour, article_name, sum(count)::bigint AS pageviews
+          FROM pagecounts WHERE article_name = '{ARTICLE}'
+          GROUP BY interval_start_unixtime, article_name""",
+        "compacted_ingest": f"SELECT *, 1 AS n_directories FROM ({_INGESTED})",
         "serving_tables_all_hours": f"""
           WITH pagecounts AS ({_counts()}),
                served AS (

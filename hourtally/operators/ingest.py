@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,9 +14,12 @@ from hourtally import schemas
 from hourtally.functions.timegrain import HOUR, epoch_to_day
 from hourtally.operators.dedup import keep_greatest
 from hourtally.operators.mapping import project_mapping
+from hourtally.sources.compaction import current_directories, not_compacted
+from hourtally.sources.files import Store
+from hourtally.sources.index import Index
 from hourtally.sources.loads import ARRIVED, FILE
 from hourtally.sources.sinks import BATCH, write_replacing
-from hourtally.sources.tables import add_partitions, read_dates
+from hourtally.sources.tables import add_partitions, read_dates, read_directories
 
 
 @dataclass(frozen=True)
@@ -35,6 +38,19 @@ class ServingTable:
     shard_by: Sequence[str] = ()
     sort_by: Sequence[str] = ()
     lookup: Sequence[str] = ()
+    indexes: Sequence[Index] = ()
+
+    @property
+    def key_index(self) -> Index | None:
+        """What tells stored keys apart that do not hold the interval, and so may meet any row."""
+        if not self.unique_key or self.interval in self.unique_key:
+            return None
+        return Index(tuple(self.unique_key))
+
+    @property
+    def all_indexes(self) -> list[Index]:
+        key = self.key_index
+        return [*self.indexes, *([key] if key and key not in self.indexes else [])]
 
     @property
     def stored(self) -> StructType:
@@ -74,6 +90,11 @@ def keyed(table: ServingTable, *key: str) -> ServingTable:
     return replace(table, unique_key=key)
 
 
+def indexed(table: ServingTable, *columns: str, buckets: int = 64) -> ServingTable:
+    """The same table with an index on ``columns``, kept by the ingest."""
+    return replace(table, indexes=(*table.indexes, Index(columns, buckets)))
+
+
 def first_write_wins(
     batch: DataFrame, existing: DataFrame, key: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:
@@ -118,11 +139,11 @@ def _earlier_rows(
     A key that holds the interval can only meet rows of the batch's intervals. Only the days of the batch are listed, and the interval predicate lets the scan skip row
     groups of other hours, so an hourly load does not re-read its day, nor a late hour another
     one. Rows of this batch and of later ones are left out: a replay sees what the first
-    attempt saw. A key without the interval can meet any row, so all batches are read, of which
-    the scan takes the key columns alone.
+    attempt saw. A key without the interval can meet any row, so it is looked up in the index of
+    stored keys: only the buckets of the batch's keys are read, not the table.
     """
-    if table.interval not in table.unique_key:
-        return read_dates(spark, target, table.stored, None).where(F.col(BATCH) < batch_id)
+    if index := table.key_index:
+        return index.of_rows(spark, target, table.stored, rows).where(F.col(BATCH) < batch_id)
     interval = F.col(table.interval)
     spans = (
         rows.where(interval.isNotNull())
@@ -161,21 +182,52 @@ def ingest_batch(
     table: ServingTable,
     target: str,
     database: str | None = None,
-) -> None:
-    """Insert one batch. Repeating a batch with the same rows leaves the same table.
+) -> list[Row]:
+    """Insert one batch, and return its directories. Repeating a batch with the same rows leaves the
+    same table.
 
     Each batch owns the ``_batch_id`` directory below its days and replaces only that. Ids
-    count up, and a target has one writer. The catalog table in ``database``, if one is named,
+    count up, and a target has one writer. Days that a compaction has closed for this batch take
+    no rows: they have them already. The table's indexes learn of the batch after its rows. The catalog table in ``database``, if one is named,
     is told of the new directories.
     """
     spark = source.sparkSession
+    build_indexes(spark, table, target)
     rows = rows_to_insert(spark, source, batch_id, table, target)
     stored = write_replacing(
-        rows.withColumn("date", table.day()).withColumn(BATCH, F.lit(batch_id).cast("bigint")),
+        not_compacted(rows.withColumn("date", table.day()), target, batch_id)
+        .withColumn(BATCH, F.lit(batch_id).cast("bigint")),
         target,
         shard_by=table.shard_by,
         sort_by=table.sort_by,
         lookup=table.lookup,
     )
+    if table.all_indexes:
+        new = read_directories(spark, target, table.stored, stored)
+        for index in table.all_indexes:
+            index.add(new, target)
     if database is not None:
         add_partitions(spark, database, table.name, stored)
+    return stored
+
+
+def build_indexes(spark: SparkSession, table: ServingTable, target: str) -> None:
+    """Index what ``target`` holds, where an index of the table is not there yet. Reads all of it
+    once."""
+    for index in table.all_indexes:
+        if not index.exists(spark, target):
+            index.add(read_dates(spark, target, table.stored, None), target)
+            Store(spark, target).make_folder(index.path(target))
+
+
+def read_indexed(
+    spark: SparkSession, table: ServingTable, target: str, columns: Sequence[str], *values: str | int
+) -> DataFrame:
+    """The rows with these values in ``columns``, which have an index. Only the directories that the
+    index names are opened."""
+    (index,) = (i for i in table.all_indexes if i.columns == tuple(columns))
+    found = index.directories(spark, target, table.stored, *values)
+    rows = read_directories(spark, target, table.stored, current_directories(spark, target, found))
+    for column, value in zip(columns, values, strict=True):
+        rows = rows.where(F.col(column) == F.lit(value))
+    return rows

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
 from py4j.java_gateway import JavaObject
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 
 class Store:
@@ -28,10 +29,17 @@ class Store:
 
     def folders(self, path: str) -> list[str]:
         """Names of the folders right below ``path``; none if it is absent."""
+        return self._names(path, True)
+
+    def files(self, path: str) -> list[str]:
+        """Names of the files right below ``path``; none if it is absent."""
+        return self._names(path, False)
+
+    def _names(self, path: str, folders: bool) -> list[str]:
         if not self.exists(path):
             return []
         found = self._fs.listStatus(self.path(path))
-        return sorted(f.getPath().getName() for f in found if f.isDirectory())
+        return sorted(f.getPath().getName() for f in found if f.isDirectory() == folders)
 
     def move(self, source: str, target: str) -> None:
         if not self._fs.rename(self.path(source), self.path(target)):
@@ -82,3 +90,23 @@ def read_or_none(read: Callable[[], DataFrame]) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+
+
+def read_all(reader: DataFrameReader, root: str, names: Sequence[str]) -> DataFrame | None:
+    """The parquet files below the folders, or of the patterns, ``names`` of ``root``; None if there
+    are none. Those that nothing matches are passed over."""
+    if not names:
+        return None
+    root = root.rstrip("/")
+    reader = reader.option("basePath", root)
+    # One by one they are looked up at the same time, but must all be there; as alternatives of one
+    # pattern they need not.
+    each = read_or_none(lambda: reader.parquet(*(f"{root}/{n}" for n in names)))
+    if each is not None:
+        return each
+    return read_or_none(lambda: reader.parquet(f"{root}/{{{','.join(names)}}}"))
+
+
+def as_pattern(name: str) -> str:
+    """The name as a pattern: signs that mean something in patterns stand for any one sign."""
+    return re.sub(r"[][{}*?,^\\]", "?", name)

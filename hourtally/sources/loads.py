@@ -9,7 +9,6 @@ written after its data: a load that was cut off leaves none, and is loaded again
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType, TimestampType
 
-from hourtally.sources.files import read_or_none
+from hourtally.sources.files import as_pattern, read_all, read_or_none
 
 # When and in which file a row arrived, where the source tells: of rows with one key the first
 # counts, however the files are cut into batches.
@@ -76,11 +75,10 @@ def read_loaded(
     Opens the directories that the records name, one pattern for each, and no other. A pattern that
     nothing matches any more is passed over.
     """
-    patterns = sorted(f"{_literal(d)}/{r['load']}-*" for r in records for d in r["directories"] or [])
-    root = table.rstrip("/")
-    reader = spark.read.schema(schema).option("basePath", root)
-    found = patterns and read_or_none(lambda: reader.parquet(f"{root}/{{{','.join(patterns)}}}"))
-    return with_arrival(found) if found else spark.createDataFrame([], arriving(schema))
+    # The load's own name keeps a pattern from matching files of others.
+    patterns = sorted(f"{as_pattern(d)}/{r['load']}-*" for r in records for d in r["directories"] or [])
+    found = read_all(spark.read.schema(schema), table, patterns)
+    return spark.createDataFrame([], arriving(schema)) if found is None else with_arrival(found)
 
 
 def with_arrival(files: DataFrame) -> DataFrame:
@@ -94,9 +92,3 @@ def with_arrival(files: DataFrame) -> DataFrame:
 
 def arriving(schema: StructType) -> StructType:
     return StructType([*schema.fields]).add(ARRIVED, TimestampType()).add(FILE, StringType())
-
-
-def _literal(directory: str) -> str:
-    """The directory as a pattern. Signs that mean something in patterns stand for any one sign; the
-    load's own name keeps this from matching files of others."""
-    return re.sub(r"[][{}*?,^\\]", "?", directory)

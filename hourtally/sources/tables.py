@@ -18,7 +18,7 @@ from hourtally.schemas import (
     PAGECOUNTS_EXTERNAL,
     PAGECOUNTS_SERVING,
 )
-from hourtally.sources.files import read_or_none
+from hourtally.sources.files import as_pattern, directory, read_all, read_or_none
 from hourtally.sources.loads import read_records
 from hourtally.sources.sinks import BATCH
 
@@ -42,6 +42,17 @@ def read_dates(
     return spark.createDataFrame([], schema) if found is None else found
 
 
+def read_directories(
+    spark: SparkSession, path: str, schema: StructType, directories: Iterable[Row]
+) -> DataFrame:
+    """The rows of some directories, given as rows of their values; no other is listed, and absent
+    ones are empty."""
+    names = (directory(spark, list(d.asDict()), tuple(d)) for d in directories)
+    reader = spark.read.schema(schema)
+    found = read_all(reader, path, sorted({as_pattern(n) for n in names}))
+    return spark.createDataFrame([], schema) if found is None else found.select(*schema.names)
+
+
 def _days(first: str, last: str) -> list[str]:
     start, stop = date.fromisoformat(first), date.fromisoformat(last)
     return [(start + timedelta(days=n)).isoformat() for n in range((stop - start).days + 1)]
@@ -138,7 +149,19 @@ def add_partitions(
     spark: SparkSession, database: str, name: str, directories: Iterable[Row]
 ) -> None:
     """Tell the catalog of directories, given as rows of their values. Repeating it changes nothing."""
+    _alter(spark, database, name, "ADD IF NOT EXISTS {}", " ", directories)
 
+
+def drop_partitions(
+    spark: SparkSession, database: str, name: str, directories: Iterable[Row]
+) -> None:
+    """Tell the catalog that some directories are gone."""
+    _alter(spark, database, name, "DROP IF EXISTS {}", ", ", directories)
+
+
+def _alter(
+    spark: SparkSession, database: str, name: str, change: str, between: str, directories: Iterable[Row]
+) -> None:
     def value(v: str | int | None) -> str:
         return "NULL" if v is None else _quoted(v) if isinstance(v, str) else str(v)
 
@@ -147,8 +170,8 @@ def add_partitions(
         for row in directories
     ]
     for n in range(0, len(parts), _AT_ONCE):
-        some = " ".join(parts[n : n + _AT_ONCE])
-        spark.sql(f"ALTER TABLE {qualified(database, name)} ADD IF NOT EXISTS {some}")
+        some = between.join(parts[n : n + _AT_ONCE])
+        spark.sql(f"ALTER TABLE {qualified(database, name)} {change.format(some)}")
 
 
 # --- external tables ----------------------------------------------------------

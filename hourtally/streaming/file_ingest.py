@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from hourtally.operators.ingest import ServingTable, ingest_batch
 from hourtally.schemas import schema_of
+from hourtally.sources.compaction import compact_days, finish_compactions, stored_days
 from hourtally.sources.files import Store
 from hourtally.sources.loads import RECORD, read_loaded, records_path, with_arrival
 from hourtally.sources.sinks import BATCH
@@ -35,7 +37,8 @@ class FileIngest:
     source therefore reads all files again: an old checkpoint is never read with a new mapping.
     The target stays: what it serves is kept, keys it holds are skipped, and the batch ids of a
     new definition continue above those stored. ``generation`` starts over with an unchanged
-    definition. A table declared in ``database`` shows each batch once it is loaded.
+    definition. A table declared in ``database`` shows each batch once it is loaded. A day that a
+    batch leaves with more than ``most_directories`` directories is compacted right after it.
     """
 
     table: ServingTable
@@ -46,6 +49,7 @@ class FileIngest:
     source_schema: StructType | None = None
     database: str | None = None
     listed: bool = False
+    most_directories: int | None = None
 
     @property
     def definition(self) -> str:
@@ -89,6 +93,7 @@ class FileIngest:
         cuts a backlog into batches; all of it is loaded, and the file that arrived first wins
         within a batch as it does between batches.
         """
+        finish_compactions(spark, self.target, self.database, self.table.name)
         first_id = self._first_batch_id(spark)
         arriving = self._files(spark) if self.listed else self._records(spark)
 
@@ -96,7 +101,7 @@ class FileIngest:
             if not self.listed:
                 records = batch.select("load", "directories").collect()  # one row for each load
                 batch = read_loaded(spark, self.source, records, self._schema)
-            ingest_batch(batch, first_id + batch_id, self.table, self.target, self.database)
+            self._load(batch, first_id + batch_id)
 
         writer = arriving.writeStream.foreachBatch(load)
         writer = writer.option("checkpointLocation", self.checkpoint)
@@ -104,6 +109,32 @@ class FileIngest:
             return writer.trigger(processingTime=every).start()
         return writer.trigger(availableNow=True).start()
 
+    def _load(self, batch: DataFrame, batch_id: int) -> None:
+        stored = ingest_batch(batch, batch_id, self.table, self.target, self.database)
+        if self.most_directories:
+            days = {r["date"] for r in stored if r["date"] is not None}
+            self.compact(batch.sparkSession, days, self.most_directories)
+
+    def compact(
+        self, spark: SparkSession, days: Iterable[str] | None = None, most: int = 1
+    ) -> list[str]:
+        """Rewrite as one directory each those of ``days`` (None: all) that have more than ``most``;
+        returns them. Not while the pipeline runs, which does this by itself with
+        ``most_directories``."""
+        t = self.table
+        return compact_days(
+            spark,
+            self.target,
+            t.stored,
+            stored_days(spark, self.target) if days is None else days,
+            most,
+            t.shard_by,
+            t.sort_by,
+            t.lookup,
+            self.database,
+            t.name,
+        )
+
     @property
     def _schema(self) -> StructType:
         return self.source_schema or self.table.source
