@@ -5,16 +5,19 @@ path of the url starts with the rule's; the longest rule that fits wins.
 
 Every url is expanded into expressions, a suffix of its host with a prefix of its path that ends in
 ``/``, and every rule has one such expression: its host with its path up to the last ``/``. They are
-joined on the first ``PREFIX`` hex digits of the expressions' SHA-256, which keeps the key short;
-the full digest and the whole path of the rule then confirm the hit. Only the label counts and
+joined on the first ``PREFIX`` hex digits of the expressions' SHA-256, a number; only for the hits
+the digest is made again, and in full it confirms them together with the rule's path. Only the label counts and
 depths that rules have are expanded, so the rows made do not depend on how long urls are.
 
-Urls with the same host and path are judged once, before anything is joined.
+Urls with the same host and path are judged once, before anything is joined. Urls without a host are
+in no join, and the verdict on a host and path that very many pages have goes back to them by a join
+that Spark can cut.
 
 Defined results: a null url and one without ``://`` have an empty host and path, no rule and the
 verdict of no rule. Rules without a host, a path that begins with ``/`` or a verdict fit nothing, and
 an empty rules table allows everything. Of equally long rules the one with the
-longer host wins, of equal rules a block. Repeated rows are each returned.
+longer host wins, of equal rules a block. Repeated rows, and rows without an id, are each returned.
+Very long urls are whole texts as others. An empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm.tables import literal_rows, table
+from hourtally.llm.tables import dealt, literal_rows, table
 
 # The verdict where no rule fits.
 NO_RULE = "allow"
@@ -50,6 +53,11 @@ def _digest(host: Column, path: Column) -> Column:
     return F.sha2(F.concat(host, path), 256)
 
 
+def _short(digest: Column) -> Column:
+    """The first digits of a digest, as the number that they write."""
+    return F.conv(F.substring(digest, 1, PREFIX), 16, 10).cast("bigint")
+
+
 def _labels(host: Column) -> Column:
     return F.size(F.split(host, r"\.", -1))
 
@@ -80,7 +88,7 @@ def url_verdicts(pages: DataFrame, rules: DataFrame) -> DataFrame:
             "depth": depth,
             "rule_digest": _digest(F.col("rule_host"), _folder(F.col("rule_path"), depth)),
         }
-    ).withColumn("short", F.substring("rule_digest", 1, PREFIX))
+    ).withColumn("short", _short(F.col("rule_digest")))
     # A few pairs however many rules there are: label counts and depths.
     shapes = rules.select("labels", "depth").distinct().collect()
     if not shapes:
@@ -91,24 +99,19 @@ def url_verdicts(pages: DataFrame, rules: DataFrame) -> DataFrame:
 
     # One row for each host and path, however many pages have it.
     distinct = pages.where("host <> '' and path like '/%'").select("host", "path").distinct()
+    suffix = F.call_function("substring_index", F.col("host"), F.lit("."), -F.col("shape.labels"))
+    digest = _digest(suffix, _folder(F.col("path"), F.col("shape.depth")))
     expressions = (
         distinct.select("host", "path", shape.alias("shape"))
         .where(_labels(F.col("host")) >= F.col("shape.labels"))
         .where(_depth(F.col("path")) >= F.col("shape.depth"))
-        .withColumn(
-            "digest",
-            _digest(
-                F.call_function(
-                    "substring_index", F.col("host"), F.lit("."), -F.col("shape.labels")
-                ),
-                _folder(F.col("path"), F.col("shape.depth")),
-            ),
-        )
-        .select("host", "path", "digest", F.substring("digest", 1, PREFIX).alias("short"))
+        .withColumn("short", _short(digest))
     )
+    # Not written as an equation, of which Spark would make a second join key.
+    confirmed = (digest >= F.col("rule_digest")) & (digest <= F.col("rule_digest"))
     hits = (
         expressions.join(rules, "short")
-        .where("digest = rule_digest and startswith(path, rule_path)")
+        .where(confirmed & F.startswith("path", "rule_path"))
         .withColumn("rule", F.concat("rule_host", "rule_path"))
     )
     rank = F.struct(
@@ -116,7 +119,10 @@ def url_verdicts(pages: DataFrame, rules: DataFrame) -> DataFrame:
         (F.col("verdict") == "block").alias("blocks"), "rule", "verdict",
     )
     judged = hits.groupBy("host", "path").agg(F.max(rank).alias("best"))
-    return pages.join(judged, ["host", "path"], "left").select(
+    hosted = F.col("host") != ""
+    ruled = pages.where(hosted).join(dealt(judged, "host", "path"), ["host", "path"], "left")
+    free = pages.where(~hosted).withColumn("best", F.lit(None).cast(judged.schema["best"].dataType))
+    return ruled.unionByName(free).select(
         "page_id",
         "url",
         "host",

@@ -50,6 +50,20 @@ def test_urls_like_brute_force(spark, rules):
     assert got == {i: judged(u, rules) for i, u in enumerate(urls)}
 
 
+def test_the_short_number_is_the_only_key(spark, plan):
+    pages = spark.createDataFrame([(i, URLS[i % len(URLS)]) for i in range(99)], "page_id bigint, url string")
+    rules = spark.createDataFrame(list(uf.RULES) * 5, "host string, path string, verdict string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = plan(uf.url_verdicts(pages, rules))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line.split("SortMergeJoin ")[1] for line in found.split("\n") if "SortMergeJoin" in line]
+    assert len(joins) == 2 and any(re.match(r"\[short#\d+L\], \[short#\d+L\], Inner", j) for j in joins)
+    assert "Python" not in found and "Arrow" not in found
+
+
 def test_urls_without_rules_or_pages(spark):
     pages = spark.createDataFrame([(1, "x://a.net/")], "page_id bigint, url string")
     none = spark.createDataFrame([], "host string, path string, verdict string")
