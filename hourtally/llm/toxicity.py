@@ -205,10 +205,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
             "slot",
             *(F.aggregate(F.col("parts")[c], F.lit(0.0), lambda a, x: a + x).alias(c) for c in "zn"),
         )
-        rows_added = added.toPandas()  # at most 2^BITS + 1
-        at = rows_added["slot"].to_numpy()
-        agreed.z[at] += rows_added["z"].to_numpy() / shards
-        agreed.n[at] += rows_added["n"].to_numpy() / shards
+        total = added.toArrow()  # at most 2^BITS + 1 rows, as columns
+        at = total["slot"].to_numpy()
+        agreed.z[at] += total["z"].to_numpy() / shards
+        agreed.n[at] += total["n"].to_numpy() / shards
         sums.destroy()
     weights = agreed.weights(np.arange((1 << BITS) + 1))
     used = np.flatnonzero(weights[:-1])
