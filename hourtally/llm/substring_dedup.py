@@ -344,7 +344,7 @@ def drop_repeated_passages(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out, all columns kept. Documents of which no word is
     left go, unless they had none."""
     found = substring_dedup(docs)
-    left = found.where("size(removed) = 0 or length(trim(text)) > 0")
+    left = found.where((F.size("removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     columns = {f.name: F.col(f"rest.`{f.name}`") for f in found.schema["rest"].dataType}
     columns |= {"doc_id": F.col("doc_id"), "text": F.col("text")}
     changed = F.size("removed") > 0

@@ -117,3 +117,9 @@ def test_query(spark, sample):
     want = brute([(r.doc_id, r.text) for r in sample("documents").collect()])
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in got.collect()} == want
     assert got.where(F.col("n_removed") > 0).count() > 0
+
+
+def test_copies_that_keep_nothing_but_blanks_go(spark, corpus):
+    text = " ".join(f"w{i}" for i in range(30))
+    docs = corpus([(1, text), (2, "\n" + text), (3, "\t " + text + " \x0b"), (4, text), (5, " \n"), (6, None), (7, "")])
+    assert sorted(r.doc_id for r in sd.drop_repeated_passages(docs).collect()) == [1, 5, 6, 7]
