@@ -31,6 +31,7 @@ from hourtally.operators.ingest import (
     ingest_batch,
     keyed,
     read_indexed,
+    with_totals,
 )
 from hourtally.plans import jobs, reports, sql
 from hourtally.schemas import MEDIA_MEASURES, PAGECOUNTS_EXTERNAL
@@ -338,6 +339,21 @@ def compacted_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(held, "date").select(*PAGECOUNTS.columns.names, "n_directories")
 
 
+def totals_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The dashboard panel from the partial sums that the ingest keeps, after a replay."""
+    target, arrivals = scratch_path(spark, "pagecounts"), scratch_path(spark, "arrivals")
+    standins.pagecounts(standins.events(spark, folder)).write.parquet(arrivals)
+    counts = spark.read.schema(PAGECOUNTS.source).parquet(arrivals)
+    table = with_totals(
+        PAGECOUNTS, "interval_start_unixtime", "project_name", measures=["count"]
+    )
+    later = _second_arrival(counts)
+    for batch_id, batch in ((0, counts), (1, later), (1, later)):
+        ingest_batch(batch, batch_id, table, target)
+    sums = table.totals[0].read(spark, target, table.stored)
+    return reports.hourly_rows_and_views(sums, LO, HI)
+
+
 def stream_ingest_pagecounts(spark: SparkSession, folder: str) -> DataFrame:
     source, root = scratch_path(spark, "arrivals"), scratch_path(spark, "serving")
     counts = standins.pagecounts(standins.events(spark, folder))
@@ -487,6 +503,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "late_hours_load": late_hours_load,
         "article_index_report": article_index_report,
         "compacted_ingest": compacted_ingest,
+        "totals_report": totals_report,
     }
 
 
@@ -660,6 +677,7 @@ def _own_oracle_sql() -> dict[str, str]:
           SELECT {_HOUR} AS hour, article_name, sum(count)::bigint AS pageviews
           FROM pagecounts WHERE article_name = '{ARTICLE}'
           GROUP BY interval_start_unixtime, article_name""",
+        "totals_report": f"WITH pagecounts AS ({_INGESTED}) " + _PANEL.format(lo=LO, hi=HI, more=""),
         "compacted_ingest": f"SELECT *, 1 AS n_directories FROM ({_INGESTED})",
         "serving_tables_all_hours": f"""
           WITH pagecounts AS ({_counts()}),

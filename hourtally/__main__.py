@@ -62,6 +62,10 @@ def parser() -> argparse.ArgumentParser:
             "--listed", action="store_true", help="files without load records: list all of --source"
         )
         ingest.add_argument("--generation", type=int, default=0)
+        ingest.add_argument(
+            "--most-directories", type=int, help="compact days that a batch leaves with more"
+        )
+        ingest.add_argument("--take-over", action="store_true", help="from a driver that is lost")
     report = commands.add_parser("report")
     report.add_argument("name", choices=REPORTS)
     report.add_argument("--table", required=True)
@@ -107,10 +111,11 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     table = PAGECOUNTS if args.command == "ingest-pagecounts" else MEDIACOUNTS
     files = FileIngest(
-        table, args.source, args.root, args.generation, args.max_files, listed=args.listed
-    )
+        table, args.source, args.root, args.generation, args.max_files, listed=args.listed,
+        most_directories=args.most_directories, take_over=args.take_over,
+    )
     print(files.target)
-    files.start(spark, args.every).awaitTermination()
+    files.run(spark, args.every)
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:

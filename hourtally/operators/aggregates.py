@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourtally.functions.timegrain import epoch_to_ntz
+from hourtally.sources.totals import ROWS
 
 
 def views_by_hour(df: DataFrame, *pinned: str) -> DataFrame:
@@ -24,11 +25,13 @@ def views_by_hour(df: DataFrame, *pinned: str) -> DataFrame:
 
 
 def rows_and_views_by_hour(df: DataFrame) -> DataFrame:
-    """Rows (project-article pairs) and views per hour, in no order."""
+    """Rows (project-article pairs) and views per hour, in no order. ``df`` may hold partial sums, which
+    know the number of their rows."""
     epoch = "interval_start_unixtime"
+    pairs = F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
     return (
         df.groupBy(epoch)
-        .agg(F.count(F.lit(1)).alias("pairs"), F.sum("count").alias("views"))
+        .agg(pairs.alias("pairs"), F.sum("count").alias("views"))
         .select(
             epoch_to_ntz(F.col(epoch)).alias("hr"),
             F.col("pairs").alias("Pages Viewed"),

@@ -20,6 +20,7 @@ from hourtally.sources.index import Index
 from hourtally.sources.loads import ARRIVED, FILE
 from hourtally.sources.sinks import BATCH, write_replacing
 from hourtally.sources.tables import add_partitions, read_dates, read_directories
+from hourtally.sources.totals import Totals
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,12 @@ class ServingTable:
     sort_by: Sequence[str] = ()
     lookup: Sequence[str] = ()
     indexes: Sequence[Index] = ()
+    totals: Sequence[Totals] = ()
+
+    @property
+    def kept_beside(self) -> list[Index | Totals]:
+        """What the ingest keeps up to date beside the table."""
+        return [*self.all_indexes, *self.totals]
 
     @property
     def key_index(self) -> Index | None:
@@ -95,6 +102,11 @@ def indexed(table: ServingTable, *columns: str, buckets: int = 64) -> ServingTab
     return replace(table, indexes=(*table.indexes, Index(columns, buckets)))
 
 
+def with_totals(table: ServingTable, *by: str, measures: Sequence[str]) -> ServingTable:
+    """The same table with partial sums, kept by the ingest."""
+    return replace(table, totals=(*table.totals, Totals(by, tuple(measures))))
+
+
 def first_write_wins(
     batch: DataFrame, existing: DataFrame, key: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:
@@ -188,11 +200,11 @@ def ingest_batch(
 
     Each batch owns the ``_batch_id`` directory below its days and replaces only that. Ids
     count up, and a target has one writer. Days that a compaction has closed for this batch take
-    no rows: they have them already. The table's indexes learn of the batch after its rows. The catalog table in ``database``, if one is named,
+    no rows: they have them already. The table's indexes and totals learn of the batch after its rows. The catalog table in ``database``, if one is named,
     is told of the new directories.
     """
     spark = source.sparkSession
-    build_indexes(spark, table, target)
+    build_beside(spark, table, target)
     rows = rows_to_insert(spark, source, batch_id, table, target)
     stored = write_replacing(
         not_compacted(rows.withColumn("date", table.day()), target, batch_id)
@@ -202,22 +214,22 @@ def ingest_batch(
         sort_by=table.sort_by,
         lookup=table.lookup,
     )
-    if table.all_indexes:
+    if table.kept_beside:
         new = read_directories(spark, target, table.stored, stored)
-        for index in table.all_indexes:
-            index.add(new, target)
+        for kept in table.kept_beside:
+            kept.add(new, target)
     if database is not None:
         add_partitions(spark, database, table.name, stored)
     return stored
 
 
-def build_indexes(spark: SparkSession, table: ServingTable, target: str) -> None:
-    """Index what ``target`` holds, where an index of the table is not there yet. Reads all of it
+def build_beside(spark: SparkSession, table: ServingTable, target: str) -> None:
+    """Indexes and totals of what ``target`` holds, where they are not there yet. Reads all of it
     once."""
-    for index in table.all_indexes:
-        if not index.exists(spark, target):
-            index.add(read_dates(spark, target, table.stored, None), target)
-            Store(spark, target).make_folder(index.path(target))
+    for kept in table.kept_beside:
+        if not kept.exists(spark, target):
+            kept.add(read_dates(spark, target, table.stored, None), target)
+            Store(spark, target).make_folder(kept.path(target))
 
 
 def read_indexed(

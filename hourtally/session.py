@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -47,11 +48,14 @@ def build_session(app: str = "hourtally", master: str | None = None, **conf: str
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path nobody has used, for data written once and read back.
 
-    It lies in the folder ``spark.checkpoint.dir`` names, which every executor sees. A session
-    without that setting, as in a quick trial, gets a folder in the warehouse, which is shared as
-    well. What is left there is for the cluster's retention rule to clear.
+    It lies in the folder ``spark.checkpoint.dir`` names, which every executor sees. Without that
+    setting a session whose executors are threads of the driver, as in a quick trial, gets a folder
+    in its warehouse; any other is refused, as its executors may not share one. What is left there
+    is for the cluster's retention rule to clear.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.scratch"
     return f"{base.rstrip('/')}/hourtally-{uuid.uuid4().hex}/{name}"

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +14,18 @@ from pyspark.sql.types import StructType
 
 from hourtally.operators.ingest import ServingTable, ingest_batch
 from hourtally.schemas import schema_of
-from hourtally.sources.compaction import compact_days, finish_compactions, stored_days
+from hourtally.sources.compaction import (
+    batches,
+    closed_days,
+    compact_days,
+    finish_compactions,
+    stored_days,
+)
 from hourtally.sources.files import Store
 from hourtally.sources.loads import RECORD, read_loaded, records_path, with_arrival
 from hourtally.sources.sinks import BATCH
 from hourtally.sources.tables import declare_table, qualified, read_dates
+from hourtally.streaming.claims import Claim
 
 # Batch ids that each definition of a pipeline has to itself.
 IDS = 1 << 40
@@ -39,6 +46,10 @@ class FileIngest:
     new definition continue above those stored. ``generation`` starts over with an unchanged
     definition. A table declared in ``database`` shows each batch once it is loaded. A day that a
     batch leaves with more than ``most_directories`` directories is compacted right after it.
+
+    A target has one writer: a start is refused while another driver's claim holds, whatever its
+    definition. ``take_over`` replaces a driver that is known to be lost; if it is not, it stops
+    before its next batch.
     """
 
     table: ServingTable
@@ -50,6 +61,7 @@ class FileIngest:
     database: str | None = None
     listed: bool = False
     most_directories: int | None = None
+    take_over: bool = False
 
     @property
     def definition(self) -> str:
@@ -93,11 +105,24 @@ class FileIngest:
         cuts a backlog into batches; all of it is loaded, and the file that arrived first wins
         within a batch as it does between batches.
         """
-        finish_compactions(spark, self.target, self.database, self.table.name)
+        return self._start(spark, every)[0]
+
+    def _start(self, spark: SparkSession, every: str | None) -> tuple[StreamingQuery, Claim]:
+        claim = self._claim(spark)
+        try:
+            return claim.follow(self._query(spark, every, claim)), claim
+        except BaseException:
+            claim.release(spark)
+            raise
+
+    def _query(self, spark: SparkSession, every: str | None, claim: Claim) -> StreamingQuery:
+        for path, name in self._stored_paths():
+            finish_compactions(spark, path, self.database, name)
         first_id = self._first_batch_id(spark)
         arriving = self._files(spark) if self.listed else self._records(spark)
 
         def load(batch, batch_id):
+            claim.check(batch.sparkSession)
             if not self.listed:
                 records = batch.select("load", "directories").collect()  # one row for each load
                 batch = read_loaded(spark, self.source, records, self._schema)
@@ -105,9 +130,26 @@ class FileIngest:
 
         writer = arriving.writeStream.foreachBatch(load)
         writer = writer.option("checkpointLocation", self.checkpoint)
-        if every:
-            return writer.trigger(processingTime=every).start()
-        return writer.trigger(availableNow=True).start()
+        trigger = {"processingTime": every} if every else {"availableNow": True}
+        return writer.trigger(**trigger).start()
+
+    @property
+    def _claims(self) -> str:
+        return f"{self.root.rstrip('/')}/{self.table.name}/_writers"
+
+    def _claim(self, spark: SparkSession) -> Claim:
+        what = {"definition": self.definition, "source": self.source, "generation": self.generation}
+        return Claim.take(spark, self._claims, what, self.take_over)
+
+    def replaced(self, spark: SparkSession) -> FileIngest:
+        """The same definition, to be started over: in a generation above the last one claimed."""
+        _, last = Claim.newest(spark, self._claims)
+        return replace(self, generation=max(self.generation, last.get("generation", 0)) + 1)
+
+    def _stored_paths(self) -> list[tuple[str, str | None]]:
+        """Folders with directories by day and batch, and the name in the catalog of the first."""
+        beside = [(t.path(self.target), None) for t in self.table.totals]
+        return [(self.target, self.table.name), *beside]
 
     def _load(self, batch: DataFrame, batch_id: int) -> None:
         stored = ingest_batch(batch, batch_id, self.table, self.target, self.database)
@@ -122,18 +164,19 @@ class FileIngest:
         returns them. Not while the pipeline runs, which does this by itself with
         ``most_directories``."""
         t = self.table
-        return compact_days(
-            spark,
-            self.target,
-            t.stored,
-            stored_days(spark, self.target) if days is None else days,
-            most,
-            t.shard_by,
-            t.sort_by,
-            t.lookup,
-            self.database,
-            t.name,
-        )
+        days = stored_days(spark, self.target) if days is None else list(days)
+        done = compact_days(
+            spark, self.target, t.stored, days, most, t.shard_by, t.sort_by, t.lookup,
+            self.database, t.name,
+        )
+        # The totals follow the table: a batch that may still be replayed keeps its own directory.
+        closed = closed_days(spark, self.target) if t.totals else {}
+        for totals in t.totals:
+            path, columns = totals.path(self.target), totals.schema(t.stored)
+            last = {d: max(batches(spark, path, d), default=0) for d in days if d in closed}
+            some = [d for d, batch in last.items() if batch <= closed[d]]
+            compact_days(spark, path, columns, some, most, sort_by=totals.by)
+        return done
 
     @property
     def _schema(self) -> StructType:
@@ -165,6 +208,15 @@ class FileIngest:
             return first
         return known["first_batch_id"]
 
+    def run(self, spark: SparkSession, every: str | None = None) -> None:
+        """``start`` and wait for the end, then let others write."""
+        query, claim = self._start(spark, every)
+        try:
+            query.awaitTermination()
+        finally:
+            query.stop()
+            claim.release(spark)
+
     def run_available(self, spark: SparkSession) -> None:
         """Load all that has arrived, then return."""
-        self.start(spark).awaitTermination()
+        self.run(spark)
