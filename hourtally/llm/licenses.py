@@ -16,11 +16,15 @@ All of it is column functions on whole texts, in one pass without a shuffle. Eve
 contains one of ``MARKERS``, so texts without any of them are passed over.
 
 Defined results: texts without a known sentence, null and empty ones included, give no row; a text
-whose known sentences fit no rule gives a row with no licence. Repeated rows are each reported.
+whose known sentences fit no rule gives a row with no licence. Repeated rows, and rows without an
+id, are each reported. A very long text is scanned whole. An empty table gives no rows; columns
+other than id and text are not read.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +59,68 @@ SENTENCES = {
     "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd.names",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl.ref",
     "this is free and unencumbered software released into the public domain": "unlicense.ref",
+    "this project is licensed under the mit license": "mit.ref",
+    "this software is released under the mit license": "mit.ref",
+    "distributed under the mit license": "mit.ref",
+    "this source code is licensed under the mit license found in the license file in the root directory of this source tree": "mit.ref",
+    "licensed under the apache license 2 0": "apache.ref",
+    "released under the apache license version 2 0": "apache.ref",
+    "this project is licensed under the apache license 2 0": "apache.ref",
+    "licensed to the apache software foundation asf under one or more contributor license agreements": "apache.asf",
+    "the asf licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license": "apache.use",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation": "gpl2.ref",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 3 as published by the free software foundation": "gpl3.ref",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version": "lgpl21.later",
+    "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3.later",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl3.later",
+    "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "lgpl.hope",
+    "see the gnu lesser general public license for more details": "lgpl.see",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl3.later",
+    "see the gnu affero general public license for more details": "agpl.see",
+    "neither the name of the copyright owner nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd.names",
+    "all advertising materials mentioning features or use of this software must display the following acknowledgement": "bsd.advert",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc.grant",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc.grant",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted": "0bsd.grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc.basis",
+    "this software is provided as is without any express or implied warranty": "zlib.basis",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "zlib.liable",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib.grant",
+    "distributed under the boost software license version 1 0": "boost.ref",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "boost.grant",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0": "epl2.ref",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v 2 0 which is available at https www eclipse org legal epl 2 0": "epl2.ref",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html": "epl1.ref",
+    "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide": "cc0.ref",
+    "licensed under cc0 1 0": "cc0.ref",
+    "licensed under cc by nd 4 0": "ccbynd.ref",
+    "this work is licensed under a creative commons attribution noderivatives 4 0 international license": "ccbynd.ref",
+    "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license": "ccbyncsa.ref",
+    "licensed under cc by nc sa 4 0": "ccbyncsa.ref",
+    "this work is licensed under a creative commons attribution 3 0 unported license": "ccby3.ref",
+    "this work is licensed under a creative commons attribution sharealike 3 0 unported license": "ccbysa3.ref",
+    "this work is marked with cc0 1 0 universal": "cc0.ref",
 }
+# Identifiers that files name after "SPDX-License-Identifier:".
+SPDX = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Apache-2.0 OR MIT", "Artistic-2.0", "BSD-2-Clause",
+    "BSD-3-Clause", "BSD-4-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0",
+    "EPL-1.0", "EPL-2.0", "EUPL-1.2", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0",
+    "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only",
+    "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT", "MIT OR Apache-2.0", "MIT-0", "MPL-2.0",
+    "MS-PL", "MulanPSL-2.0", "NCSA", "OFL-1.1", "PostgreSQL", "Python-2.0", "Unlicense", "UPL-1.0", "WTFPL",
+    "Zlib", "ZPL-2.1",
+)
+
+
+def _spdx(name: str) -> tuple[str, str]:
+    """The sentence that names it, and its identifier. Signs are no words: GPL-2.0+ reads as GPL-2.0."""
+    words = " ".join(re.findall("[a-z0-9]+", name.lower()))
+    return f"spdx license identifier {words}", f"spdx.{words.replace(' ', '-')}"
+
+
+SPDX_SENTENCES = dict(_spdx(name) for name in SPDX)
+SENTENCES |= SPDX_SENTENCES
 # Sequences of sentences and the licence that they make up, the first that fits wins.
 RULES = (
     (("mit.grant", "mit.notice"), "MIT"),
@@ -71,6 +136,8 @@ RULES = (
     (("gpl2.later",), "GPL-2.0-or-later"),
     (("gpl3.ref",), "GPL-3.0-only"),
     (("gpl2.ref",), "GPL-2.0-only"),
+    (("bsd.use", "bsd.source", "bsd.binary", "bsd.advert", "bsd.names"), "BSD-4-Clause"),
+    (("bsd.use", "bsd.source", "bsd.binary", "bsd.advert"), "BSD-4-Clause"),
     (("bsd.use", "bsd.source", "bsd.binary", "bsd.names"), "BSD-3-Clause"),
     (("bsd.use", "bsd.source", "bsd.binary"), "BSD-2-Clause"),
     (("ccbync.ref",), "CC-BY-NC-4.0"),
@@ -78,8 +145,32 @@ RULES = (
     (("ccby.ref",), "CC-BY-4.0"),
     (("mpl.ref",), "MPL-2.0"),
     (("unlicense.ref",), "Unlicense"),
+    (("apache.asf", "apache.use", "apache.copy", "apache.basis", "apache.see"), "Apache-2.0"),
+    (("apache.asf", "apache.use"), "Apache-2.0"),
+    (("lgpl21.later", "lgpl.hope", "lgpl.see"), "LGPL-2.1-or-later"),
+    (("lgpl21.later",), "LGPL-2.1-or-later"),
+    (("lgpl3.later", "lgpl.hope", "lgpl.see"), "LGPL-3.0-or-later"),
+    (("lgpl3.later", "gpl.hope", "lgpl.see"), "LGPL-3.0-or-later"),
+    (("lgpl3.later",), "LGPL-3.0-or-later"),
+    (("agpl3.later", "gpl.hope", "agpl.see"), "AGPL-3.0-or-later"),
+    (("agpl3.later",), "AGPL-3.0-or-later"),
+    (("isc.grant", "isc.basis"), "ISC"),
+    (("isc.grant",), "ISC"),
+    (("0bsd.grant",), "0BSD"),
+    (("zlib.basis", "zlib.liable", "zlib.grant"), "Zlib"),
+    (("zlib.grant",), "Zlib"),
+    (("boost.ref",), "BSL-1.0"),
+    (("boost.grant",), "BSL-1.0"),
+    (("epl2.ref",), "EPL-2.0"),
+    (("epl1.ref",), "EPL-1.0"),
+    (("cc0.ref",), "CC0-1.0"),
+    (("ccbynd.ref",), "CC-BY-ND-4.0"),
+    (("ccbyncsa.ref",), "CC-BY-NC-SA-4.0"),
+    (("ccby3.ref",), "CC-BY-3.0"),
+    (("ccbysa3.ref",), "CC-BY-SA-3.0"),
+    *(((_spdx(name)[1],), name) for name in SPDX),
 )
-MARKERS = ("licen", "permission", "copyright", "redistribut", "warrant", "public domain")
+MARKERS = ("licen", "cc0", "liable", "advertising", "permission", "copyright", "redistribut", "warrant", "public domain")
 
 # Of OP8_SQL.
 _WRAP = r"\n[ \t]*([a-z(])"

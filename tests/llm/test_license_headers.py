@@ -135,3 +135,57 @@ def test_given_tables_have_what_the_sql_finds(spark, path):
     duck.sql(f"CREATE VIEW documents AS SELECT * FROM '/root/testdata/{path}/documents.parquet'")
     want = sorted(duck.sql(lc.OP8_SQL).fetchall())
     assert want and sorted(map(tuple, lc.op8_license_scan(spark, f"/root/testdata/{path}").collect())) == want
+
+
+LGPL = GPL.replace("GNU General", "GNU Lesser General").replace("This program", "This library").replace("{}", "2.1")
+AGPL = GPL.replace("GNU General", "GNU Affero General").replace("{}", "3")
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS."""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:"""
+BOOST = """//          Distributed under the Boost Software License, Version 1.0.
+//    (See accompanying file LICENSE_1_0.txt)"""
+EPL = """This program and the accompanying materials are made available under the
+terms of the Eclipse Public License v. 2.0 which is available at
+https://www.eclipse.org/legal/epl-2.0/."""
+ASF = """Licensed to the Apache Software Foundation (ASF) under one or more
+contributor license agreements.  The ASF licenses this file to You under
+the Apache License, Version 2.0 (the "License"); you may not use this file except in
+compliance with the License."""
+BSD_OWNER = BSD + BSD_3.replace("copyright holder", "copyright owner")
+MORE = [
+    (LGPL, "LGPL-2.1-or-later"), (AGPL, "AGPL-3.0-or-later"), (ISC, "ISC"), (ZLIB, "Zlib"), (BOOST, "BSL-1.0"),
+    (EPL, "EPL-2.0"), (ASF, "Apache-2.0"), (BSD_OWNER, "BSD-3-Clause"),
+    *((f"{mark} SPDX-License-Identifier: {name}{end}", name) for mark, end in (("//", ""), ("/*", " */"), ("#", "\n"))
+      for name in lc.SPDX),
+]
+
+
+def test_more_notices_plain_and_in_comments(spark):
+    texts = [(i, t) for i, (t, _) in enumerate(MORE)]
+    texts += [(1000 + i, "\n".join(f" * {line}" for line in t.split("\n"))) for i, (t, _) in enumerate(MORE[:8])]
+    found = lc.licence_scan(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()
+    got = {r.doc_id: r.licences for r in found}
+    assert {i: got.get(i) for i, _ in texts} == {i: [MORE[i % 1000][1]] for i, _ in texts}
+
+
+def test_every_sentence_has_a_marker_and_every_rule_can_win():
+    assert all(any(m in s for m in lc.MARKERS) for s in lc.SENTENCES)
+    assert {i for ids, _ in lc.RULES for i in ids} <= set(lc.SENTENCES.values())
+    rules = [ids for ids, _ in lc.RULES]
+    assert not [r for n, r in enumerate(rules) for before in rules[:n] if r[: len(before)] == before]
+
+
+def test_empty_and_awkward_texts(spark, corpus, awkward):
+    assert lc.licence_scan(corpus(awkward)).collect() == []
+    assert lc.licence_scan(corpus(awkward).where("false")).collect() == []
