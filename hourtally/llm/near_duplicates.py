@@ -8,8 +8,13 @@ bucket keys, and documents that share a bucket are compared on their full sets.
 Equal sets are one representative from the start, so groups of copies cost one row. Within a
 bucket nobody is compared with everybody: every round picks a leader by bucket and compares the
 others with it, and documents found connected need no more comparisons. What the rounds leave
-apart, buckets that hold several components, is joined on the rarest shingles of its members,
-which finds all of their links, so the components are the ones that all bucket pairs would give.
+apart, buckets that hold several components, is joined on the rarest shingles of its members.
+A shingle among the rarest of a document that still has more than ``CROWD`` holders, as in pages
+made from one template, is not joined on: that would compare all its holders with each other,
+though few are similar. Documents with such shingles get a second, finer signature, bands of
+``FINE_ROWS`` coordinates, whose buckets only similar documents share, and in as many bands as
+keep the probability of a missed pair where it is. So the components are the ones that all bucket
+pairs would give, up to that probability.
 
 The similarity from which documents are linked is a parameter, and the number of bands follows from
 it: a pair right at the limit shares no bucket with a probability of at most ``MISSED``. That takes
@@ -50,6 +55,9 @@ MISSED = 7e-7
 # Rounds of comparisons with one leader by bucket, before the pairs that are left.
 LEADER_ROUNDS = 2
 SKETCH_BITS = 1024
+# Holders of a shingle up to which they are compared for sharing it, and the rows of the bands that
+# tell apart those who share more frequent ones.
+CROWD, FINE_ROWS = 256, 12
 
 _SIGNATURE_TYPE = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>"
 _SET_TYPE = "doc_id bigint, shingles array<bigint>, sketch array<bigint>"
@@ -90,9 +98,9 @@ def signatures(sets: list[np.ndarray], n: int = ROWS * BANDS) -> np.ndarray:
     return out
 
 
-def bands_for(similarity: int) -> int:
+def bands_for(similarity: int, rows: int = ROWS) -> int:
     """The bands after which a pair of ``similarity`` percent is missed with at most ``MISSED``."""
-    return math.ceil(math.log(MISSED) / math.log1p(-((similarity / 100) ** ROWS)))
+    return math.ceil(math.log(MISSED) / math.log1p(-((similarity / 100) ** rows)))
 
 
 def band_keys(coordinates: np.ndarray, rows: int = ROWS) -> np.ndarray:
@@ -197,14 +205,35 @@ def _leader_pairs(left: DataFrame, turn: int, similarity: int) -> DataFrame:
     return _pairs(both, similarity)
 
 
+def _far(similarity: int) -> Column:
+    """Whether two members side by side differ in more places of their sketches than a link allows."""
+    total = F.col("n") + F.col("other_n")
+    needed = F.ceil(total * similarity / (100 + similarity) - 1e-9)
+    apart = sum(
+        F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i]))
+        for i in range(SKETCH_BITS // 64)
+    )
+    return apart > total - 2 * needed
+
+
+def _both(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` side by side with the others of their ``key``, each two once."""
+    names = [c for c in rows.columns if c not in (key, "rep")]
+    other = rows.select(key, F.col("rep").alias("other"), *(F.col(c).alias(f"other_{c}") for c in names))
+    return rows.join(other, key).where(F.col("rep") < F.col("other"))
+
+
 def _prefix_pairs(left: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """All pairs of the members that can still be linked, by their rarest shingles.
+    """The pairs of the members that can still be linked, by their rarest shingles.
 
     Sort every set by how many members hold a shingle, rarest first. Similar sets of n and m
     elements have at least c = s / (1 + s) * (n + m) in common, so their first common element is
     among the n - c + 1 first of the one and the m - c + 1 first of the other. Shingles that
     nobody else holds fill those places first and need not be joined. The join also compares the
     parity sketches, which never differ in more bits than the sets do in elements.
+
+    If the first common element of two sets is one of more than ``CROWD`` holders, both have it among
+    these first: such pairs are sought by ``_fine_pairs`` among the documents of which that is true.
     """
     members = left.select(F.col("rep").alias("doc_id"), "label").distinct()
     shingles = sets.join(members, "doc_id").select(
@@ -220,32 +249,63 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame, similarity: int) -> DataFram
     )
     # The other set has s * n elements at least, so no more than these places can matter.
     places = F.size("common") - F.floor((F.col("n") * similarity + 99) / 100).cast("int") + 1
-    first = (
+    prefixes = materialised(
         ranked.where(places > 0)
-        .select(
-            "rep", "label", "n", (F.col("n") - F.size("common")).alias("alone"),
-            F.posexplode(F.slice("common", 1, places)).alias("at", "entry"),
-        )
+        .withColumn("alone", F.col("n") - F.size("common"))
+        .withColumn("common", F.slice("common", 1, places)),
+        "prefixes",
+    )
+    first = (
+        prefixes.select("rep", "label", "n", "alone", F.posexplode("common").alias("at", "entry"))
+        .where(F.col("entry.holders") <= CROWD)
         .join(sets.select(F.col("doc_id").alias("rep"), "sketch"), "rep")
         .select(
             "rep", "label", "n", "sketch", F.col("entry.shingle").alias("shingle"),
             (F.col("n") - F.col("alone") - F.col("at")).alias("rest"),
         )
     )
-    other = first.select("shingle", *(F.col(c).alias(f"other_{c}") for c in first.columns[:4]),
-                         F.col("rest").alias("other_rest")).withColumnRenamed("other_rep", "other")
-    total = F.col("n") + F.col("other_n")
-    needed = F.ceil(total * similarity / (100 + similarity) - 1e-9)
-    apart = sum(
-        F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other_sketch")[i]))
-        for i in range(SKETCH_BITS // 64)
+    needed = F.ceil((F.col("n") + F.col("other_n")) * similarity / (100 + similarity) - 1e-9)
+    both = _both(first, "shingle").where((F.least("rest", "other_rest") >= needed) & ~_far(similarity))
+    # The last place has the most holders.
+    crowded = prefixes.where(F.element_at("common", -1)["holders"] > CROWD).select("rep", "label")
+    return _pairs(both, similarity).union(_fine_pairs(crowded, sets, similarity)).distinct()
+
+
+def _fine_rows(n_bands: int):
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [s.values.to_numpy().view(np.uint64) for s in batch.column("shingles")]
+        keys = np.concatenate(
+            [band_keys(signatures([s], FINE_ROWS * n_bands), FINE_ROWS) for s in sets]
+        ).view(np.int64)
+        return pa.RecordBatch.from_arrays(
+            [batch.column("rep"), batch.column("label"), batch.column("n"), batch.column("sketch"), pa.array(list(keys), pa.list_(pa.int64()))],
+            names=["rep", "label", "n", "sketch", "keys"],
+        )
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                yield rows(batch.slice(lo, 256))
+
+    return run
+
+
+def _fine_pairs(crowded: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """The pairs of ``crowded(rep, label)`` that share a bucket of the finer signature."""
+    own = sets.withColumnRenamed("doc_id", "rep").join(crowded, "rep")
+    own = own.select("rep", "label", F.size("shingles").cast("long").alias("n"), "sketch", "shingles")
+    fine = own.mapInArrow(
+        _fine_rows(bands_for(similarity, FINE_ROWS)),
+        "rep bigint, label bigint, n bigint, sketch array<bigint>, keys array<bigint>",
     )
-    both = first.join(other, "shingle").where(
-        (F.col("rep") < F.col("other"))
-        & (F.least("rest", "other_rest") >= needed)
-        & (apart <= total - 2 * needed)
+    fine = materialised(fine, "fine")
+    keys = fine.select("rep", "label", F.explode("keys").alias("key"))
+    open_keys = (
+        keys.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     )
-    return _pairs(both, similarity)
+    shared = keys.join(dealt(open_keys, "key"), "key").select("rep", "key")
+    rows = shared.join(fine.drop("keys"), "rep")
+    return _pairs(_both(rows, "key").where(~_far(similarity)), similarity)
 
 
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
