@@ -13,8 +13,8 @@ are at most as many patterns as sources, and each is as long as its total weight
 from the weights and block counts alone.
 
 The place of a document within its source is a prefix sum: documents fall into bins by hash, about
-``BIN`` in each, bins are counted, the counts are added up over the bins, and only within a bin are
-documents ranked. No task holds a whole source.
+``BIN`` in each, bins are counted, the counts are added up over groups of ``BIN`` bins and over the
+groups, and only within a bin are documents ranked. No task holds a whole source.
 
 Defined results: a null source is a source of its own, a source without a given weight has weight 1,
 one with weight 0 or less is left out of the mixture. Rows without id are placed by their text.
@@ -85,6 +85,25 @@ def _schedule(spark: SparkSession, blocks: Mapping[str, int], weights: Mapping[s
     return literal_rows(spark, names, rows)
 
 
+def _starts(counts: DataFrame) -> DataFrame:
+    """``name, bin, start``: how many documents of a source are in earlier bins.
+
+    Bins are added up within groups of ``BIN`` bins, and the groups by source: no task has more
+    rows of a source than there are bins in a group, or groups.
+    """
+
+    def before(of: str, order: str, *by: str) -> Column:
+        rows = W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        return F.coalesce(F.sum(of).over(rows), F.lit(0))
+
+    grouped = counts.withColumn("group", F.floor(F.col("bin") / BIN))
+    groups = grouped.groupBy("name", "group").agg(F.sum("n").alias("total"))
+    groups = groups.select("name", "group", before("total", "group", "name").alias("earlier"))
+    inside = grouped.withColumn("inside", before("n", "bin", "name", "group"))
+    both = inside.join(groups, ["name", "group"])
+    return both.select("name", "bin", (F.col("earlier") + F.col("inside")).alias("start"))
+
+
 def mix_sources(docs: DataFrame, weights: Mapping[str, int], block: int = BLOCK) -> DataFrame:
     """``docs`` with ``mix_slot`` and ``mix_place``: ordered by both, the rows are the mixture; a
     slot is one block. Documents need ``doc_id``, ``text`` and ``source``."""
@@ -115,10 +134,7 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, int], block: int = BLOCK)
         "bin", F.shiftright(leading * F.col("bins"), 32)
     )
     counts = rows.groupBy("name", "bin").agg(F.count(F.lit(1)).alias("n"))
-    earlier = W.partitionBy("name").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select(
-        "name", "bin", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")
-    )
+    starts = _starts(counts)
     within = F.row_number().over(W.partitionBy("name", "bin").orderBy("scatter", "tie")) - 1
     placed = rows.withColumn("within", within).join(starts, ["name", "bin"])
     at = F.col("start") + F.col("within")
