@@ -36,6 +36,7 @@ from hourtally.operators.ingest import (
 from hourtally.plans import jobs, reports, sql
 from hourtally.schemas import MEDIA_MEASURES, PAGECOUNTS_EXTERNAL
 from hourtally.session import scratch_path
+from hourtally.sources.bucketed import BucketedTable
 from hourtally.sources.compaction import compact_days, stored_days
 from hourtally.sources.loads import loaded_intervals, read_records
 from hourtally.sources.paths import HOURLY_ARCHIVE
@@ -339,6 +340,21 @@ def compacted_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return rows.join(held, "date").select(*PAGECOUNTS.columns.names, "n_directories")
 
 
+def bucketed_ingest_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The views of one project from a table in buckets, after two batches and a replay."""
+    location, arrivals = scratch_path(spark, "bucketed"), scratch_path(spark, "arrivals")
+    standins.pagecounts(standins.events(spark, folder)).write.parquet(arrivals)
+    counts = spark.read.schema(PAGECOUNTS.source).parquet(arrivals)
+    database = location.split("/")[-2].replace("-", "_")
+    serving = BucketedTable(PAGECOUNTS, database, location, buckets=4)
+    serving.declare(spark)
+    later = _second_arrival(counts)
+    for batch_id, batch in ((0, counts), (1, later), (1, later)):
+        serving.ingest(batch, batch_id)
+    table = f"{database}.pagecounts"
+    return sql.run_report(spark, "hourly_views_by_project", table, project=PROJECT)
+
+
 def totals_report(spark: SparkSession, folder: str) -> DataFrame:
     """The dashboard panel from the partial sums that the ingest keeps, after a replay."""
     target, arrivals = scratch_path(spark, "pagecounts"), scratch_path(spark, "arrivals")
@@ -504,6 +520,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "article_index_report": article_index_report,
         "compacted_ingest": compacted_ingest,
         "totals_report": totals_report,
+        "bucketed_ingest_report": bucketed_ingest_report,
     }
 
 
@@ -677,6 +694,11 @@ def _own_oracle_sql() -> dict[str, str]:
           SELECT {_HOUR} AS hour, article_name, sum(count)::bigint AS pageviews
           FROM pagecounts WHERE article_name = '{ARTICLE}'
           GROUP BY interval_start_unixtime, article_name""",
+        "bucketed_ingest_report": f"""
+          WITH pagecounts AS ({_INGESTED})
+          SELECT {_HOUR} AS hour, project_name, sum(count)::bigint AS pageviews
+          FROM pagecounts WHERE project_name = '{PROJECT}'
+          GROUP BY interval_start_unixtime, project_name""",
         "totals_report": f"WITH pagecounts AS ({_INGESTED}) " + _PANEL.format(lo=LO, hi=HI, more=""),
         "compacted_ingest": f"SELECT *, 1 AS n_directories FROM ({_INGESTED})",
         "serving_tables_all_hours": f"""

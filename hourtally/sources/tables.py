@@ -99,7 +99,7 @@ def register_external(
     read_mediacounts(spark, mediacounts, first, last).createOrReplaceTempView(f"{prefix}mediacounts")
 
 
-def _quoted(text: str) -> str:
+def quoted(text: str) -> str:
     """``text`` as a SQL string literal."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -131,7 +131,7 @@ def declare_table(
     spark.createDataFrame([], every).write.partitionBy(*partitions).mode("append").parquet(path)
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {qualified(database, name)} ({every}) USING parquet "
-        f"PARTITIONED BY ({', '.join(partitions)}) LOCATION {_quoted(path)}"
+        f"PARTITIONED BY ({', '.join(partitions)}) LOCATION {quoted(path)}"
     )
     find_partitions(spark, database, name)
 
@@ -163,7 +163,7 @@ def _alter(
     spark: SparkSession, database: str, name: str, change: str, between: str, directories: Iterable[Row]
 ) -> None:
     def value(v: str | int | None) -> str:
-        return "NULL" if v is None else _quoted(v) if isinstance(v, str) else str(v)
+        return "NULL" if v is None else quoted(v) if isinstance(v, str) else str(v)
 
     parts = [
         f"PARTITION ({', '.join(f'{k} = {value(v)}' for k, v in row.asDict().items())})"
@@ -209,11 +209,11 @@ def declare_external(
     for name, path in (("pagecounts", pagecounts), ("mediacounts", mediacounts)):
         columns, partitions = _EXTERNAL[name]
         declare_table(spark, database, files_table(name), columns, path, partitions)
-        end = _quoted(last) if last else _TODAY
+        end = quoted(last) if last else _TODAY
         spark.sql(
             f"CREATE OR REPLACE VIEW {qualified(database, name)} AS "
             f"SELECT {', '.join(columns.names)} FROM {qualified(database, files_table(name))} "
-            f"WHERE date BETWEEN {_quoted(first)} AND {end}"
+            f"WHERE date BETWEEN {quoted(first)} AND {end}"
         )
 
 
@@ -242,6 +242,6 @@ def _value(part: str) -> str | None:
 
 def create_tables(spark: SparkSession, database: str, location: str) -> None:
     """Create the database and both serving tables below ``location`` where absent."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified(database)} LOCATION {_quoted(location)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified(database)} LOCATION {quoted(location)}")
     declare_table(spark, database, "pagecounts", PAGECOUNTS_SERVING, f"{location}/pagecounts")
     declare_table(spark, database, "mediacounts", MEDIACOUNTS_SERVING, f"{location}/mediacounts")

@@ -1,0 +1,84 @@
+"""A serving table in buckets against the plain one."""
+
+import random
+import re
+
+import pytest
+
+from hourtally import schemas
+from hourtally.functions.timegrain import HOUR, day_string
+from hourtally.operators.ingest import PAGECOUNTS, ingest_batch
+from hourtally.plans import sql
+from hourtally.sources import bucketed
+from hourtally.sources.bucketed import BucketedTable
+from hourtally.sources.tables import read_dates
+
+NOON = 1662033600
+
+
+def pages(spark, rows):
+    full = [(p, t, e, n, None if e is None else day_string(e)) for p, t, e, n in rows]
+    return spark.createDataFrame(full, schemas.PAGECOUNTS_NORMAL)
+
+
+@pytest.fixture
+def serving(spark, tmp_path):
+    name = f"b_{tmp_path.name}".replace("-", "_")
+    table = BucketedTable(PAGECOUNTS, name, str(tmp_path / "bucketed"), buckets=4)
+    table.declare(spark)
+    table.declare(spark)
+    yield table
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def batches(rng, n):
+    def row():
+        key = rng.choice(["en", "en", "en", "de", None]), rng.choice(["A", "B", "C", "D", None])
+        return (*key, rng.choice([None, *(NOON + h * HOUR for h in range(0, 60, 7))]), rng.randrange(9))
+
+    return [[row() for _ in range(60)] for _ in range(n)]
+
+
+def test_like_the_plain_table(spark, serving, tmp_path):
+    plain = str(tmp_path / "plain")
+    all_rows = batches(random.Random(5), 4)
+    for b in (0, 1, 2, 1, 2, 3):  # with replays
+        serving.ingest(pages(spark, all_rows[b]), b)
+        ingest_batch(pages(spark, all_rows[b]), b, PAGECOUNTS, plain)
+    columns = PAGECOUNTS.stored.names
+    got = sorted(map(str, spark.table(serving.name).select(*columns).collect()))
+    assert got == sorted(map(str, read_dates(spark, plain, PAGECOUNTS.stored, None).select(*columns).collect()))
+    report = sql.run_report(spark, "hourly_views_by_project", serving.name, project="en").collect()
+    want = [r for r in got if "project_name='en'" in r]
+    assert sum(r.pageviews for r in report) == sum(int(re.search(r"count=(\d+)", r)[1]) for r in want)
+
+
+def test_the_key_check_moves_the_batch_and_not_the_table(spark, serving, plan):
+    serving.ingest(pages(spark, [("en", f"t{i}", NOON + i % 20 * HOUR, i) for i in range(500)]), 0)
+    batch = pages(spark, [("en", f"t{i}", NOON + i % 20 * HOUR, i) for i in range(300)])
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "50"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        with bucketed._settings(spark):
+            text = plan(serving.rows_to_insert(batch, 1))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    join = text.split("SortMergeJoin")[1]
+    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", join)
+    assert [kind for kind, _ in exchanges] == ["hashpartitioning"] and "article_name" in exchanges[0][1]
+    assert "Bucketed: true" in join or "SelectedBucketsCount: 4 out of 4" in join
+    assert "Exchange" not in join.split("FileScan")[-2].split("Sort [")[-1]
+
+
+def test_a_project_in_buckets_of_its_own_is_read_from_one(spark, tmp_path, plan):
+    name = "b_project"
+    table = BucketedTable(PAGECOUNTS, name, str(tmp_path / "t"), buckets=8, by=("project_name",))
+    table.declare(spark)
+    table.ingest(pages(spark, [(f"p{i % 9}", "A", NOON, i) for i in range(90)]), 0)
+    found = sql.run_report(spark, "hourly_views_by_project", table.name, project="p3")
+    assert "SelectedBucketsCount: 1 out of 8" in plan(found)
+    assert [r.pageviews for r in found.collect()] == [max(range(3, 90, 9))]
+    spark.sql(f"DROP DATABASE {name} CASCADE")
