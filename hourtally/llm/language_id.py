@@ -15,7 +15,9 @@ most ``1 / MIN_SHARE`` n-grams of a language reach the driver, whatever the size
 
 Defined results: a null text and a text without letters are ``und`` with score 0. A text without
 any known n-gram gets the most frequent language, score 0. Equal shares: the language that comes
-first by name. Nothing learnt: ``und``.
+first by name. Nothing learnt: ``und``. Repeated rows, and rows without an id, are each judged; rows
+without a language teach nothing. A very long text is one piece of work. An empty table gives no
+rows; columns other than id, text and language are not read.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ linked with nothing. Ids name documents: rows that repeat an id and text are eac
 one verdict; rows that repeat an id with other texts are compared each, and the id gets the
 smallest of their components.
 A row without an id is linked with nothing, is its own document (``component_id``
-null) and is kept.
+null) and is kept. A very long text is one set. An empty table gives no rows. Columns other than id
+and text are not read; ``drop_near_duplicates`` keeps them, whatever their names.
 """
 
 from __future__ import annotations

@@ -8,7 +8,11 @@ of the learning rows is kept apart: their scores, counted in steps of 1 / ``STEP
 isotonic curve from ridge score to probability. All labelled rows take part, none is sampled.
 
 Defined results: a null or empty text has statistics of zero and is scored like any other. Without
-labels every text scores one half.
+labels every text scores one half. Repeated rows are each scored, and each learnt from if their id
+has a label; of contradicting labels of one id 1 counts. Rows without an id are scored, not learnt
+from. Equal scores get equal probabilities. A very long text is one piece of work. An empty table
+gives no rows. Scores read id and text alone; ``drop_low_quality`` keeps all columns, whatever
+their names.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ document with a smaller id.
    streams all documents of the shard through it. Blocks are cut into consecutive phrases of
    ``ANCHOR`` words, and every window holds one whole phrase. A hit is extended to both sides,
    word by word; an occurrence of at least one window is removed. So hashes only select:
-   what is removed has been compared letter by letter.
+   what is removed from a document in part has been compared letter by letter. (Whole copies are
+   settled by their digest alone.)
 
 No group is gathered: a passage in very many documents is a block that is sent to each of them,
 and a document gets each block once. What is known of a group goes back to its rows by joins that
@@ -25,7 +26,9 @@ Spark can cut where a key is hot.
 
 Defined results: a null text has no words. A document without id is neither first nor changed.
 Rows with one id are one document: their windows are not compared with each other, and each of
-their texts may own a block of the same number.
+their texts may own a block of the same number. Repeated rows are each returned. Of equal passages
+the one in the smallest id stays. Very long texts are cut into pieces of whole windows. An empty
+table gives no rows. Other columns are carried in ``rest`` and come back under their names.
 """
 
 from __future__ import annotations
