@@ -3,6 +3,13 @@
 Each stage takes what the one before wrote and decides on all of it. ``run`` writes every stage's
 result to the shared scratch folder as Parquet and reads it again, so a lost executor costs at most
 the stage that is running.
+
+Defined results: documents with a null or empty text have no words, so that only the quality stage may
+reject them; one without an id is in no group of copies, owns no passage and is placed by its
+text. Of equal documents the smallest id stays; rows that repeat an id and a text go or stay
+together. A text of any length is judged whole. An empty table passes through all stages. All but the last
+return the columns of ``documents``, other columns included whatever their names; the last adds
+``mix_slot`` and ``mix_place`` and replaces columns of these names.
 """
 
 from __future__ import annotations
@@ -21,7 +28,7 @@ NEAR_COPIES = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality classifier rejects."""
+    """Without the documents that the quality classifier rejects. Without labels none is rejected."""
     return drop_low_quality(docs, table(spark, sf_dir, "labels"))
 
 
@@ -32,12 +39,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without passages that an earlier document already has."""
+    """Without passages that an earlier document already has, and without documents of which no word
+    is left."""
     return drop_repeated_passages(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that overlap with a benchmark item."""
+    """Without the documents that overlap with a benchmark item. Without items none goes."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -63,5 +71,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # The stages compare hashed sets, run automata and fit a model, which SQL cannot express; the tests
-# hold the operators against brute force or held-out rows, and the stages against the operators.
+# hold run()'s rows against plain Python versions of the stages, and the classifier against held-out rows.
 ORACLE_SQL = None
