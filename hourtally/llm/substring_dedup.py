@@ -27,7 +27,7 @@ Spark can cut where a key is hot.
 Defined results: a null text has no words. A document without id is neither first nor changed.
 Rows with one id are one document: their windows are not compared with each other, and each of
 their texts may own a block of the same number. Repeated rows are each returned. Of equal passages
-the one in the smallest id stays. Very long texts are cut into pieces of whole windows. An empty
+the one in the smallest id stays. A very long text is one piece of work. An empty
 table gives no rows. Other columns are carried in ``rest`` and come back under their names.
 """
 
