@@ -1,21 +1,23 @@
 """Benchmark decontamination by spaced seeds.
 
 Words are runs of letters and digits of any alphabet, in lower case and without differences of
-width or composition (``text.plain``): typographic quotes, dashes and spaces part words as plain ones do.
-A seed mask looks at some of ``SPAN`` consecutive
-words and ignores the others, so passages with replaced words still share the seeds whose ignored
-places cover the replacements. All seeds of the benchmark are looked up at every word of every
-document; around a hit the document and the item are compared word by word at that offset, and each
-stretch in which every ``OVERLAP`` words have at least ``EQUAL_PERCENT`` equal ones is an overlap.
-Words that several items share only cost more comparisons. ``MASKS`` meet every ``SPAN`` words of
-which two differ, so no overlap of ``OVERLAP`` words, or with a whole item of at least ``SPAN``, is
-missed. Shorter items are met by ``SHORT_MASKS``, which look at the whole item and cover as many
-replaced words as ``EQUAL_PERCENT`` allows (one of 8 or 9, two of 10).
-
-The benchmark is the stated query set: it is taken in blocks of at most ``BLOCK_WORDS`` words (one
-longer item is a block of its own), and each block is one pass over the documents. A pass is written
-before the next block's index is built, so neither the driver nor an executor holds the whole
-benchmark: an executor has the index of one block, the driver that of two at most.
+width or composition (``text.plain``): typographic quotes, dashes and spaces part words as plain ones
+do. A seed mask looks at some of ``SPAN`` consecutive words and ignores the others, so passages with
+replaced words still share the seeds whose ignored places cover the replacements. ``MASKS`` meet
+every ``SPAN`` words of which two differ, so no overlap of ``OVERLAP`` words, or with a whole item of
+at least ``SPAN``, is missed. Shorter items are met by ``SHORT_MASKS``, which look at the whole item
+and cover as many replaced words as ``EQUAL_PERCENT`` allows (one of 8 or 9, two of 10), and items of
+fewer than ``LEAST_WORDS`` words by one seed of all their words, which texts give for their short
+lines.
+
+The seeds of the benchmark and those of the documents are joined: neither the driver nor a task holds
+the benchmark, and one pass over the texts makes their seeds however large it is. Where these are made, a filter of
+the benchmark's seeds drops nearly all of them: one bit for each slot of a table of at most
+``2^FILTER_BITS``, which is all that the driver gets. A hit names a text by its digest, an item, and
+how the one lies on the other. The texts that have hits, each once however many documents have it,
+are then compared with the items word by word at those places: each stretch in which every
+``OVERLAP`` words have at least ``EQUAL_PERCENT`` equal ones is an overlap. Words that several items
+share only cost more comparisons.
 
 Defined results: null and empty texts overlap with nothing, nor do items without a word. Items of
 fewer than ``OVERLAP`` words are sought as a whole. Items of fewer than ``LEAST_WORDS`` words are no
@@ -28,12 +30,12 @@ they are, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from functools import reduce
+import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourtally.llm.tables import materialised, table
@@ -44,7 +46,6 @@ from hourtally.llm.text import (
     encoded,
     mix,
     per_piece,
-    plain,
     split_words,
     word_hashes,
 )
@@ -66,9 +67,8 @@ SHORT_MASKS = {
 }
 OVERLAP, EQUAL_PERCENT = 13, 80
 LEAST_WORDS = 8
-BLOCK_WORDS = 500_000
-
-_FILTER_BITS = 22
+# Bits of the filter for each seed of the benchmark, and the power of two that it is bounded by.
+BITS_A_SEED, FILTER_BITS = 16, 28
 
 
 def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -84,169 +84,245 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     return mix(out)
 
 
-class SeedIndex:
-    """The seeds of a block of items: ``(item_id, text)``."""
-
-    def __init__(self, items: list[tuple[int | None, str]]):
-        self.ids = [item_id for item_id, _ in items]
-        self.items, keys, places, shorts = [], [], [], set()
-        self.lines: dict[bytes, list[int]] = {}
-        for number, (_, text) in enumerate(items):
-            hashes = word_hashes(split_words([plain(text)], PUNCTUATION))
-            self.items.append(hashes)
-            if 0 < len(hashes) < LEAST_WORDS:
-                self.lines.setdefault(hashes.tobytes(), []).append(number)
-                continue
-            if len(hashes) in SHORT_MASKS:
-                shorts.add(len(hashes))
-            for mask in SHORT_MASKS.get(len(hashes), MASKS):
-                own = seeds(hashes, mask)
-                keys.append(own)
-                places.append(np.column_stack([np.full(len(own), number), np.arange(len(own))]))
-        self.masks = (*MASKS, *(mask for size in sorted(shorts) for mask in SHORT_MASKS[size]))
-        every = np.concatenate(keys) if keys else np.empty(0, U64)
-        order = np.argsort(every, kind="stable")
-        self.keys = every[order]
-        self.places = np.concatenate(places)[order] if keys else np.empty((0, 2), np.int64)
-        self.likely = np.zeros(1 << _FILTER_BITS, bool)
-        self.likely[self.keys >> U64(64 - _FILTER_BITS)] = True
-
-    def _hits(self, hashes: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """``(word, item, word of the item)`` wherever a seed is met."""
-        for mask in self.masks:
-            found = seeds(hashes, mask)
-            at = np.flatnonzero(self.likely[found >> U64(64 - _FILTER_BITS)])
-            lo = np.searchsorted(self.keys, found[at], "left")
-            hi = np.searchsorted(self.keys, found[at], "right")
-            for i in np.flatnonzero(hi > lo):
-                for number, word in self.places[lo[i] : hi[i]].tolist():
-                    yield int(at[i]), number, word
-
-    def _whole_lines(self, words: Words, hashes: np.ndarray) -> Iterator[tuple]:
-        """As ``overlaps``, for items that are a whole text or line."""
-        if not self.lines:
-            return
-        ends = np.flatnonzero(words.data == 10)
-        edges = np.unique(np.concatenate([words.first, np.searchsorted(words.start, ends)]))
-        spans = {*zip(edges[:-1].tolist(), edges[1:].tolist()), *zip(words.first[:-1].tolist(), words.first[1:].tolist())}
-        for lo, hi in sorted(spans):
-            if 0 < hi - lo < LEAST_WORDS:
-                text = int(np.searchsorted(words.first, lo, "right")) - 1
-                for number in self.lines.get(hashes[lo:hi].tobytes(), ()):
-                    yield text, number, lo - int(words.first[text]), 0, hi - lo, hi - lo
-
-    def in_texts(self, texts: list[bytes]) -> Iterator[tuple]:
-        """The overlaps with some ``plain`` texts, as ``overlaps`` tells them."""
-        words = split_words(texts, PUNCTUATION)
-        hashes = word_hashes(words)
-        yield from self.overlaps(hashes, words.first)
-        yield from self._whole_lines(words, hashes)
-
-    def overlaps(self, hashes: np.ndarray, first: np.ndarray) -> Iterator[tuple]:
-        """``(text, item number, first word, first word of the item, words, equal words)``, of items
-        of ``LEAST_WORDS`` words and more."""
-        seen = set()
-        for at, number, word in self._hits(hashes):
-            text = int(np.searchsorted(first, at, "right")) - 1
-            key = (text, number, at - word)
-            if key in seen:
-                continue
-            seen.add(key)
-            item, start = self.items[number], at - word
-            lo = max(0, int(first[text]) - start)
-            hi = min(len(item), int(first[text + 1]) - start)
-            equal = item[lo:hi] == hashes[start + lo : start + hi]
-            size = min(OVERLAP, len(item))
-            if hi - lo < size:
-                continue
-            total = np.concatenate([[0], np.cumsum(equal)])
-            needed = -(-size * EQUAL_PERCENT // 100)
-            good = np.flatnonzero(total[size:] - total[:-size] >= needed)
-            for run in np.split(good, np.flatnonzero(np.diff(good) > 1) + 1) if len(good) else ():
-                a, b = int(run[0]), int(run[-1]) + size
-                yield (
-                    text, number, start + lo + a - int(first[text]), lo + a, b - a,
-                    int(total[b] - total[a]),
-                )
-
-
-def _blocks(rows: Iterable) -> Iterator[list[tuple[int | None, str]]]:
-    block, size = [], 0
-    for row in rows:
-        words = len(row["text"].split()) + 1
-        if block and size + words > BLOCK_WORDS:
-            yield block
-            block, size = [], 0
-        block.append((row["item_id"], row["text"]))
-        size += words
-    if block:
-        yield block
-
-
-def _indexes_in_turn(benchmark: DataFrame) -> Iterator[tuple[SeedIndex, bool]]:
-    """The index of each block of ``benchmark``, and whether it is the last."""
-    rows = benchmark.where("text is not null").select("item_id", "text")
-    blocks = _blocks(rows.toLocalIterator())
-    block = next(blocks, None)
-    while block is not None:
-        index, block = SeedIndex(block), next(blocks, None)
-        yield index, block is None
-
-
-def seed_indexes(benchmark: DataFrame) -> Iterator[SeedIndex]:
-    """One index for each block of ``benchmark(item_id, text)``."""
-    return (index for index, _ in _indexes_in_turn(benchmark))
-
-
-_OVERLAP_TYPE = (
-    "doc_id bigint, item_id bigint, doc_word bigint, item_word bigint, n_words bigint, n_equal bigint"
+def line_seed(hashes: np.ndarray) -> int:
+    """The seed of all words of a short item or line, unlike that of any mask."""
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little")
+
+
+def item_seeds(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The seeds of an item, and the word of the item that each begins at."""
+    if not len(hashes):
+        return np.empty(0, U64), np.empty(0, np.int64)
+    if len(hashes) < LEAST_WORDS:
+        return np.array([line_seed(hashes)], U64), np.zeros(1, np.int64)
+    found = [seeds(hashes, mask) for mask in SHORT_MASKS.get(len(hashes), MASKS)]
+    return np.concatenate(found), np.concatenate([np.arange(len(f)) for f in found])
+
+
+def short_lines(words: Words) -> np.ndarray:
+    """Beginning and end, in words, of whole lines and whole texts of fewer than ``LEAST_WORDS``
+    words; a row for each."""
+    ends = np.flatnonzero(words.data == 10)
+    edges = np.unique(np.concatenate([words.first, np.searchsorted(words.start, ends)]))
+    lines = np.column_stack([edges[:-1], edges[1:]])
+    spans = np.concatenate([lines, np.column_stack([words.first[:-1], words.first[1:]])])
+    size = spans[:, 1] - spans[:, 0]
+    return np.unique(spans[(size > 0) & (size < LEAST_WORDS)], axis=0)
+
+
+def overlaps(item: np.ndarray, text: np.ndarray, start: int) -> Iterator[tuple[int, int, int, int]]:
+    """``(first word, first word of the item, words, equal words)`` of the overlaps of an item that
+    lies on a text with its first word at ``start``, which may be before the text."""
+    lo, hi = max(0, -start), min(len(item), len(text) - start)
+    size = min(OVERLAP, len(item))
+    if hi - lo < size:
+        return
+    equal = item[lo:hi] == text[start + lo : start + hi]
+    total = np.concatenate([[0], np.cumsum(equal)])
+    good = np.flatnonzero(total[size:] - total[:-size] >= -(-size * EQUAL_PERCENT // 100))
+    for run in np.split(good, np.flatnonzero(np.diff(good) > 1) + 1) if len(good) else ():
+        a, b = int(run[0]), int(run[-1]) + size
+        yield start + lo + a, lo + a, b - a, int(total[b] - total[a])
+
+
+# --- the benchmark's side ---
+
+_ITEM_TYPE = "item_id bigint, words array<bigint>"
+_SEED_TYPE = "seed bigint, item bigint, word int"
+
+
+def _item_rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    words = split_words(encoded(batch.column("text"), lower=True), PUNCTUATION)
+    hashes = word_hashes(words).view(np.int64)
+    own = [hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [batch.column("item_id"), pa.array(own, pa.list_(pa.int64()))], names=["item_id", "words"]
+    )
+
+
+def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for item, words in zip(batch.column("item").to_pylist(), batch.column("words"), strict=True):
+            found, place = item_seeds(words.values.to_numpy().view(U64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(found.view(np.int64)),
+                    pa.array(np.full(len(found), item)),
+                    pa.array(place.astype(np.int32)),
+                ],
+                names=["seed", "item", "word"],
+            )
+
+
+class SeedFilter:
+    """Which slots of a table of ``2^bits`` the seeds of the benchmark have."""
+
+    def __init__(self, bits: int, packed: np.ndarray | None = None):
+        self.bits = bits
+        self.packed = np.zeros(1 << max(bits - 3, 0), np.uint8) if packed is None else packed
+
+    def _slots(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        slot = found >> U64(64 - self.bits)
+        return (slot >> U64(3)).astype(np.int64), (slot & U64(7)).astype(np.uint8)
+
+    def add(self, found: np.ndarray) -> None:
+        byte, bit = self._slots(found)
+        np.bitwise_or.at(self.packed, byte, np.left_shift(np.uint8(1), bit))
+
+    def likely(self, found: np.ndarray) -> np.ndarray:
+        """Where ``found`` may have seeds of the benchmark."""
+        byte, bit = self._slots(found)
+        return np.flatnonzero(np.right_shift(self.packed[byte], bit) & np.uint8(1))
+
+
+def _seed_filter(bench_seeds: DataFrame, count: int) -> SeedFilter:
+    bits = min(max(count * BITS_A_SEED, 8).bit_length(), FILTER_BITS)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = SeedFilter(bits)
+        for batch in batches:
+            own.add(batch.column("seed").to_numpy().view(U64))
+        yield pa.RecordBatch.from_arrays([pa.array([own.packed.tobytes()], pa.binary())], names=["packed"])
+
+    # A table of bits, at most 2^FILTER_BITS / 8 bytes, from each of a few tasks.
+    parts = bench_seeds.select("seed").coalesce(8).mapInArrow(add, "packed binary")
+    total = SeedFilter(bits)
+    for row in parts.toLocalIterator():
+        total.packed |= np.frombuffer(bytes(row["packed"]), np.uint8)
+    return total
+
+
+# --- the documents' side ---
+
+_HIT_TYPE = "content binary, seed bigint, at int"
+_FOUND_TYPE = (
+    "content binary, item_id bigint, doc_word bigint, item_word bigint, n_words bigint, n_equal bigint"
 )
+_OVERLAP_TYPE = _FOUND_TYPE.replace("content binary", "doc_id bigint")
+
+
+def _likely_seeds(known: SeedFilter, masks: list[str], lines: bool):
+    def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = split_words(encoded(batch.column("text"), lower=True), PUNCTUATION)
+        hashes = word_hashes(words)
+        at, found = [np.empty(0, np.int64)], [np.empty(0, U64)]
+        for mask in masks:
+            every = seeds(hashes, mask)
+            here = known.likely(every)
+            end = words.first[np.searchsorted(words.first, here, "right")]
+            here = here[here + len(mask) <= end]  # not into the next text
+            at.append(here)
+            found.append(every[here])
+        if lines:
+            spans = short_lines(words)
+            every = np.array([line_seed(hashes[a:b]) for a, b in spans], U64)
+            here = known.likely(every)
+            at.append(spans[here, 0])
+            found.append(every[here])
+        place = np.concatenate(at)
+        text = np.searchsorted(words.first, place, "right") - 1
+        return pa.RecordBatch.from_arrays(
+            [
+                batch.column("content").take(pa.array(text)),
+                pa.array(np.concatenate(found).view(np.int64)),
+                pa.array((place - words.first[text]).astype(np.int32)),
+            ],
+            names=["content", "seed", "at"],
+        )
+
+    return rows
+
+
+def _confirmed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The overlaps of each text with the items that it may have, at the places where it may."""
+    words = split_words(encoded(batch.column("text"), lower=True), PUNCTUATION)
+    hashes = word_hashes(words)
+    lines = {(int(a), int(b)) for a, b in short_lines(words)}
+    contents, out = batch.column("content").to_pylist(), []
+    for i, places in enumerate(batch.column("places")):
+        first = int(words.first[i])
+        text = hashes[first : int(words.first[i + 1])]
+        for place in places.as_py():
+            item = np.array(place["words"], np.int64).view(U64)
+            start = place["start"]
+            if len(item) >= LEAST_WORDS:
+                found = list(overlaps(item, text, start))
+            else:
+                end = start + len(item)
+                same = (first + start, first + end) in lines and (item == text[start:end]).all()
+                found = [(start, 0, len(item), len(item))] if same else []
+            out += [(contents[i], place["item_id"], *f) for f in found]
+    columns = list(zip(*out, strict=True)) or [()] * 6
+    kinds = [pa.binary(), *[pa.int64()] * 5]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+        names=[field.split()[0] for field in _FOUND_TYPE.split(", ")],
+    )
+
+
+def _content() -> Column:
+    """What tells texts apart; documents with the same text have the same overlaps."""
+    return F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
+    """The overlaps by ``content``, written down; None if the benchmark has no words."""
+    given = benchmark.where("text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text")
+    numbered = given.mapInArrow(per_piece(_item_rows), _ITEM_TYPE).where(F.size("words") > 0)
+    # Numbers that stay, as the rows are written down with them.
+    items = materialised(numbered.withColumn("item", F.monotonically_increasing_id()), "items")
+    bench_seeds = materialised(items.select("item", "words").mapInArrow(_seed_rows, _SEED_TYPE), "seeds")
+    count = bench_seeds.count()
+    if not count:
+        return None
+    known = _seed_filter(bench_seeds, count)
+    # Lengths up to SPAN, which say what kinds of seeds there are.
+    sizes = sorted(
+        r["n"] for r in items.select(F.least(F.size("words"), F.lit(SPAN)).alias("n")).distinct().collect()
+    )
+    masks = [m for n in sizes if n >= LEAST_WORDS for m in SHORT_MASKS.get(n, MASKS)]
+
+    texts = docs.select(_content().alias("content"), F.coalesce("text", F.lit("")).alias("text"))
+    likely = per_piece(_likely_seeds(known, masks, sizes[0] < LEAST_WORDS))
+    places = (
+        texts.mapInArrow(likely, _HIT_TYPE)
+        .distinct()
+        .join(bench_seeds, "seed")
+        .select("content", "item", (F.col("at") - F.col("word")).alias("start"))
+        .distinct()
+    )
+    places = materialised(places, "places")
+    # The items that a text may have, and where: as many as it has hits.
+    wanted = (
+        places.join(items, "item")
+        .groupBy("content")
+        .agg(F.collect_list(F.struct("start", "item_id", "words")).alias("places"))
+    )
+    # Only texts that have hits go on, and one of each.
+    some = texts.join(places.select("content").distinct(), "content", "left_semi")
+    once = some.groupBy("content").agg(F.first("text").alias("text"))
+    found = once.join(wanted, "content").mapInArrow(per_piece(_confirmed), _FOUND_TYPE)
+    return materialised(found, "overlaps")
 
 
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each overlap of a row of ``docs(doc_id, text)`` with an item: where it begins in
     both, in words, how long it is and how many words are equal."""
-
-    def find(index: SeedIndex):
-        def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = list(index.in_texts(encoded(batch.column("text"), lower=True)))
-            ids = batch.column("doc_id").to_pylist()
-            columns = list(zip(*found, strict=True)) or [()] * 6
-            columns[0] = [ids[i] for i in columns[0]]
-            columns[1] = [index.ids[i] for i in columns[1]]
-            names = [field.split()[0] for field in _OVERLAP_TYPE.split(", ")]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=names
-            )
-
-        return rows
-
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    passes = []
-    for index, last in _indexes_in_turn(benchmark):
-        found = docs.mapInArrow(per_piece(find(index)), _OVERLAP_TYPE)
-        passes.append(found if last else materialised(found, "overlaps"))
-    if not passes:
+    found = _found(docs, benchmark)
+    if found is None:
         return docs.sparkSession.createDataFrame([], _OVERLAP_TYPE)
-    return reduce(DataFrame.union, passes)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _content().alias("content"))
+    return rows.join(found, "content").drop("content")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that overlap with an item, all columns kept."""
-
-    def clean(index: SeedIndex):
-        def rows(batch: pa.RecordBatch) -> pa.RecordBatch:
-            keep = np.ones(batch.num_rows, bool)
-            for text, *_ in index.in_texts(encoded(batch.column("text"), lower=True)):
-                keep[text] = False
-            return batch.filter(pa.array(keep))
-
-        return rows
-
-    for index, last in _indexes_in_turn(benchmark):
-        left = docs.mapInArrow(per_piece(clean(index)), docs.schema)
-        docs = left if last else materialised(left, "clean")
-    return docs
+    found = _found(docs, benchmark)
+    if found is None:
+        return docs
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(whole.alias("doc"), _content().alias("content"))
+    return rows.join(found.select("content").distinct(), "content", "left_anti").select("doc.*")
 
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from hourtally.llm import decontamination as dc
+from hourtally.llm.text import PUNCTUATION, plain, split_words, word_hashes
 
 WORDS = [f"w{i}" for i in range(40)]
 
@@ -14,9 +15,24 @@ def allowed(size):
     return size - -(-size * dc.EQUAL_PERCENT // 100)
 
 
+class Index:
+    """The seeds of one item, as the operator joins them with those of a text."""
+
+    def __init__(self, items):
+        ((_, text),) = items
+        self.items = [word_hashes(split_words([plain(text)], PUNCTUATION))]
+        self.places = {}
+        for seed, word in zip(*dc.item_seeds(self.items[0]), strict=True):
+            self.places.setdefault(int(seed), []).append(int(word))
+
+
 def overlaps(index, hashes):
-    first = np.array([0, len(hashes)])
-    return list(index.overlaps(hashes, first))
+    """``(text, item, first word, first word of the item, words, equal words)`` of one text."""
+    starts = set()
+    for mask in dc.SHORT_MASKS.get(len(index.items[0]), dc.MASKS):
+        for at, seed in enumerate(dc.seeds(hashes, mask)):
+            starts |= {at - word for word in index.places.get(int(seed), ())}
+    return [(0, 0, *f) for start in sorted(starts) for f in dc.overlaps(index.items[0], hashes, start)]
 
 
 def replaced(words, places):
@@ -31,7 +47,7 @@ def noise(n, start):
 
 @pytest.mark.parametrize("n", range(8, 13))
 def test_items_shorter_than_an_overlap_with_all_replacements(n):
-    index = dc.SeedIndex([(7, " ".join(WORDS[:n]))])
+    index = Index([(7, " ".join(WORDS[:n]))])
     item = index.items[0]
     assert len(item) == n
     for k in range(allowed(n) + 1):
@@ -46,7 +62,7 @@ def test_items_shorter_than_an_overlap_with_all_replacements(n):
 
 @pytest.mark.parametrize("at", [0, 1, 13, 27])
 def test_isolated_overlaps_with_all_replacements(at):
-    index = dc.SeedIndex([(7, " ".join(WORDS))])
+    index = Index([(7, " ".join(WORDS))])
     part = index.items[0][at : at + dc.OVERLAP]
     for k in range(allowed(dc.OVERLAP) + 1):
         for places in combinations(range(dc.OVERLAP), k):

@@ -176,14 +176,6 @@ def test_exact_passages_like_brute_force(spark, sample):
     assert all(r.n_equal >= 0.8 * r.n_words - 1 for r in found)
 
 
-def test_blocks_of_the_benchmark_give_the_same(spark, sample, monkeypatch):
-    docs, bench = sample("documents"), sample("benchmark")
-    whole = sorted(dc.benchmark_overlaps(docs, bench).collect())
-    monkeypatch.setattr(dc, "BLOCK_WORDS", 300)
-    assert len(list(dc.seed_indexes(bench))) > 3
-    assert sorted(dc.benchmark_overlaps(docs, bench).collect()) == whole
-
-
 def test_decontamination_of_awkward_rows(spark, corpus, awkward):
     bench = items(spark, [(0, " ".join(ITEM))])
     assert dc.benchmark_overlaps(corpus(awkward), bench).collect() == []
