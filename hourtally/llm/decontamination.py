@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourtally.llm.tables import materialised, table
+from hourtally.llm.tables import digest_set, materialised, table
 from hourtally.llm.text import (
     PUNCTUATION,
     U64,
@@ -68,7 +68,7 @@ SHORT_MASKS = {
 OVERLAP, EQUAL_PERCENT = 13, 80
 LEAST_WORDS = 8
 # Bits of the filter for each seed of the benchmark, and the power of two that it is bounded by.
-BITS_A_SEED, FILTER_BITS = 16, 28
+BITS_A_SEED, FILTER_BITS = 256, 28
 
 
 def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -155,24 +155,32 @@ def _seed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class SeedFilter:
-    """Which slots of a table of ``2^bits`` the seeds of the benchmark have."""
+    """Which slots of a table of ``2^bits`` the seeds of the benchmark have; two for each seed, from
+    its first bits and from its last."""
 
     def __init__(self, bits: int, packed: np.ndarray | None = None):
         self.bits = bits
         self.packed = np.zeros(1 << max(bits - 3, 0), np.uint8) if packed is None else packed
 
-    def _slots(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slot = found >> U64(64 - self.bits)
-        return (slot >> U64(3)).astype(np.int64), (slot & U64(7)).astype(np.uint8)
+    def _first(self, found: np.ndarray) -> np.ndarray:
+        return found >> U64(64 - self.bits)
+
+    def _last(self, found: np.ndarray) -> np.ndarray:
+        return found & U64((1 << self.bits) - 1)
 
     def add(self, found: np.ndarray) -> None:
-        byte, bit = self._slots(found)
-        np.bitwise_or.at(self.packed, byte, np.left_shift(np.uint8(1), bit))
+        for slot in (self._first(found), self._last(found)):
+            bit = np.left_shift(np.uint8(1), (slot & U64(7)).astype(np.uint8))
+            np.bitwise_or.at(self.packed, (slot >> U64(3)).astype(np.int64), bit)
+
+    def _set(self, slot: np.ndarray) -> np.ndarray:
+        byte = self.packed[(slot >> U64(3)).astype(np.int64)]
+        return np.flatnonzero(np.right_shift(byte, (slot & U64(7)).astype(np.uint8)) & np.uint8(1))
 
     def likely(self, found: np.ndarray) -> np.ndarray:
         """Where ``found`` may have seeds of the benchmark."""
-        byte, bit = self._slots(found)
-        return np.flatnonzero(np.right_shift(self.packed[byte], bit) & np.uint8(1))
+        some = self._set(self._first(found))
+        return some[self._set(self._last(found[some]))]
 
 
 def _seed_filter(bench_seeds: DataFrame, count: int) -> SeedFilter:
@@ -299,7 +307,7 @@ def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame | None:
         .agg(F.collect_list(F.struct("start", "item_id", "words")).alias("places"))
     )
     # Only texts that have hits go on, and one of each.
-    some = texts.join(places.select("content").distinct(), "content", "left_semi")
+    some = texts.join(digest_set(places.select("content").distinct(), "hits"), "content", "left_semi")
     once = some.groupBy("content").agg(F.first("text").alias("text"))
     found = once.join(wanted, "content").mapInArrow(per_piece(_confirmed), _FOUND_TYPE)
     return materialised(found, "overlaps")
@@ -322,7 +330,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return docs
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     rows = docs.select(whole.alias("doc"), _content().alias("content"))
-    return rows.join(found.select("content").distinct(), "content", "left_anti").select("doc.*")
+    dirty = digest_set(found.select("content").distinct(), "contaminated")
+    return rows.join(dirty, "content", "left_anti").select("doc.*")
 
 
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:

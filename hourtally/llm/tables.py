@@ -28,6 +28,17 @@ def materialised(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Digests, of 16 bytes each, up to which a set of them is sent to every task: some ten MB.
+BROADCAST_ROWS = 200_000
+
+
+def digest_set(digests: DataFrame, name: str) -> DataFrame:
+    """A table of distinct digests, written down and counted; with up to ``BROADCAST_ROWS`` a join
+    sends it to the tasks, so that the texts it is joined with stay where they are."""
+    digests = materialised(digests, name)
+    return F.broadcast(digests) if digests.count() <= BROADCAST_ROWS else digests
+
+
 def dealt(facts: DataFrame, *key: str) -> DataFrame:
     """``facts``, one row for each ``key``, dealt out anew for a join with the rows they sum up.
 
