@@ -269,7 +269,10 @@ def _prefix_pairs(left: DataFrame, sets: DataFrame, similarity: int) -> DataFram
     both = _both(first, "shingle").where((F.least("rest", "other_rest") >= needed) & ~_far(similarity))
     # The last place has the most holders.
     crowded = prefixes.where(F.element_at("common", -1)["holders"] > CROWD).select("rep", "label")
-    return _pairs(both, similarity).union(_fine_pairs(crowded, sets, similarity)).distinct()
+    found = _pairs(both, similarity)
+    if crowded.isEmpty():
+        return found
+    return found.union(_fine_pairs(crowded, sets, similarity)).distinct()
 
 
 def _fine_rows(n_bands: int):
