@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from hourtally import schemas
 from hourtally.functions.timegrain import HOUR, day_string
@@ -73,6 +74,16 @@ def test_the_key_check_moves_the_batch_and_not_the_table(spark, serving, plan):
     assert "Exchange" not in join.split("FileScan")[-2].split("Sort [")[-1]
 
 
+def test_a_batch_beyond_its_buckets_has_more_tasks_and_the_same_rows(spark, serving, tmp_path, monkeypatch):
+    monkeypatch.setattr(bucketed, "ROWS_A_TASK", 7)
+    test_like_the_plain_table(spark, serving, tmp_path)
+    batch = pages(spark, [("en", f"t{i}", NOON + i % 20 * HOUR, i) for i in range(700)])
+    with bucketed._settings(spark):
+        fresh = serving.rows_to_insert(batch, 9)
+        most = fresh.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert fresh.count() == 700 and most < 700 / serving.buckets / 4
+
+
 def test_a_project_in_buckets_of_its_own_is_read_from_one(spark, tmp_path, plan):
     name = "b_project"
     table = BucketedTable(PAGECOUNTS, name, str(tmp_path / "t"), buckets=8, by=("project_name",))
