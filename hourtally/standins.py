@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from hourtally.functions.timegrain import DAY, HOUR, epoch_to_day, hour_epoch
 from hourtally.schemas import MEDIACOUNTS_RAW, PAGECOUNTS_NORMAL
+from hourtally.session import evenly_written
 from hourtally.sources.paths import FileLayout
 
 ARTICLE_PREFIX = "user_"
@@ -171,8 +172,10 @@ def write_raw_mediacounts(rows: DataFrame, path: str) -> None:
         F.col(name).cast("string") if name in rows.columns else F.lit("0")
         for name in MEDIACOUNTS_RAW.names
     ]
+    # As a date, which names the directories alike: texts of one month begin alike, and sort slowly.
+    day = F.col("date").cast("date").alias("load_day")
     _write_raw(
-        rows.select(F.concat_ws("\t", *fields).alias("value"), F.col("date").alias("load_day")),
+        rows.select(F.concat_ws("\t", *fields).alias("value"), day),
         path,
         "load_day",
         "bzip2",
@@ -181,4 +184,5 @@ def write_raw_mediacounts(rows: DataFrame, path: str) -> None:
 
 def _write_raw(lines: DataFrame, path: str, folder: str, codec: str) -> None:
     gathered = lines.hint("rebalance", folder).sortWithinPartitions(folder)
-    gathered.write.mode("append").partitionBy(folder).option("compression", codec).text(path)
+    with evenly_written(lines.sparkSession):
+        gathered.write.mode("append").partitionBy(folder).option("compression", codec).text(path)
