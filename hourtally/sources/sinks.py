@@ -8,6 +8,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
+from hourtally.session import evenly_written
 from hourtally.sources.files import directory
 from hourtally.sources.loads import new_load, write_record
 
@@ -73,7 +74,8 @@ def _store(
             .option("parquet.bloom.filter.adaptive.enabled", "true")
             .option("parquet.bloom.filter.max.bytes", str(8 << 20))
         )
-    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    with evenly_written(df.sparkSession):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _directories(told: Observation) -> list[Row]:

@@ -56,8 +56,12 @@ def pagecounts(df: DataFrame) -> DataFrame:
     ).select(*PAGECOUNTS_NORMAL.names)
 
 
+def _media_date() -> Column:
+    return F.col("l_shipdate").cast("date")
+
+
 def _media_day() -> Column:
-    return F.col("l_shipdate").cast("date").cast("string")
+    return _media_date().cast("string")
 
 
 def _media_measures() -> dict[str, Column]:
@@ -90,16 +94,16 @@ def media_requests(df: DataFrame) -> DataFrame:
 
 
 def mediacounts(df: DataFrame) -> DataFrame:
-    """Counters per file and day."""
-    day = _media_day().alias("date")
+    """Counters per file and day; as for ``pagecounts``, the texts are made after the shuffle."""
     measures = _media_measures()
     summed = [
         F.sum(c).cast("bigint" if name == "total_response_bytes" else "int").alias(name)
         for name, c in measures.items()
     ]
     return (
-        df.groupBy("l_partkey", day)
+        df.groupBy("l_partkey", _media_date().alias("date"))
         .agg(*summed)
+        .withColumn("date", F.col("date").cast("string"))
         .select(
             F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("filename"),
             F.col("date").alias("_date"),

@@ -1,5 +1,6 @@
-"""Gathered frames are written by more tasks than cores."""
+"""Gathered frames are written by more tasks than cores, and media counts are grouped on dates."""
 
+import re
 from datetime import datetime
 from pathlib import Path
 
@@ -7,6 +8,7 @@ import pytest
 
 from hourtally import standins
 from hourtally.session import evenly_written
+from hourtally.sources.sinks import write_replacing
 
 KEY = "spark.sql.adaptive.coalescePartitions.minPartitionNum"
 
@@ -51,6 +53,13 @@ def test_raw_media_files_are_written_by_more_tasks_than_cores(spark, tmp_path, m
     assert "load_day=1996-02-12" in days and "load_day=__HIVE_DEFAULT_PARTITION__" in days
 
 
+def test_a_batch_is_written_by_more_tasks_than_cores(spark, tmp_path, many_partitions):
+    path = str(tmp_path / "stored")
+    counts = standins.mediacounts(lines(spark)).drop("_date")
+    assert len(write_replacing(counts, path, partitions=("date",), sort_by=("filename",))) == 41
+    assert len(tasks_and_days(path, 41)[0]) >= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_the_setting_is_put_back(spark):
     with evenly_written(spark):
         assert int(spark.conf.get(KEY)) == 4 * spark.sparkContext.defaultParallelism
@@ -60,3 +69,12 @@ def test_the_setting_is_put_back(spark):
         1 / 0
     assert spark.conf.get(KEY) == "3"
     spark.conf.unset(KEY)
+
+
+def test_media_counts_are_grouped_on_dates(spark, plan):
+    counts = standins.mediacounts(lines(spark, days=2, of_day=3))
+    moved = plan(counts).split("Exchange")[1]
+    assert "hashpartitioning(l_partkey" in moved and not re.search("as string", moved)
+    got = {(r["filename"], r["_date"], r["date"], r["total_transfers_all"]) for r in counts.collect()}
+    days = [("1996-01-01", n) for n in range(3)] + [("1996-01-02", n) for n in range(3)]
+    assert got == {(f"part/{n}", d, d, n) for d, n in days} | {("part/5", None, None, 6)}
